@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from mediabatch.config import DEFAULT_CONFIG
 from mediabatch.functions.hashing import name_bucket
-from mediabatch.functions.text import canonical_json, csv_cell
+from mediabatch.functions.text import canonical_json, csv_cell, json_quote
 from mediabatch.session import shared_dir
 
 CREATORS_PER_SHARD = 200_000
@@ -93,14 +93,11 @@ class _OpenBatches:
 
     def closest(self, extra: int) -> int | None:
         """The batch that lands nearest to the target with `extra` more, at most twice the target."""
-        for gap in range(max(self.target, self.target - extra) + 1):
-            found = [
-                b for b in (self.lowest(s) for s in {self.target - gap - extra, self.target + gap - extra}
-                            if s >= 0 and s + extra <= 2 * self.target)
-                if b is not None
-            ]
-            if found:
-                return min(found)
+        for gap in range(self.target + 1):
+            sizes = {self.target - gap - extra, self.target + gap - extra}
+            found = [self.lowest(size) for size in sizes if size >= 0]
+            if any(batch is not None for batch in found):
+                return min(batch for batch in found if batch is not None)
         return None
 
 
@@ -110,12 +107,12 @@ def _pack(target: int, shards_column: str = "shards"):
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["image_count", "first_ord"], ascending=[False, True], kind="stable")
         batches, chosen = _OpenBatches(target), []
-        previous = pdf["previous_batch"].where(pdf["previous_batch"].notna(), None)
-        for n, bucket, before in zip(pdf["image_count"].tolist(), pdf["bucket"].tolist(), previous.tolist()):
+        rows = zip(pdf["image_count"].tolist(), pdf["bucket"].tolist(), pdf["previous_batch"].tolist())
+        for n, bucket, before in rows:
             if not batches.sizes:
                 chosen.append(batches.open(n))
                 continue
-            wanted = int(before) if before is not None else bucket % (len(batches.sizes) + 1)
+            wanted = bucket % (len(batches.sizes) + 1) if pd.isna(before) else int(before)
             while len(batches.sizes) <= wanted:
                 batches.open()
             if batches.sizes[wanted] + n <= 1.5 * target:
@@ -219,7 +216,6 @@ def _next_fit_runs(target: int):
         for size, count in zip(pdf["image_count"].tolist(), pdf["creators"].tolist()):
             fits = min(count, max(target - filled, 0) // size) if filled else 0
             per_batch = max(1, target // size)
-            first = batch if fits or not filled else batch + 1
             # `fits` creators join the open batch, then every `per_batch` of them start a new one.
             fresh = batch + 1 if filled else batch
             out.append((size, start, fits, per_batch, batch, fresh))
@@ -229,7 +225,7 @@ def _next_fit_runs(target: int):
                 batch = fresh + opened - 1
                 filled = (rest - (opened - 1) * per_batch) * size
             else:
-                batch, filled = first, filled + fits * size
+                filled += fits * size
             start += count
         return pd.DataFrame(
             out, columns=["image_count", "run_start", "fits", "per_batch", "open_batch", "fresh_batch"]
@@ -245,7 +241,7 @@ def next_fit_batches(sizes: DataFrame, target: int = 100) -> DataFrame:
     row per distinct size) is walked in order; each creator's batch then follows from its rank.
     """
     histogram = sizes.groupBy("image_count").agg(F.count(F.lit(1)).alias("creators"))
-    runs = histogram.groupBy(F.lit(1)).applyInPandas(
+    runs = histogram.groupBy().applyInPandas(
         _next_fit_runs(target),
         "image_count LONG, run_start LONG, fits LONG, per_batch LONG, open_batch LONG, fresh_batch LONG",
     )
@@ -354,20 +350,19 @@ def data_message(csv_data: Column, as_of: datetime, config: dict | None = None,
 
 
 def _message(parts: dict, config: dict | None, output_prefix: str, as_of: datetime, source: str) -> Column:
-    settings = F.from_json(
-        F.lit(canonical_json(config or DEFAULT_CONFIG.as_dict())), F.schema_of_json(
-            F.lit(canonical_json(config or DEFAULT_CONFIG.as_dict())))
-    )
-    fields = [v.alias(k) if isinstance(v, Column) else F.lit(v).alias(k) for k, v in parts.items()]
-    return F.to_json(
-        F.struct(
-            *fields,
-            settings.alias("processing_config"),
-            F.lit(output_prefix).alias("output_prefix"),
-            F.lit(str(as_of)).alias("timestamp"),
-            F.lit(source).alias("source"),
-        )
-    )
+    """A JSON object of text columns and fixed values, in the given order."""
+    fixed = {
+        "processing_config": config or DEFAULT_CONFIG.as_dict(),
+        "output_prefix": output_prefix,
+        "timestamp": str(as_of),
+        "source": source,
+    }
+    pieces, lead = [], "{"
+    for name, value in {**parts, **fixed}.items():
+        text = json_quote(value) if isinstance(value, Column) else F.lit(canonical_json(value))
+        pieces += [F.lit(f'{lead}"{name}":'), text]
+        lead = ","
+    return F.concat(*pieces, F.lit("}"))
 
 
 def batch_messages(

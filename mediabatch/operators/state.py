@@ -68,31 +68,28 @@ def create_records(
     request in state-record form with `accepted`; append the accepted ones.
     """
     today = F.lit(as_of.strftime("%Y-%m-%d")).cast("date")
-    busy = current.where((F.col("processing_date") == today) & (F.col("status") == "processing")).select(
-        "creator_name", F.lit(True).alias("busy")
+    existing = current.where(F.col("processing_date") == today).select(
+        "creator_name", F.col("status").alias("old_status"), F.col("version").alias("old_version")
     )
     first = requests.groupBy("creator_name").agg(F.min("batch_id").alias("first_batch"))
-    accepted = F.col("busy").isNull() & (F.col("batch_id") == F.col("first_batch"))
-    return (
-        requests.join(first.join(busy, "creator_name", "left"), "creator_name")
-        .select(
-            "creator_name",
-            today.alias("processing_date"),
-            F.lit("processing").alias("status"),
-            "batch_id",
-            "content_hash",
-            F.col("image_count").cast("long").alias("image_count"),
-            F.lit(config_json).alias("processing_config"),
-            moment(as_of).alias("created_at"),
-            moment(as_of).alias("updated_at"),
-            ttl_of(as_of).alias("ttl"),
-            F.lit(request_id).alias("lambda_request_id"),
-            F.lit(0).cast("long").alias("processing_duration_ms"),
-            F.lit("").alias("collage_s3_key"),
-            F.lit(None).cast("string").alias("error_message"),
-            F.lit(0).cast("long").alias("version"),
-            accepted.alias("accepted"),
-        )
+    free = F.coalesce(F.col("old_status") != "processing", F.lit(True))
+    return requests.join(first.join(existing, "creator_name", "left"), "creator_name").select(
+        "creator_name",
+        today.alias("processing_date"),
+        F.lit("processing").alias("status"),
+        "batch_id",
+        "content_hash",
+        F.col("image_count").cast("long").alias("image_count"),
+        F.lit(config_json).alias("processing_config"),
+        moment(as_of).alias("created_at"),
+        moment(as_of).alias("updated_at"),
+        ttl_of(as_of).alias("ttl"),
+        F.lit(request_id).alias("lambda_request_id"),
+        F.lit(0).cast("long").alias("processing_duration_ms"),
+        F.lit("").alias("collage_s3_key"),
+        F.lit(None).cast("string").alias("error_message"),
+        F.coalesce(F.col("old_version") + 1, F.lit(0).cast("long")).alias("version"),
+        (free & (F.col("batch_id") == F.col("first_batch"))).alias("accepted"),
     )
 
 

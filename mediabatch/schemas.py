@@ -26,9 +26,4 @@ STATE = (
 
 IMAGE = "STRUCT<origin: STRING, height: INT, width: INT, nChannels: INT, mode: INT, data: BINARY>"
 
-FETCHED = "attempts INT, content_type STRING, bytes BINARY, error STRING"
-
-COLLAGE = (
-    "creator_name STRING, width INT, height INT, placed INT, status STRING, error STRING,"
-    f" image {IMAGE}"
-)
+FETCHED = "attempts INT, content_type STRING, bytes BINARY, error STRING, fetch_ms LONG"
