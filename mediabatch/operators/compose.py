@@ -72,7 +72,8 @@ def fetch(
     requests open and hands bytes on in small groups.
     """
     wanted = rows.where(strip(F.col(url)) != "")
-    wanted = wanted.repartition(tasks) if tasks else wanted.repartition()
+    # A few waves per core even out slow hosts.
+    wanted = wanted.repartition(tasks or rows.sparkSession.sparkContext.defaultParallelism * 4)
     workers, timeout, retries = config.max_workers, config.timeout, config.max_retries
     names = ["attempts", "content_type", "bytes", "error", "fetch_ms"]
 
@@ -91,11 +92,13 @@ def fetch(
 
 
 def fetch_counts(fetched: DataFrame) -> DataFrame:
-    """Attempted, fetched and failed images per creator."""
+    """Images attempted, fetched and failed, with tries, bytes and time, per creator."""
     return fetched.groupBy("creator_name").agg(
         F.count(F.lit(1)).alias("attempted"),
         F.count_if(F.col("error").isNull()).alias("fetched"),
         F.count_if(F.col("error").isNotNull()).alias("failed"),
+        F.sum("attempts").alias("attempts"),
+        F.sum(F.length("bytes")).alias("bytes"),
         F.sum("fetch_ms").alias("fetch_ms"),
     )
 

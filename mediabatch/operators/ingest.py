@@ -9,6 +9,7 @@ from datetime import date, datetime, timedelta
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mediabatch.functions.text import strip
 
@@ -104,7 +105,7 @@ def filter_links(
     return links.orderBy(F.desc("updated_at")) if newest_first else links
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def _decode_links(texts: pd.Series) -> pd.Series:
     """URLs of link texts that are not a plainly written list of strings."""
 

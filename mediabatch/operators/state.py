@@ -6,7 +6,7 @@ view keeps the newest version per key. All functions return rows, the caller app
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,8 +24,12 @@ def moment(as_of: datetime) -> Column:
     return F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
 
 
+def epoch_seconds(as_of: datetime) -> int:
+    return int(as_of.replace(tzinfo=timezone.utc).timestamp())
+
+
 def ttl_of(as_of: datetime) -> Column:
-    return F.unix_timestamp(moment(as_of + timedelta(days=TTL_DAYS)))
+    return F.lit(epoch_seconds(as_of + timedelta(days=TTL_DAYS))).cast("long")
 
 
 def current_state(log: DataFrame, as_of: datetime | None = None) -> DataFrame:
@@ -34,7 +38,7 @@ def current_state(log: DataFrame, as_of: datetime | None = None) -> DataFrame:
     current = log.withColumn("_n", F.row_number().over(newest)).where("_n = 1").drop("_n")
     if as_of is None:
         return current
-    return current.where(F.col("ttl").isNull() | (F.col("ttl") > F.unix_timestamp(moment(as_of))))
+    return current.where(F.col("ttl").isNull() | (F.col("ttl") > epoch_seconds(as_of)))
 
 
 def compact(log: DataFrame, as_of: datetime) -> DataFrame:

@@ -15,8 +15,18 @@ def stamp(as_of: datetime) -> str:
     return as_of.strftime("%Y%m%d_%H%M%S")
 
 
+# Cells keep their blanks, quotes are doubled, an empty cell stays empty.
+CSV_OPTIONS = {
+    "header": True,
+    "escape": '"',
+    "emptyValue": "",
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:
-    df.write.mode(mode).option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
+    df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
 def write_items(df: DataFrame, directory: str, as_of: datetime) -> str:
@@ -46,8 +56,7 @@ def write_batches(rows: DataFrame, directory: str, as_of: datetime) -> str:
         .sortWithinPartitions("parallel_batch", "creator_name", "ord")
         .select("parallel_batch", *ITEM_COLUMNS)
         .write.partitionBy("parallel_batch")
-        .option("header", True)
-        .option("escape", '"')
+        .options(**CSV_OPTIONS)
         .csv(path)
     )
     return path
@@ -95,6 +104,6 @@ def write_landing(rows: DataFrame, root: str, trigger: str, as_of: datetime) ->
         .withColumn("trigger", F.lit(trigger))
         .write.mode("append")
         .partitionBy("dt", "trigger")
-        .option("header", True)
+        .options(**CSV_OPTIONS)
         .csv(root)
     )

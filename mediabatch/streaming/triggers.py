@@ -47,9 +47,7 @@ def landing_stream(spark: SparkSession, landing: str, max_files: int = 1000) ->
     return rows.select(
         *[F.coalesce(c, F.lit("")).alias(c) for c in ("creator_name", "cover_url", "updated_at")],
         key.alias("object_key"),
-        F.struct(
-            F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")
-        ).alias("ord"),
+        F.col("_metadata.file_block_start").alias("block"),
     )
 
 
@@ -68,7 +66,8 @@ def ingest_stream(
     """
 
     def each(batch: DataFrame, epoch: int) -> None:
-        rows = valid_items(batch)
+        position = F.struct("object_key", "block", F.monotonically_increasing_id().alias("row"))
+        rows = valid_items(batch.withColumn("ord", position).drop("block"))
         key = F.col("object_key")
         handle(
             rows.withColumns(
