@@ -178,7 +178,7 @@ def _sortable(df: DataFrame, name: str) -> Column:
     if df.schema[name].dataType.typeName() != "struct":
         return F.col(name)
     fields = [F.col(f"{name}.{f.name}") for f in df.schema[name].dataType.fields]
-    return F.concat_ws("\x00", *[
+    return F.concat_ws("\x01", *[
         F.lpad(c.cast("string"), 20, "0") if f.dataType.typeName() != "string" else c
         for c, f in zip(fields, df.schema[name].dataType.fields)
     ])

@@ -13,13 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from mediabatch import schemas
 from mediabatch.config import DEFAULT_CONFIG, ProcessingConfig
 from mediabatch.functions.keys import run_batch_id, trigger_prefix
 from mediabatch.operators.ingest import valid_items
 from mediabatch.operators.messages import accepted, message_items, parse_messages, rejected
 from mediabatch.operators.state import moment
-from mediabatch.sources.readers import CSV_GLOB, read_items
+from mediabatch.sources.readers import CSV_GLOB, read_item_files
 
 
 def _now() -> datetime:
@@ -30,24 +29,19 @@ def _epoch_write(df: DataFrame, folder: str, epoch: int) -> None:
     df.write.mode("overwrite").parquet(f"{folder}/epoch={epoch}")
 
 
+FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length LONG, content BINARY"
+
+
 def landing_stream(spark: SparkSession, landing: str, max_files: int = 1000) -> DataFrame:
-    """Item rows of CSV files as they arrive, with their file, output prefix and batch id inputs."""
-    rows = (
-        spark.readStream.schema(schemas.ITEMS)
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
+    """Paths of CSV files as they arrive; contents are not read here."""
+    return (
+        spark.readStream.format("binaryFile")
+        .schema(FILE_SCHEMA)
         .option("pathGlobFilter", CSV_GLOB)
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", max_files)
-        .csv(landing)
-    )
-    base = landing.rstrip("/") + "/"
-    key = F.substring_index(F.col("_metadata.file_path"), base, -1)
-    return rows.select(
-        *[F.coalesce(c, F.lit("")).alias(c) for c in ("creator_name", "cover_url", "updated_at")],
-        key.alias("object_key"),
-        F.col("_metadata.file_block_start").alias("block"),
+        .load(landing)
+        .select("path")
     )
 
 
@@ -62,17 +56,20 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Run `handle(rows, epoch)` for each micro-batch of valid item rows.
 
-    Rows carry `batch_id` and `output_prefix` of their file, so one call serves all arrived files.
+    A micro-batch is a bounded set of files, scanned as one table. Rows carry the `object_key`,
+    `batch_id` and `output_prefix` of their file.
     """
+    base = landing.rstrip("/") + "/"
 
     def each(batch: DataFrame, epoch: int) -> None:
-        position = F.struct("object_key", "block", F.monotonically_increasing_id().alias("row"))
-        rows = valid_items(batch.withColumn("ord", position).drop("block"))
+        rows, _ = read_item_files(spark, [row.path for row in batch.toLocalIterator()])
+        if rows is None:
+            return
+        named = valid_items(rows).withColumn("object_key", F.substring_index(F.col("ord.file"), base, -1))
         key = F.col("object_key")
+        now = moment(as_of())
         handle(
-            rows.withColumns(
-                {"batch_id": run_batch_id("s3", moment(as_of()), key), "output_prefix": trigger_prefix(key)}
-            ),
+            named.withColumns({"batch_id": run_batch_id("s3", now, key), "output_prefix": trigger_prefix(key)}),
             epoch,
         )
 
@@ -85,23 +82,21 @@ def ingest_stream(
     )
 
 
-def referenced_items(spark: SparkSession, parsed: DataFrame, root: str, paths_per_read: int = 1000) -> DataFrame | None:
-    """Item rows of the stored CSV files that messages name, with the message's batch columns.
+def referenced_items(spark: SparkSession, parsed: DataFrame, root: str) -> tuple[DataFrame | None, list[str]]:
+    """Item rows of the stored CSV files that messages name, and the keys of missing files.
 
     The file names of a micro-batch (bounded by its trigger size) are listed to plan the scans; the
     rows are read by the executors and joined to their message by file path.
     """
     refs = accepted(parsed, "csv_s3").select("s3_key", "batch_id", "output_prefix", "config")
-    keys = [row.s3_key for row in refs.select("s3_key").distinct().toLocalIterator()]
-    base = root.rstrip("/")
-    out = None
-    for start in range(0, len(keys), paths_per_read):
-        rows = read_items(spark, [f"{base}/{key}" for key in keys[start : start + paths_per_read]])
-        out = rows if out is None else out.unionByName(rows)
-    if out is None:
-        return None
-    named = out.withColumn("s3_key", F.substring_index(F.col("ord.file"), base + "/", -1))
-    return named.join(refs, "s3_key")
+    base = root.rstrip("/") + "/"
+    paths = [base + row.s3_key for row in refs.select("s3_key").distinct().toLocalIterator()]
+    rows, lost = read_item_files(spark, paths)
+    missing = [path[len(base):] for path in lost]
+    if rows is None:
+        return None, missing
+    named = rows.withColumn("s3_key", F.substring_index(F.col("ord.file"), base, -1))
+    return named.join(refs, "s3_key"), missing
 
 
 def message_stream(
@@ -129,19 +124,22 @@ def message_stream(
 
     def each(batch: DataFrame, epoch: int) -> None:
         parsed = parse_messages(batch, as_of(), defaults)
-        routed = parsed.select("processing_type", "batch_id", "output_prefix", "reason", "config")
-        _epoch_write(routed, f"{out}/routed", epoch)
-        _epoch_write(rejected(parsed), f"{out}/dead", epoch)
         carry = ("batch_id", "output_prefix", "config")
         rows = message_items(accepted(parsed, "csv_data"), carry).withColumn("ord", F.col("line")).drop("line")
         if root is not None:
-            named = referenced_items(spark, parsed, root)
+            named, missing = referenced_items(spark, parsed, root)
             if named is not None:
-                named = named.select(*carry, *("creator_name", "cover_url", "updated_at"),
+                named = named.select(*carry, "creator_name", "cover_url", "updated_at",
                                      F.col("ord.row").alias("ord"))
                 rows = rows.unionByName(named)
-        valid = valid_items(rows)
-        _epoch_write(valid, f"{out}/items", epoch)
+            if missing:
+                gone = F.col("reason").isNull() & F.col("s3_key").isin(missing)
+                reason = F.when(gone, "missing file").otherwise(F.col("reason"))
+                parsed = parsed.withColumn("reason", reason)
+        routed = parsed.select("processing_type", "batch_id", "output_prefix", "reason", "config")
+        _epoch_write(routed, f"{out}/routed", epoch)
+        _epoch_write(rejected(parsed), f"{out}/dead", epoch)
+        _epoch_write(valid_items(rows), f"{out}/items", epoch)
         if handle is not None:
             handle(spark.read.parquet(f"{out}/items/epoch={epoch}"), epoch)
 
