@@ -15,7 +15,7 @@ from mediabatch import schemas
 from mediabatch.config import DEFAULT_CONFIG, ProcessingConfig
 from mediabatch.functions.pixels import fill_crop, png_bytes, resize, to_array
 from mediabatch.functions.text import strip
-from mediabatch.operators.layout import grid_layout
+from mediabatch.operators.layout import canvas_size, is_usable, place_images
 
 # Request headers of the default fetcher.
 HEADERS = {
@@ -131,7 +131,7 @@ def _cut_cells(fit: str):
     return run
 
 
-def _paste(keys: list[str], background: tuple[int, int, int], with_png: bool):
+def _paste(labels: list[str], background: tuple[int, int, int], with_png: bool):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         started = time.monotonic()
         first = pdf.iloc[0]
@@ -143,7 +143,7 @@ def _paste(keys: list[str], background: tuple[int, int, int], with_png: bool):
                 block = np.frombuffer(row.cell, np.uint8).reshape(row.cell_h, row.cell_w, 3)
                 canvas[row.y : row.y + row.cell_h, row.x : row.x + row.cell_w] = block
                 placed += 1
-        out = {k: [first[k]] for k in keys}
+        out = {name: [first[name]] for name in labels}
         out |= {"width": [canvas.shape[1]], "height": [canvas.shape[0]], "placed": [placed]}
         out["data"] = [canvas.tobytes()]
         if with_png:
@@ -165,32 +165,42 @@ def compose(
     keys=("creator_name",),
     order=("ord",),
     with_png: bool = False,
+    sizes: DataFrame | None = None,
+    creators: DataFrame | None = None,
 ) -> DataFrame:
     """One collage per creator from rows with an `image` struct.
 
-    The layout reads sizes only. Each image is cut to its cell where it is read, before any
-    regrouping, so the heavy work is spread per image and a group carries at most rows x cols cells.
+    Only images that get a cell are shuffled, once, to their creator; there each is cut to its cell,
+    and the small cells are regrouped for pasting, so a group carries at most rows x cols cells.
+    `sizes` (keys, width, height of every image), where known, spares a second pass over pixels.
+    `creators` (keys and further columns) adds those columns without moving pixels or canvases.
     Creators without a usable image have no collage row.
     """
     keys, order = list(keys), list(order)
-    image = {n: F.col(f"image.{n}").alias(n) for n in ("width", "height", "nChannels", "data")}
     at = keys + [c for c in order if c not in keys]
-    layout = grid_layout(
-        images.select(*at, image["width"], image["height"]), rows, cols, target_width, target_height, fit, keys, order
-    )
-    places = layout.select(*at, "x", "y", "cell_w", "cell_h", "canvas_w", "canvas_h")
-    cells = images.select(*at, *image.values()).join(places, at)
+    flat = images.select(*at, *[F.col(f"image.{n}").alias(n) for n in ("width", "height", "nChannels", "data")])
+    if sizes is None:
+        sizes = flat.select(*keys, "width", "height")
+    canvas = canvas_size(sizes, rows, cols, target_width, target_height, fit, keys)
+    carried: list[str] = []
+    if creators is not None:
+        carried = [c for c in creators.columns if c not in keys]
+        canvas = canvas.join(creators, keys)
+    cells = place_images(flat.where(is_usable()), canvas, rows, cols, keys, order)
     kinds = {f.name: f.dataType.simpleString() for f in cells.schema.fields}
-    kept = [c for c in cells.columns if c not in image]
-    fields = ", ".join(f"`{c}` {kinds[c]}" for c in kept)
-    cut = cells.mapInPandas(_cut_cells(fit), f"{fields}, cell BINARY, cell_ms DOUBLE").drop(
-        *[c for c in order if c not in keys]
+
+    def fields(names):
+        return ", ".join(f"`{n}` {kinds[n]}" for n in names)
+
+    labels = keys + carried
+    geometry = ["x", "y", "cell_w", "cell_h", "canvas_w", "canvas_h"]
+    cut = cells.select(*labels, *geometry, "width", "height", "nChannels", "data").mapInPandas(
+        _cut_cells(fit), f"{fields(labels + geometry)}, cell BINARY, cell_ms DOUBLE"
     )
-    key_fields = ", ".join(f"`{k}` {kinds[k]}" for k in keys)
     png = ", png BINARY" if with_png else ""
     collages = cut.groupBy(*keys).applyInPandas(
-        _paste(keys, background, with_png),
-        f"{key_fields}, width INT, height INT, placed INT, data BINARY{png}, compose_ms LONG",
+        _paste(labels, background, with_png),
+        f"{fields(labels)}, width INT, height INT, placed INT, data BINARY{png}, compose_ms LONG",
     )
     packed = F.struct(
         F.lit("").alias("origin"),
@@ -201,7 +211,7 @@ def compose(
         "data",
     )
     extra = ["png"] if with_png else []
-    return collages.select(*keys, "width", "height", "placed", packed.alias("image"), *extra, "compose_ms")
+    return collages.select(*labels, "width", "height", "placed", packed.alias("image"), *extra, "compose_ms")
 
 
 # -- duplicates --------------------------------------------------------------------------------

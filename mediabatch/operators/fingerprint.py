@@ -97,23 +97,24 @@ def _result(keys, values, state):
 
 def sorted_list_digest(
     entries: DataFrame,
-    groups: DataFrame,
     keys: list[str],
+    stats: dict[str, Column],
+    length: str,
     head: Column,
     tail: Column,
     algo: str = "sha256",
     list_limit: int = LIST_LIMIT,
 ) -> DataFrame:
-    """Digest of `head` + comma-joined fragments in sort order + `tail`, per group.
+    """Digest of `head` + comma-joined fragments in sort order + `tail`, per group: (keys, digest, stats).
 
-    `entries` has the keys and `sort_key`, `fragment`, `times`; a NULL fragment adds nothing. `groups`
-    has the keys, `n_list` (list length) and whatever `head` and `tail` read. Lists of up to
-    `list_limit` elements become one array value in the JVM. Longer ones are sorted by Spark's
-    spilling sort and streamed through an incremental hash, so no group is ever held in memory; a
-    digest is sequential by definition, so such a group is one stream.
+    `entries` has the keys and `sort_key`, `fragment`, `times`; a NULL fragment adds nothing. `stats` are
+    aggregates over the entries that `head` and `tail` may read, `length` names the one that is the
+    list's length. Lists of up to `list_limit` elements become one array value in the JVM. Longer ones
+    are sorted by Spark's spilling sort and streamed through an incremental hash, so no group is ever
+    held in memory; a digest is sequential by definition, so such a group is one stream.
     """
-    texts = groups.select(*keys, "n_list", head.alias("head"), tail.alias("tail"))
-    long_groups = texts.where(F.col("n_list") > list_limit)
+    named = [column.alias(name) for name, column in stats.items()]
+    long_groups = entries.groupBy(*keys).agg(*named).where(F.col(length) > list_limit)
     pieces = F.array_sort(
         F.collect_list(F.when(F.col("fragment").isNotNull(), F.struct("sort_key", "fragment", "times")))
     )
@@ -121,17 +122,18 @@ def sorted_list_digest(
     short = (
         entries.join(long_groups.select(*keys), keys, "left_anti")
         .groupBy(*keys)
-        .agg(pieces.alias("pieces"))
-        .join(texts.where(F.col("n_list") <= list_limit), keys)
-        .select(*keys, digest(F.concat("head", F.array_join(repeated, ","), "tail"), algo).alias("digest"))
+        .agg(pieces.alias("pieces"), *named)
+        .select(*keys, digest(F.concat(head, F.array_join(repeated, ","), tail), algo).alias("digest"), *stats)
     )
     fields = ", ".join(f"`{k}` {entries.schema[k].dataType.simpleString()}" for k in keys)
+    texts = long_groups.select(*keys, head.alias("head"), tail.alias("tail"))
     streamed = (
-        entries.join(long_groups, keys)
+        entries.join(texts, keys)
         .repartition(*keys)
         .sortWithinPartitions(*keys, "sort_key")
         .select(*keys, "head", "tail", "fragment", "times")
         .mapInPandas(_stream_digests(keys, check_algorithm(algo)), f"{fields}, digest STRING")
+        .join(long_groups, keys)
     )
     return short.unionByName(streamed)
 
@@ -146,13 +148,9 @@ def _url_entries(items: DataFrame, keys: list[str], url: str) -> DataFrame:
     )
 
 
-def _url_groups(entries: DataFrame, keys: list[str]) -> DataFrame:
+def _url_stats() -> dict[str, Column]:
     listed = F.when(F.col("sort_key").isNotNull(), F.col("times"))
-    return entries.groupBy(*keys).agg(
-        F.coalesce(F.sum(listed), F.lit(0)).alias("url_count"),
-        F.sum("times").alias("total_urls"),
-        F.count("sort_key").alias("distinct_urls"),
-    )
+    return {"url_count": F.coalesce(F.sum(listed), F.lit(0)), "total_urls": F.sum("times")}
 
 
 def _creator_head(creator: Column) -> Column:
@@ -186,11 +184,7 @@ def _digest_of_urls(
             *keys, digest(F.concat(head, body, tail), algo).alias("digest"), "url_count", "total_urls"
         )
     entries = _url_entries(cap_per_creator(items, cap, keys), keys, url)
-    groups = _url_groups(entries, keys)
-    hashed = sorted_list_digest(
-        entries, groups.withColumn("n_list", F.col("url_count")), keys, head, tail, algo, list_limit
-    )
-    return hashed.join(groups.select(*keys, "url_count", "total_urls"), keys)
+    return sorted_list_digest(entries, keys, _url_stats(), "url_count", head, tail, algo, list_limit)
 
 
 def creator_hash(
@@ -235,20 +229,11 @@ def url_set_hash(
 ) -> DataFrame:
     """Order- and duplicate-free hash of a group's URLs."""
     keys = list(keys)
-    entries = _url_entries(items, keys, url)
-    groups = _url_groups(entries, keys)
-    head = F.concat(F.lit('{"count":'), F.col("distinct_urls").cast("string"), F.lit(',"urls":['))
-    hashed = sorted_list_digest(
-        entries.withColumn("times", F.lit(1).cast("long")),
-        groups.withColumn("n_list", F.col("distinct_urls")),
-        keys,
-        head,
-        F.lit("]}"),
-        algo,
-        list_limit,
-    )
-    counts = groups.select(*keys, F.col("distinct_urls").alias("url_count"))
-    return hashed.withColumnRenamed("digest", "set_hash").join(counts, keys)
+    entries = _url_entries(items, keys, url).withColumn("times", F.lit(1).cast("long"))
+    head = F.concat(F.lit('{"count":'), F.col("url_count").cast("string"), F.lit(',"urls":['))
+    stats = {"url_count": F.count("sort_key")}
+    hashed = sorted_list_digest(entries, keys, stats, "url_count", head, F.lit("]}"), algo, list_limit)
+    return hashed.withColumnRenamed("digest", "set_hash")
 
 
 def batch_hash(
@@ -261,23 +246,20 @@ def batch_hash(
 ) -> DataFrame:
     """Hash per batch over its creators' hashes (without metadata) and its URL total, blanks included."""
     creators = creator_hash(rows, None, algo, None, (batch, creator), url, list_limit)
-    groups = creators.groupBy(batch).agg(
-        F.count(F.lit(1)).alias("creator_count"), F.sum("total_urls").alias("total_urls")
-    )
     entries = creators.select(
         batch,
         F.col(creator).alias("sort_key"),
         F.concat(json_quote(F.col(creator)), F.lit(':"'), "content_hash", F.lit('"')).alias("fragment"),
         F.lit(1).cast("long").alias("times"),
+        "total_urls",
     )
+    stats = {"creator_count": F.count(F.lit(1)), "total_urls": F.sum("total_urls")}
     head = F.concat(
         F.lit('{"creator_count":'), F.col("creator_count").cast("string"), F.lit(',"creator_hashes":{')
     )
     tail = F.concat(F.lit('},"total_urls":'), F.col("total_urls").cast("string"), F.lit("}"))
-    hashed = sorted_list_digest(
-        entries, groups.withColumn("n_list", F.col("creator_count")), [batch], head, tail, algo, list_limit
-    )
-    return hashed.withColumnRenamed("digest", "batch_hash").join(groups, batch)
+    hashed = sorted_list_digest(entries, [batch], stats, "creator_count", head, tail, algo, list_limit)
+    return hashed.withColumnRenamed("digest", "batch_hash")
 
 
 # -- output names ------------------------------------------------------------------------------

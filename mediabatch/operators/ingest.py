@@ -64,6 +64,18 @@ def cap_per_creator(items: DataFrame, cap: int | None, keys=("creator_name",), o
     return items.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= cap).drop("_rank")
 
 
+def with_positions(items: DataFrame, cap: int | None, keys=("creator_name",), order=("ord",)) -> DataFrame:
+    """Rows with their unique `position`, cut to the first `cap` per creator where a cap is given.
+
+    With a cap it is the place in file order. Without one it only sorts like file order: numbering a
+    huge creator row by row would take one task, a range-partitioned sort does not.
+    """
+    if cap:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return items.withColumn("position", F.row_number().over(w).cast("long")).where(F.col("position") <= cap)
+    return items.orderBy(*keys, *order).withColumn("position", F.monotonically_increasing_id())
+
+
 # -- link records ------------------------------------------------------------------------------
 
 

@@ -56,7 +56,7 @@ def cell_size(
     )
 
 
-def grid_layout(
+def canvas_size(
     images: DataFrame,
     rows: int = 5,
     cols: int = 7,
@@ -64,41 +64,63 @@ def grid_layout(
     target_height: int | None = None,
     fit: str = "stretch",
     keys=("creator_name",),
-    order=("ord",),
 ) -> DataFrame:
-    """Cell and canvas of every placed image: the first rows x cols usable ones per creator.
+    """One row per creator: (keys, cell_w, cell_h, canvas_w, canvas_h).
 
     `fit="crop"` is the square variant: 200 px cells and only as many grid rows as needed.
     """
-    keys = list(keys)
-    extra = [c for c in order if c not in keys]
-    usable = valid_images(images).select(*keys, *extra, "width", "height")
-    w = Window.partitionBy(*keys).orderBy(*order)
-    placed = usable.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= rows * cols)
     if fit == "crop":
-        sizes = usable.groupBy(*keys).agg(F.count(F.lit(1)).alias("images")).withColumns(
+        sizes = images.groupBy(*keys).agg(F.count_if(is_usable()).alias("images")).withColumns(
             {"cell_w": F.lit(MIN_CELL), "cell_h": F.lit(MIN_CELL)}
         )
         grid_rows = F.ceil(F.least(F.col("images"), F.lit(rows * cols)) / cols).cast("int")
     else:
         sizes = cell_size(images, target_width, target_height, keys)
         grid_rows = F.lit(rows)
+    return sizes.select(
+        *keys,
+        "cell_w",
+        "cell_h",
+        (F.col("cell_w") * cols).alias("canvas_w"),
+        (F.col("cell_h") * grid_rows).alias("canvas_h"),
+    )
+
+
+def place_images(usable: DataFrame, canvas: DataFrame, rows: int, cols: int, keys: list[str], order) -> DataFrame:
+    """The first rows x cols images per creator with their cell.
+
+    The row number limit cuts every group before the shuffle; the canvas rows are joined on the same
+    keys, so the images move once.
+    """
+    w = Window.partitionBy(*keys).orderBy(*order)
+    placed = usable.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= rows * cols)
     i = F.col("_n") - 1
     return (
-        placed.join(sizes, keys)
+        placed.join(canvas, keys)
         .withColumns({"grid_row": F.floor(i / cols).cast("int"), "grid_col": (i % cols).cast("int")})
-        .withColumns(
-            {
-                "x": F.col("grid_col") * F.col("cell_w"),
-                "y": F.col("grid_row") * F.col("cell_h"),
-                "canvas_w": F.col("cell_w") * cols,
-                "canvas_h": F.col("cell_h") * grid_rows,
-            }
-        )
-        .drop("_n", "images")
+        .withColumns({"x": F.col("grid_col") * F.col("cell_w"), "y": F.col("grid_row") * F.col("cell_h")})
+        .drop("_n")
     )
 
 
+def grid_layout(
+    images: DataFrame,
+    rows: int = 5,
+    cols: int = 7,
+    target_width: int | None = None,
+    target_height: int | None = None,
+    fit: str = "stretch",
+    keys=("creator_name",),
+    order=("ord",),
+) -> DataFrame:
+    """Cell and canvas of every placed image: the first rows x cols usable ones per creator."""
+    keys = list(keys)
+    extra = [c for c in order if c not in keys]
+    usable = valid_images(images).select(*keys, *extra, "width", "height")
+    canvas = canvas_size(images, rows, cols, target_width, target_height, fit, keys)
+    return place_images(usable, canvas, rows, cols, keys, order)
+
+
 def combined_rows(items: DataFrame, rows: int = 5, cols: int = 7, keep=("cover_url",)) -> DataFrame:
     """The rows of one combined collage: creators by first appearance, then file order.
 

@@ -9,6 +9,7 @@ from datetime import datetime
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mediabatch import schemas
 from mediabatch.config import CONFIG_KEYS, DEFAULT_CONFIG, ProcessingConfig
@@ -80,10 +81,14 @@ def parse_messages(messages: DataFrame, as_of: datetime, defaults: ProcessingCon
     unreadable body, unsupported type, unknown configuration keys, invalid configuration, missing
     payload.
     """
-    readable = F.try_parse_json("body").isNotNull()
-    parsed = messages.withColumns(
-        {"readable": readable, "m": F.from_json("body", schemas.MESSAGE), "named": config_keys(F.col("body"))}
+    # One generated row per message: filters on what follows cannot be pushed below the parsing, which
+    # would repeat it for every field they mention.
+    decoded = F.struct(
+        F.try_parse_json("body").isNotNull().alias("readable"),
+        F.from_json("body", schemas.MESSAGE).alias("m"),
+        config_keys(F.col("body")).alias("named"),
     )
+    parsed = messages.select("*", F.inline(F.array(decoded)))
     kind = F.col("m.processing_type")
     config = merge_config(F.col("m.processing_config"), F.col("named"), defaults)
     prefix = F.coalesce(
@@ -139,60 +144,60 @@ def retryable(dead: DataFrame) -> DataFrame:
 # -- embedded CSV ------------------------------------------------------------------------------
 
 
-def _parse_csv(carried: list[str]):
-    """CSV texts with quoted cells, one message at a time."""
+LINE = T.StructType([T.StructField(c, T.StringType()) for c in CSV_COLUMNS] + [T.StructField("line", T.LongType())])
 
-    def run(batches):
-        for pdf in batches:
-            rows = []
-            for values in pdf.itertuples(index=False):
-                text = values[-1]
-                for n, row in enumerate(csv.DictReader(io.StringIO(text)), 1):
-                    cells = ["unknown" if c == "creator_name" and c not in row else row.get(c, "")
-                             for c in CSV_COLUMNS]
-                    rows.append([*values[:-1], *cells, n])
-            yield pd.DataFrame(rows, columns=[*carried, *CSV_COLUMNS, "line"])
 
-    return run
+@F.pandas_udf(T.ArrayType(LINE))
+def _quoted_lines(texts: pd.Series) -> pd.Series:
+    """Lines of CSV texts with quoted cells."""
 
+    def lines(text):
+        if text is None:
+            return None
+        return [
+            {
+                "creator_name": row.get("creator_name") if "creator_name" in row else "unknown",
+                "cover_url": row.get("cover_url", ""),
+                "updated_at": row.get("updated_at", ""),
+                "line": number,
+            }
+            for number, row in enumerate(csv.DictReader(io.StringIO(text)), 1)
+        ]
 
-def message_items(messages: DataFrame, carry=("batch_id",), text: str = "csv_data") -> DataFrame:
-    """Item rows of CSV texts; columns by header name, `line` keeps their order.
+    return texts.map(lines)
 
-    Text without quotes is split by Spark; text with quotes (cells may hold commas and line breaks)
-    goes through a CSV parser per message.
-    """
-    carried = list(carry)
-    source = messages.select(*carried, F.col(text).alias("_text"))
-    quoted = F.contains("_text", F.lit('"'))
-    lines = F.split(F.regexp_replace("_text", "\r\n?", "\n"), "\n")
-    plain = (
-        source.where(~quoted)
-        .select(*carried, F.filter(lines, lambda line: line != "").alias("lines"))
-        .select(
-            *carried,
-            F.split(F.get("lines", F.lit(0)), ",").alias("header"),
-            F.posexplode(F.slice("lines", F.lit(2), F.greatest(F.size("lines") - 1, F.lit(0)))).alias("pos", "row"),
-        )
-        .withColumn("cells", F.split("row", ","))
-    )
 
-    def cell(name: str, absent: str):
-        at = F.array_position("header", F.lit(name))
-        return F.when(at == 0, F.lit(absent)).otherwise(F.get("cells", at.cast("int") - 1)).alias(name)
+def _plain_lines(text: Column) -> Column:
+    """Lines of CSV texts without quotes."""
+    lines = F.filter(F.split(F.regexp_replace(text, "\r\n?", "\n"), "\n"), lambda line: line != "")
+    header = F.split(F.get(lines, F.lit(0)), ",")
 
-    split = plain.select(
-        *carried,
-        cell("creator_name", "unknown"),
-        cell("cover_url", ""),
-        cell("updated_at", ""),
-        (F.col("pos") + 1).cast("long").alias("line"),
-    )
-    fields = ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}" for c in carried)
-    parsed = source.where(quoted).mapInPandas(
-        _parse_csv(carried), f"{fields}{', ' if fields else ''}{schemas.ITEMS}, line LONG"
+    def cell(row: Column, name: str, absent: str) -> Column:
+        at = F.array_position(header, F.lit(name)).cast("int")
+        return F.when(at == 0, F.lit(absent)).otherwise(F.get(F.split(row, ","), at - 1)).alias(name)
+
+    rows = F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0)))
+    return F.transform(
+        rows,
+        lambda row, i: F.struct(
+            cell(row, "creator_name", "unknown"),
+            cell(row, "cover_url", ""),
+            cell(row, "updated_at", ""),
+            (i + 1).cast("long").alias("line"),
+        ),
     )
-    return split.unionByName(parsed)
+
+
+def message_items(messages: DataFrame, carry=("batch_id",), text: str = "csv_data") -> DataFrame:
+    """Item rows of CSV texts; columns by header name, `line` keeps their order.
+
+    Text without quotes is split by Spark; only text with quotes (cells may hold commas and line
+    breaks) is handed to a CSV parser. A message's text is bounded by the transport.
+    """
+    body = F.col(text)
+    quoted = F.contains(body, F.lit('"'))
+    lines = F.when(quoted, _quoted_lines(F.when(quoted, body))).otherwise(_plain_lines(body))
+    return messages.select(*carry, F.inline(lines))
 
 
 # -- second chance -----------------------------------------------------------------------------

@@ -134,8 +134,9 @@ PARTS: dict[str, str] = {
     "rasters": """
         SELECT *, row_number() OVER (PARTITION BY creator_name
             ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice) AS i
-        FROM (SELECT *, l_orderkey % 256 + l_linenumber * 30 % 256 + p_size * 5 % 256 AS channels FROM dims)
-        WHERE 40 + quantity >= 50""",
+        FROM (SELECT *, CASE WHEN l_linenumber % 4 = 0 THEN l_orderkey % 256 + l_linenumber * 30 + p_size * 5
+            ELSE 3 * (l_orderkey % 256) END AS channels FROM dims)
+        WHERE 46 + quantity % 10 >= 50""",
     "messages": """
         SELECT o_orderkey AS message_id, o_custkey AS c, o_orderkey % 5 AS kind, o_orderkey AS k FROM orders""",
     "routed": """

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mediabatch import schemas
@@ -20,7 +20,7 @@ from mediabatch.config import DEFAULT_CONFIG, ProcessingConfig
 from mediabatch.functions.hashing import legacy_collage_key
 from mediabatch.operators.compose import compose, fetch, fetch_counts, http_fetcher
 from mediabatch.operators.decisions import plan_work
-from mediabatch.operators.ingest import cap_per_creator, valid_items
+from mediabatch.operators.ingest import valid_items, with_positions
 from mediabatch.operators.layout import combined_rows
 from mediabatch.operators.report import run_summary
 from mediabatch.operators.state import create_records, current_state, moment, update_records
@@ -45,15 +45,20 @@ def _stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def creator_id(creator: Column) -> Column:
+    """A creator's name as a folder name."""
+    return F.sha2(creator, 256)
+
+
 def stage_files(fetched: DataFrame, folder: str) -> None:
-    """Write fetched bytes to files named by `file`, where the image reader can decode them.
+    """Write fetched bytes as `<id>/<position>` files, where the image reader can decode them.
 
     A retried task replaces its own files.
     """
 
     def save(rows):
         for row in rows:
-            target = os.path.join(folder, row.file[:2], row.file)
+            target = os.path.join(folder, row.creator_id[:2], row.creator_id, f"{row.position}")
             os.makedirs(os.path.dirname(target), exist_ok=True)
             part = f"{target}.{os.getpid()}.{time.monotonic_ns()}"
             with open(part, "wb") as f:
@@ -61,26 +66,49 @@ def stage_files(fetched: DataFrame, folder: str) -> None:
             os.replace(part, target)
 
     os.makedirs(folder, exist_ok=True)
-    fetched.where(F.col("bytes").isNotNull()).select("file", "bytes").foreachPartition(save)
+    fetched.where(F.col("bytes").isNotNull()).select("creator_id", "position", "bytes").foreachPartition(save)
 
 
-def decode(spark: SparkSession, fetched: DataFrame, folder: str) -> DataFrame:
-    """Fetched rows with their decoded `image`; undecodable ones have sizes of -1."""
-    files = read_images(spark, f"{folder}/*")
-    named = files.select(F.substring_index("image.origin", "/", -1).alias("file"), "image")
-    return fetched.drop("bytes").join(named, "file")
+def staged_images(spark: SparkSession, folder: str) -> DataFrame:
+    """Staged files decoded: (creator_id, position, image). The path names both, so nothing is joined."""
+    origin = F.col("image.origin")
+    return read_images(spark, f"{folder}/*/*").select(
+        F.element_at(F.split(origin, "/"), -2).alias("creator_id"),
+        F.element_at(F.split(origin, "/"), -1).cast("long").alias("position"),
+        "image",
+    )
 
 
-def _fetched_images(
-    spark: SparkSession, rows: DataFrame, config: ProcessingConfig, fetcher: Callable, paths: RunPaths
+def _build(
+    rows: DataFrame,
+    creators: DataFrame,
+    config: ProcessingConfig,
+    fetcher: Callable,
+    paths: RunPaths,
+    with_png: bool,
 ) -> tuple[DataFrame, DataFrame]:
-    named = rows.withColumn("file", F.sha2(F.concat_ws("\x00", "creator_name", F.to_json(F.struct("ord"))), 256))
+    """Fetch, decode and compose `rows` (creator_name, position, cover_url); returns (fetched, collages).
+
+    `creators` has creator_name and s3_key, which the collages take along.
+    """
+    spark = rows.sparkSession
+    named = rows.withColumn("creator_id", creator_id(F.col("creator_name")))
     fetched = _stored(fetch(named, config, fetcher), paths.fetched)
-    stage_files(fetched, paths.staged)
     if fetched.where(F.col("bytes").isNotNull()).isEmpty():
-        empty = fetched.drop("bytes").withColumn("image", F.lit(None).cast(schemas.IMAGE)).limit(0)
-        return fetched, empty
-    return fetched, decode(spark, fetched, paths.staged)
+        images = spark.createDataFrame([], f"creator_id STRING, position LONG, image {schemas.IMAGE}")
+    else:
+        stage_files(fetched, paths.staged)
+        images = staged_images(spark, paths.staged)
+    made = compose(
+        images,
+        config.rows,
+        config.cols,
+        keys=("creator_id",),
+        order=("position",),
+        with_png=with_png,
+        creators=creators.withColumn("creator_id", creator_id(F.col("creator_name"))),
+    )
+    return fetched, _stored(made.drop("creator_id"), paths.collages)
 
 
 def run_batch(
@@ -121,10 +149,9 @@ def run_batch(
         opened = _stored(records, paths.records).where("accepted").drop("accepted")
         append_state(opened, state_path)
 
-    todo = cap_per_creator(valid, config.cap).join(work.select("creator_name"), "creator_name", "left_semi")
-    fetched, images = _fetched_images(spark, todo, config, fetcher, paths)
-    made = compose(images, config.rows, config.cols, with_png=with_png)
-    collages = _stored(made.join(work.select("creator_name", "s3_key"), "creator_name"), paths.collages)
+    todo = valid.join(work.select("creator_name"), "creator_name", "left_semi")
+    ranked = with_positions(todo, config.cap)
+    fetched, collages = _build(ranked, work.select("creator_name", "s3_key"), config, fetcher, paths, with_png)
 
     built = collages.select("creator_name", "placed", F.col("compose_ms").alias("placement_ms"))
     downloads = fetch_counts(fetched).select("creator_name", F.col("fetch_ms").alias("download_ms"))
@@ -185,16 +212,14 @@ def run_combined(
     with_png: bool = False,
 ) -> DataFrame:
     """One collage over all creators; returns at most one result row, none when it fails."""
-    spark = items.sparkSession
     paths = RunPaths(work_dir)
     chosen = combined_rows(valid_items(items), config.rows, config.cols).select(
-        F.lit("combined").alias("creator_name"), F.col("position").alias("ord"), "cover_url"
+        F.lit("combined").alias("creator_name"), F.col("position").cast("long").alias("position"), "cover_url"
     )
     chosen = _stored(chosen, paths.plan)
-    _, images = _fetched_images(spark, chosen, config, fetcher, paths)
     key = F.lit(f"{prefix}collages/combined_collage_{as_of:%Y%m%d_%H%M%S}.jpg")
-    made = compose(images, config.rows, config.cols, with_png=with_png).withColumn("s3_key", key)
-    collages = _stored(made, paths.collages)
+    label = chosen.select("creator_name").distinct().withColumn("s3_key", key)
+    _, collages = _build(chosen, label, config, fetcher, paths, with_png)
     total = chosen.groupBy("creator_name").agg(F.count(F.lit(1)).alias("image_count"))
     return collages.join(total, "creator_name").select(
         "creator_name", F.lit("created").alias("outcome"), "image_count", "s3_key", "placed"

@@ -168,24 +168,27 @@ class Tables:
             )
         )
 
+    def image_sizes(self) -> DataFrame:
+        """Sizes of the generated images; some are too small."""
+        width, height = 50 + F.col("p_size") % 10, 46 + F.col("quantity") % 10
+        return self.dims().withColumns({"width": width.cast("int"), "height": height.cast("int")})
+
     def images(self) -> DataFrame:
-        """Decoded one-colour images made by Spark from the line items; some are too small."""
-        d = self.dims()
-        blue, green, red = (
-            F.col("ord.l_orderkey") % 256, F.col("ord.l_linenumber") * 30 % 256, F.col("p_size") * 5 % 256
-        )
-        pixel = F.concat(*[F.lpad(F.hex(c.cast("long")), 2, "0") for c in (blue, green, red)])
-        width, height = (50 + F.col("p_size") % 40).cast("int"), (40 + F.col("quantity")).cast("int")
-        return d.select(
+        """Decoded one-colour images made by Spark from the line items, a quarter in colour, others grey."""
+        colour = F.col("ord.l_linenumber") % 4 == 0
+        blue, green, red = F.col("ord.l_orderkey") % 256, F.col("ord.l_linenumber") * 30, F.col("p_size") * 5
+        hexes = [F.lpad(F.hex(c.cast("long")), 2, "0") for c in (blue, green, red)]
+        pixel = F.when(colour, F.concat(*hexes)).otherwise(hexes[0])
+        return self.image_sizes().select(
             "creator_name",
             "ord",
             F.struct(
                 F.lit("").alias("origin"),
-                height.alias("height"),
-                width.alias("width"),
-                F.lit(3).alias("nChannels"),
-                F.lit(16).alias("mode"),
-                F.unhex(F.repeat(pixel, width * height)).alias("data"),
+                "height",
+                "width",
+                F.when(colour, 3).otherwise(1).alias("nChannels"),
+                F.when(colour, 16).otherwise(0).alias("mode"),
+                F.unhex(F.repeat(pixel, F.col("width") * F.col("height"))).alias("data"),
             ).alias("image"),
         )
 

@@ -15,8 +15,6 @@ SQL_DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # A collage row is megabytes wide: keep Arrow batches small.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 

@@ -123,7 +123,9 @@ def message_stream(
         bodies = bodies.select(F.col("value").alias("body"))
 
     def each(batch: DataFrame, epoch: int) -> None:
-        parsed = parse_messages(batch, as_of(), defaults)
+        # Parsed once; the tables below are read off the stored result.
+        _epoch_write(parse_messages(batch, as_of(), defaults), f"{out}/parsed", epoch)
+        parsed = spark.read.parquet(f"{out}/parsed/epoch={epoch}")
         carry = ("batch_id", "output_prefix", "config")
         rows = message_items(accepted(parsed, "csv_data"), carry).withColumn("ord", F.col("line")).drop("line")
         if root is not None:
