@@ -16,38 +16,54 @@ def to_array(data: bytes, height: int, width: int, channels: int) -> np.ndarray:
     return np.repeat(pixels, 3, axis=2) if channels == 1 else pixels[:, :, :3]
 
 
-def lanczos_weights(size_in: int, size_out: int) -> np.ndarray:
-    """Resampling matrix (size_out x size_in): windowed sinc, widened when shrinking, rows sum to 1."""
+def lanczos_taps(size_in: int, size_out: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each output position its input positions and weights (both size_out x taps).
+
+    A windowed sinc, widened when shrinking; the weights of a position sum to 1.
+    """
     scale = size_in / size_out
     stretch = max(scale, 1.0)
+    reach = LANCZOS_SUPPORT * stretch
     centres = (np.arange(size_out) + 0.5) * scale
-    offset = (np.arange(size_in)[None, :] + 0.5 - centres[:, None]) / stretch
+    first = np.floor(centres - reach).astype(int)
+    at = first[:, None] + np.arange(int(np.ceil(2 * reach)) + 2)[None, :]
+    offset = (at + 0.5 - centres[:, None]) / stretch
     weights = np.where(
-        np.abs(offset) < LANCZOS_SUPPORT, np.sinc(offset) * np.sinc(offset / LANCZOS_SUPPORT), 0.0
+        (np.abs(offset) < LANCZOS_SUPPORT) & (at >= 0) & (at < size_in),
+        np.sinc(offset) * np.sinc(offset / LANCZOS_SUPPORT),
+        0.0,
     )
-    return (weights / weights.sum(axis=1, keepdims=True)).astype(np.float32)
+    weights /= weights.sum(axis=1, keepdims=True)
+    return at.clip(0, size_in - 1), weights.astype(np.float32)
+
+
+def _resample_rows(pixels: np.ndarray, taps: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    at, weights = taps
+    source = pixels.astype(np.float32)
+    out = np.zeros((len(at), *pixels.shape[1:]), np.float32)
+    for k in range(at.shape[1]):
+        out += source[at[:, k]] * weights[:, k, None, None]
+    return np.rint(out).clip(0, 255).astype(np.uint8)
 
 
 def resize(pixels: np.ndarray, width: int, height: int, cache: dict) -> np.ndarray:
-    """Stretch to the given size, one axis after the other. `cache` keeps matrices by size."""
+    """Stretch to the given size, one axis after the other. `cache` keeps taps by size."""
 
-    def weights(size_in, size_out):
+    def taps(size_in, size_out):
         key = (size_in, size_out)
         if key not in cache:
-            if len(cache) > 256:
+            if len(cache) > 4096:
                 cache.clear()
-            cache[key] = lanczos_weights(size_in, size_out)
+            cache[key] = lanczos_taps(size_in, size_out)
         return cache[key]
 
-    h, w, channels = pixels.shape
+    h, w, _ = pixels.shape
     out = pixels
     if w != width:
-        rows = out.transpose(0, 2, 1).astype(np.float32) @ weights(w, width).T
-        out = np.rint(rows).clip(0, 255).astype(np.uint8).transpose(0, 2, 1)
+        sideways = np.ascontiguousarray(out.transpose(1, 0, 2))
+        out = _resample_rows(sideways, taps(w, width)).transpose(1, 0, 2)
     if h != height:
-        flat = np.ascontiguousarray(out).reshape(h, width * channels).astype(np.float32)
-        columns = weights(h, height) @ flat
-        out = np.rint(columns).clip(0, 255).astype(np.uint8).reshape(height, width, channels)
+        out = _resample_rows(np.ascontiguousarray(out), taps(h, height))
     return np.ascontiguousarray(out)
 
 

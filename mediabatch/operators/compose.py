@@ -25,6 +25,9 @@ HEADERS = {
     "Accept-Language": "en-US,en;q=0.9",
 }
 
+# Bytes of cells per batch between the two Python stages.
+CELL_BYTES = 32 * 1024 * 1024
+
 # OpenCV type codes of the raw image struct, by channel count.
 IMAGE_MODES = {1: 0, 3: 16, 4: 24}
 
@@ -72,8 +75,11 @@ def fetch(
     requests open and hands bytes on in small groups.
     """
     wanted = rows.where(strip(F.col(url)) != "")
-    # A few waves per core even out slow hosts.
-    wanted = wanted.repartition(tasks or rows.sparkSession.sparkContext.defaultParallelism * 4)
+    if tasks is None:
+        # At least a few waves per core, to even out slow hosts.
+        spark = rows.sparkSession
+        tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    wanted = wanted.repartition(tasks)
     workers, timeout, retries = config.max_workers, config.timeout, config.max_retries
     names = ["attempts", "content_type", "bytes", "error", "fetch_ms"]
 
@@ -119,9 +125,10 @@ def _cut_cells(fit: str):
                 return None  # the cell stays blank
 
         for pdf in batches:
-            # Small groups keep the cells of one Arrow batch in the megabytes.
-            for start in range(0, len(pdf), 16):
-                part = pdf.iloc[start : start + 16]
+            # The cells handed back at a time stay within a fixed number of bytes.
+            step = max(1, CELL_BYTES // int((pdf["cell_w"] * pdf["cell_h"] * 3).max()))
+            for start in range(0, len(pdf), step):
+                part = pdf.iloc[start : start + step]
                 started = time.monotonic()
                 cells = [cell(row) for row in part.itertuples(index=False)]
                 spent = (time.monotonic() - started) * 1000 / max(len(part), 1)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from mediabatch.functions.hashing import check_algorithm, collage_file, collage_key, digest
 from mediabatch.functions.text import blank_to_null, canonical_json, json_quote, normalized_name
 from mediabatch.operators.ingest import cap_per_creator
+from mediabatch.session import shared_dir
 
 # A list of up to this many elements is hashed as one array value; a longer one is streamed.
 LIST_LIMIT = 10_000
@@ -245,7 +246,9 @@ def batch_hash(
     list_limit: int = LIST_LIMIT,
 ) -> DataFrame:
     """Hash per batch over its creators' hashes (without metadata) and its URL total, blanks included."""
-    creators = creator_hash(rows, None, algo, None, (batch, creator), url, list_limit)
+    shared_dir(rows.sparkSession)
+    # One short row per creator, read several times below: kept instead of hashed again.
+    creators = creator_hash(rows, None, algo, None, (batch, creator), url, list_limit).checkpoint()
     entries = creators.select(
         batch,
         F.col(creator).alias("sort_key"),

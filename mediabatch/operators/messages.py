@@ -30,11 +30,9 @@ CSV_COLUMNS = ("creator_name", "cover_url", "updated_at")
 # -- configuration -----------------------------------------------------------------------------
 
 
-def config_keys(body: Column) -> Column:
-    """Configuration keys a message body names, known or not."""
-    return F.coalesce(
-        F.json_object_keys(F.get_json_object(body, "$.processing_config")), F.array().cast("array<string>")
-    )
+def config_keys(config: Column) -> Column:
+    """Keys that a configuration text names, known or not."""
+    return F.coalesce(F.json_object_keys(config), F.array().cast("array<string>"))
 
 
 def merge_config(given: Column, named: Column, defaults: ProcessingConfig = DEFAULT_CONFIG) -> Column:
@@ -81,16 +79,17 @@ def parse_messages(messages: DataFrame, as_of: datetime, defaults: ProcessingCon
     unreadable body, unsupported type, unknown configuration keys, invalid configuration, missing
     payload.
     """
-    # One generated row per message: filters on what follows cannot be pushed below the parsing, which
-    # would repeat it for every field they mention.
-    decoded = F.struct(
-        F.try_parse_json("body").isNotNull().alias("readable"),
-        F.from_json("body", schemas.MESSAGE).alias("m"),
-        config_keys(F.col("body")).alias("named"),
+    # The body is decoded once. Each step makes one generated row per message: filters on what follows
+    # cannot be pushed below the decoding, which would repeat it for every field they mention.
+    options = {"columnNameOfCorruptRecord": "unreadable"}
+    body = messages.select("*", F.inline(F.array(F.struct(F.from_json("body", schemas.MESSAGE, options).alias("m")))))
+    text = F.col("m.processing_config")
+    settings = F.struct(F.from_json(text, schemas.CONFIG).alias("given"), config_keys(text).alias("named"))
+    parsed = body.select("*", F.inline(F.array(settings))).withColumn(
+        "readable", F.col("m").isNotNull() & F.col("m.unreadable").isNull()
     )
-    parsed = messages.select("*", F.inline(F.array(decoded)))
     kind = F.col("m.processing_type")
-    config = merge_config(F.col("m.processing_config"), F.col("named"), defaults)
+    config = merge_config(F.col("given"), F.col("named"), defaults)
     prefix = F.coalesce(
         F.col("m.output_prefix"), *[F.when(kind == k, F.lit(p)) for k, p in DEFAULT_PREFIXES.items()]
     )
@@ -221,9 +220,9 @@ def reprocess(dead: DataFrame, as_of: datetime, timeout: int | None = None) -> D
     def json_value(value):
         return F.parse_json(F.lit(canonical_json(value)))
 
-    parsed = F.try_parse_json("body")
-    body = F.try_variant_get(parsed, "$", objects)
-    config = F.coalesce(F.try_variant_get(parsed, "$.processing_config", objects), F.create_map().cast(objects))
+    decoded = dead.select("*", F.inline(F.array(F.struct(F.try_parse_json("body").alias("_json")))))
+    body = F.try_variant_get("_json", "$", objects)
+    config = F.coalesce(F.try_variant_get("_json", "$.processing_config", objects), F.create_map().cast(objects))
     new_config = F.to_variant_object(_overlaid(config, {k: json_value(v) for k, v in relaxed.items()}))
     new_body = _overlaid(
         body,
@@ -233,4 +232,6 @@ def reprocess(dead: DataFrame, as_of: datetime, timeout: int | None = None) -> D
             "source": json_value("dlq_reprocess"),
         },
     )
-    return dead.withColumn("new_body", F.to_json(new_body)).where(F.col("new_body").isNotNull())
+    # Bodies that are no JSON object give no row.
+    texts = F.array_compact(F.array(F.to_json(new_body)))
+    return decoded.select(*dead.columns, F.explode(texts).alias("new_body"))

@@ -51,7 +51,7 @@ def timing_summary(results: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 
 def dead_letter_patterns(dead: DataFrame, body: str = "body") -> DataFrame:
     """Failed messages by type; unreadable ones count as `parse_error`."""
-    kind = F.get_json_object(F.col(body), "$.processing_type")
-    readable = F.try_parse_json(F.col(body)).isNotNull()
-    pattern = F.when(~readable, "parse_error").otherwise(F.coalesce(kind, F.lit("unknown")))
-    return dead.groupBy(pattern.alias("pattern")).agg(F.count(F.lit(1)).alias("messages"))
+    value = F.try_parse_json(F.col(body))
+    parsed = dead.select(value.isNull().alias("bad"), F.try_variant_get(value, "$.processing_type", "string").alias("kind"))
+    pattern = F.when(F.col("bad"), "parse_error").otherwise(F.coalesce("kind", F.lit("unknown")))
+    return parsed.groupBy(pattern.alias("pattern")).agg(F.count(F.lit(1)).alias("messages"))

@@ -30,6 +30,11 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def _spread(self, rows: DataFrame, source: str) -> DataFrame:
+        """Rows for costly work per row; a small `source` table would keep them in few tasks."""
+        cores = self.spark.sparkContext.defaultParallelism
+        return rows.repartition(4 * cores) if self.raw(source).rdd.getNumPartitions() < cores else rows
+
     def _orders(self) -> DataFrame:
         customers = self.raw("customer").select("c_custkey", "c_name")
         return self.raw("orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
@@ -179,7 +184,7 @@ class Tables:
         blue, green, red = F.col("ord.l_orderkey") % 256, F.col("ord.l_linenumber") * 30, F.col("p_size") * 5
         hexes = [F.lpad(F.hex(c.cast("long")), 2, "0") for c in (blue, green, red)]
         pixel = F.when(colour, F.concat(*hexes)).otherwise(hexes[0])
-        return self.image_sizes().select(
+        return self._spread(self.image_sizes(), "lineitem").select(
             "creator_name",
             "ord",
             F.struct(
@@ -219,7 +224,8 @@ class Tables:
             .when(key % 5 == 3, '{"processing_type":"csv_s3"')
             .otherwise(wrong)
         )
-        return self.raw("orders").select(key.alias("message_id"), body.alias("body"))
+        orders = self._spread(self.raw("orders").select("o_orderkey", "o_custkey"), "orders")
+        return orders.select(key.alias("message_id"), body.alias("body"))
 
     def results(self) -> DataFrame:
         """Per-creator run results, one per event."""

@@ -9,9 +9,11 @@ CONFIG = (
     " quality: INT, max_workers: INT, timeout: INT, max_retries: INT>"
 )
 
+# The configuration stays JSON text here and is decoded on its own; `unreadable` holds a body that is
+# no JSON object.
 MESSAGE = (
-    "processing_type STRING, s3_bucket STRING, s3_key STRING, csv_data STRING,"
-    f" processing_config {CONFIG}, output_prefix STRING, timestamp STRING, source STRING"
+    "processing_type STRING, s3_bucket STRING, s3_key STRING, csv_data STRING, processing_config STRING,"
+    " output_prefix STRING, timestamp STRING, source STRING, unreadable STRING"
 )
 
 OBJECTS = "s3_key STRING, size_bytes LONG, last_modified TIMESTAMP, content_type STRING"

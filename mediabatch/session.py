@@ -15,6 +15,8 @@ SQL_DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Resampling does far more work per shuffled byte than joins do: merge fewer partitions.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
 }
 
 

@@ -6,8 +6,9 @@ replaces that folder when the epoch is replayed, so a replay changes nothing.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import datetime, timezone
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,10 +26,6 @@ def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
-def _epoch_write(df: DataFrame, folder: str, epoch: int) -> None:
-    df.write.mode("overwrite").parquet(f"{folder}/epoch={epoch}")
-
-
 FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length LONG, content BINARY"
 
 
@@ -82,21 +79,22 @@ def ingest_stream(
     )
 
 
-def referenced_items(spark: SparkSession, parsed: DataFrame, root: str) -> tuple[DataFrame | None, list[str]]:
-    """Item rows of the stored CSV files that messages name, and the keys of missing files.
+def referenced_items(
+    spark: SparkSession, refs: DataFrame, root: str, files_per_scan: int = 1000
+) -> Iterator[tuple[DataFrame | None, list[str]]]:
+    """Item rows of the stored CSV files that messages name, with the keys of missing files.
 
-    The file names of a micro-batch (bounded by its trigger size) are listed to plan the scans; the
-    rows are read by the executors and joined to their message by file path.
+    `refs` has `s3_key` and the columns to carry. File names come in slices of bounded size, only to
+    plan the scans; the rows are read by the executors and joined to their message by file path.
     """
-    refs = accepted(parsed, "csv_s3").select("s3_key", "batch_id", "output_prefix", "config")
     base = root.rstrip("/") + "/"
-    paths = [base + row.s3_key for row in refs.select("s3_key").distinct().toLocalIterator()]
-    rows, lost = read_item_files(spark, paths)
-    missing = [path[len(base):] for path in lost]
-    if rows is None:
-        return None, missing
-    named = rows.withColumn("s3_key", F.substring_index(F.col("ord.file"), base, -1))
-    return named.join(refs, "s3_key"), missing
+    names = (base + row.s3_key for row in refs.select("s3_key").distinct().toLocalIterator())
+    while paths := list(islice(names, files_per_scan)):
+        rows, lost = read_item_files(spark, paths)
+        if rows is not None:
+            named = rows.withColumn("s3_key", F.substring_index(F.col("ord.file"), base, -1))
+            rows = named.join(refs, "s3_key")
+        yield rows, [path[len(base) :] for path in lost]
 
 
 def message_stream(
@@ -123,25 +121,32 @@ def message_stream(
         bodies = bodies.select(F.col("value").alias("body"))
 
     def each(batch: DataFrame, epoch: int) -> None:
-        # Parsed once; the tables below are read off the stored result.
-        _epoch_write(parse_messages(batch, as_of(), defaults), f"{out}/parsed", epoch)
-        parsed = spark.read.parquet(f"{out}/parsed/epoch={epoch}")
+        def store(df: DataFrame, table: str, part: int = 0) -> None:
+            # A replayed epoch replaces what its first run left.
+            df.write.mode("overwrite").parquet(f"{out}/{table}/epoch={epoch}/part={part}")
+
+        # Parsed once; the other tables are read off the stored result.
+        store(parse_messages(batch, as_of(), defaults), "parsed")
+        parsed = spark.read.parquet(f"{out}/parsed/epoch={epoch}/part=0")
         carry = ("batch_id", "output_prefix", "config")
-        rows = message_items(accepted(parsed, "csv_data"), carry).withColumn("ord", F.col("line")).drop("line")
+        embedded = message_items(accepted(parsed, "csv_data"), carry)
+        store(valid_items(embedded.withColumnRenamed("line", "ord")), "items")
+        reason = F.col("reason")
         if root is not None:
-            named, missing = referenced_items(spark, parsed, root)
-            if named is not None:
-                named = named.select(*carry, "creator_name", "cover_url", "updated_at",
-                                     F.col("ord.row").alias("ord"))
-                rows = rows.unionByName(named)
-            if missing:
-                gone = F.col("reason").isNull() & F.col("s3_key").isin(missing)
-                reason = F.when(gone, "missing file").otherwise(F.col("reason"))
-                parsed = parsed.withColumn("reason", reason)
-        routed = parsed.select("processing_type", "batch_id", "output_prefix", "reason", "config")
-        _epoch_write(routed, f"{out}/routed", epoch)
-        _epoch_write(rejected(parsed), f"{out}/dead", epoch)
-        _epoch_write(valid_items(rows), f"{out}/items", epoch)
+            refs = accepted(parsed, "csv_s3").select("s3_key", *carry)
+            store(spark.createDataFrame([], "s3_key STRING"), "missing")
+            for part, (rows, lost) in enumerate(referenced_items(spark, refs, root), 1):
+                if rows is not None:
+                    named = rows.select(*carry, "creator_name", "cover_url", "updated_at", F.col("ord.row").alias("ord"))
+                    store(valid_items(named), "items", part)
+                if lost:
+                    store(spark.createDataFrame([(key,) for key in lost], "s3_key STRING"), "missing", part)
+            missing = spark.read.schema("s3_key STRING").parquet(f"{out}/missing/epoch={epoch}")
+            parsed = parsed.join(missing.select("s3_key", F.lit(True).alias("gone")), "s3_key", "left")
+            reason = F.coalesce(reason, F.when(F.col("gone"), "missing file"))
+        routed = parsed.withColumn("reason", reason)
+        store(routed.select("processing_type", "batch_id", "output_prefix", "reason", "config"), "routed")
+        store(rejected(routed), "dead")
         if handle is not None:
             handle(spark.read.parquet(f"{out}/items/epoch={epoch}"), epoch)
 

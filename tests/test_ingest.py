@@ -159,3 +159,19 @@ def test_landing_layout(spark, tmp_path):
     df = items(spark, [("a", "u", "")]).drop("ord")
     writers.write_landing(df, str(tmp_path / "in"), "s3-trigger", datetime(2024, 1, 2))
     assert (tmp_path / "in" / "dt=2024-01-02" / "trigger=s3-trigger").is_dir()
+
+
+def test_link_filters_reach_the_scan(spark, tmp_path):
+    df = spark.createDataFrame([("a", "[]", datetime(2024, 1, 2), "x")],
+                               "creator_name string, cover_urls string, updated_at timestamp, other string")
+    df.write.parquet(str(tmp_path / "links"))
+    links = spark.read.parquet(str(tmp_path / "links"))
+    for date_filter, names, pushed in (
+        (("2024-01-01", "2024-01-03"), None, "GreaterThanOrEqual(updated_at"),
+        (None, ["a", "b"], "In(creator_name"),
+    ):
+        out = ingest.filter_links(links, date_filter, names).select("creator_name", "updated_at")
+        scan = out._jdf.queryExecution().executedPlan().toString().split("PushedFilters")[1]
+        assert pushed in scan
+        read = scan.split("ReadSchema")[1]
+        assert "cover_urls" not in read and "other" not in read

@@ -261,6 +261,7 @@ def test_message_trigger(spark, tmp_path, rows_of):
     assert rows_of(got, "creator_name", "cover_url", "config.rows") == [("a", "u", 5), ("q", "u8", 2), ("x", "u7", 5)]
     dead = rows_of(spark.read.parquet(f"{out}/dead"), "reason", "attempt")
     assert dead == [("malformed", 1), ("missing file", 1), ("unsupported type", 1)]
+    assert rows_of(spark.read.parquet(f"{out}/routed"), "reason").count((None,)) == 3
     # The stream gives what the batch operators give.
     batch = messages.message_items(messages.accepted(parse(spark, *bodies), "csv_data"), ())
     assert ingest.valid_items(batch).count() == 2
@@ -276,3 +277,42 @@ def test_message_sink_feeds_the_stream(spark, tmp_path):
     ).awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out" / "items"))
     assert sorted(r.cover_url for r in got.collect()) == ["u1", "u2", "u3"]
+
+
+def test_a_replayed_epoch_changes_nothing(spark, tmp_path, rows_of):
+    """A query that lost its checkpoint delivers everything again, under the same epochs."""
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    (inbox / "1.txt").write_text(json.dumps(data_message()) + "\n{bad\n")
+    out = str(tmp_path / "out")
+    seen = []
+    for n in range(2):
+        triggers.message_stream(
+            spark, str(inbox), out, str(tmp_path / f"cp{n}"), as_of=lambda: AS_OF,
+            handle=lambda rows, epoch: seen.append(rows.count()),
+        ).awaitTermination()
+    assert seen == [1, 1]
+    assert spark.read.parquet(f"{out}/items").count() == spark.read.parquet(f"{out}/dead").count() == 1
+
+
+def test_messages_run_to_collages_once(spark, tmp_path):
+    """The message trigger drives a whole run; a creator delivered again is skipped."""
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    path = str(tmp_path / "state")
+    none = spark.createDataFrame([], NO_OBJECTS)
+    outcomes = []
+
+    def handle(rows, epoch):
+        ordered = rows.select("creator_name", "cover_url", "updated_at", "ord")
+        done = run.run_batch(ordered, path, none, AS_OF, str(tmp_path / f"run{epoch}"),
+                             ProcessingConfig(rows=1, cols=2), "p/", f"b{epoch}", fetcher=picture)
+        outcomes.append({r.creator_name: r.outcome for r in done.collect()})
+
+    for n in range(2):
+        body = data_message(csv_data="creator_name,cover_url,updated_at\na,h/9,t\na,h/8,t")
+        (inbox / f"{n}.txt").write_text(json.dumps(body) + "\n")
+        triggers.message_stream(
+            spark, str(inbox), str(tmp_path / "out"), str(tmp_path / "cp"), as_of=lambda: AS_OF, handle=handle
+        ).awaitTermination()
+    assert outcomes == [{"a": "created"}, {"a": "skipped"}]
