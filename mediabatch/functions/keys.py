@@ -52,6 +52,11 @@ def without_csv(key: Column) -> Column:
     return F.replace(key, F.lit(".csv"), F.lit(""))
 
 
+def batch_file(batch_id: Column, as_of: Column) -> Column:
+    """File name of a batch below its run's timestamp folder."""
+    return F.format_string("%s/parallel_batch_%02d.csv", F.date_format(as_of, "yyyyMMdd_HHmmss"), batch_id + 1)
+
+
 def trigger_prefix(key: Column) -> Column:
     """Output prefix of a file that arrived in the landing folder."""
     return F.concat(F.lit("s3-trigger/"), without_csv(key), F.lit("/"))

@@ -97,7 +97,7 @@ def parse_messages(messages: DataFrame, as_of: datetime, defaults: ProcessingCon
     batch = F.when(kind == "csv_s3", run_batch_id("s3_ref", now, F.col("m.s3_key"))).when(
         kind == "csv_data", run_batch_id("sqs_data", now)
     )
-    extra = [c for c in messages.columns if c != "body"]
+    extra = [c for c in messages.columns if c not in ("body", "attempt")]
     shaped = parsed.select(
         *extra,
         "body",
@@ -110,6 +110,7 @@ def parse_messages(messages: DataFrame, as_of: datetime, defaults: ProcessingCon
         unknown_keys(F.col("named")).alias("unknown_keys"),
         prefix.alias("output_prefix"),
         batch.alias("batch_id"),
+        F.coalesce(F.col("m.attempt").try_cast("int"), F.lit(0)).alias("attempt"),
     )
     reason = (
         F.when(~F.col("readable"), "malformed")
@@ -128,10 +129,9 @@ def accepted(parsed: DataFrame, kind: str | None = None) -> DataFrame:
 
 
 def rejected(parsed: DataFrame) -> DataFrame:
-    """Dead-letter rows: body, reason and the delivery count, where the table has one."""
-    attempt = F.col("attempt") + 1 if "attempt" in parsed.columns else F.lit(1)
+    """Dead-letter rows: body, type, reason and how often the message was delivered."""
     return parsed.where(F.col("reason").isNotNull()).select(
-        "body", "processing_type", "reason", attempt.cast("int").alias("attempt")
+        "body", "processing_type", "reason", (F.col("attempt") + 1).alias("attempt")
     )
 
 
@@ -212,7 +212,8 @@ def _overlaid(fields: Column, changes: dict[str, Column]) -> Column:
 def reprocess(dead: DataFrame, as_of: datetime, timeout: int | None = None) -> DataFrame:
     """Dead letters that are JSON objects, with relaxed settings as `new_body`.
 
-    Retries, timeout, workers, timestamp and source are replaced, everything else is kept.
+    Retries, timeout, workers, timestamp, source and the delivery count are replaced, everything else
+    is kept.
     """
     relaxed = {**RETRY_CONFIG, **({"timeout": timeout} if timeout else {})}
     objects = "map<string,variant>"
@@ -230,6 +231,7 @@ def reprocess(dead: DataFrame, as_of: datetime, timeout: int | None = None) -> D
             "processing_config": new_config,
             "timestamp": json_value(as_of.isoformat()),
             "source": json_value("dlq_reprocess"),
+            "attempt": F.parse_json(F.col("attempt").cast("string")),
         },
     )
     # Bodies that are no JSON object give no row.

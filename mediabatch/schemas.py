@@ -10,10 +10,10 @@ CONFIG = (
 )
 
 # The configuration stays JSON text here and is decoded on its own; `unreadable` holds a body that is
-# no JSON object.
+# no JSON object. `attempt` counts earlier deliveries of a message that was sent again.
 MESSAGE = (
     "processing_type STRING, s3_bucket STRING, s3_key STRING, csv_data STRING, processing_config STRING,"
-    " output_prefix STRING, timestamp STRING, source STRING, unreadable STRING"
+    " output_prefix STRING, timestamp STRING, source STRING, attempt STRING, unreadable STRING"
 )
 
 OBJECTS = "s3_key STRING, size_bytes LONG, last_modified TIMESTAMP, content_type STRING"

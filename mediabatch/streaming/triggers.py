@@ -17,9 +17,18 @@ from pyspark.sql.streaming import StreamingQuery
 from mediabatch.config import DEFAULT_CONFIG, ProcessingConfig
 from mediabatch.functions.keys import run_batch_id, trigger_prefix
 from mediabatch.operators.ingest import valid_items
-from mediabatch.operators.messages import accepted, message_items, parse_messages, rejected
-from mediabatch.operators.state import moment
-from mediabatch.sources.readers import CSV_GLOB, read_item_files
+from mediabatch.operators.messages import (
+    accepted,
+    message_items,
+    parse_messages,
+    rejected,
+    reprocess,
+    retryable,
+)
+from mediabatch.operators.state import current_state, expire_stale, moment, update_records
+from mediabatch.session import shared_dir
+from mediabatch.sources.readers import CSV_GLOB, read_item_files, read_state
+from mediabatch.sources.writers import append_state, write_messages
 
 
 def _now() -> datetime:
@@ -156,3 +165,47 @@ def message_stream(
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+
+
+def retry_dead_letters(spark: SparkSession, out: str, inbox: str, as_of: datetime, epoch: int | None = None) -> None:
+    """Send readable dead letters with deliveries left back to the inbox, with relaxed settings.
+
+    `epoch` picks one micro-batch's dead letters; a message is thus sent again once per rejection.
+    """
+    dead = spark.read.parquet(f"{out}/dead")
+    if epoch is not None:
+        dead = dead.where(F.col("epoch") == epoch)
+    again = reprocess(retryable(dead.drop("epoch", "part")), as_of)
+    write_messages(again.select(F.col("new_body").alias("body")), inbox)
+
+
+def status_stream(
+    spark: SparkSession,
+    updates: DataFrame,
+    state_path: str,
+    checkpoint: str,
+    as_of: Callable[[], datetime] = _now,
+    **trigger,
+) -> StreamingQuery:
+    """Apply status updates to the state log as they arrive, and fail records that got stuck.
+
+    Each micro-batch appends new versions of existing records; a replay appends the same values as
+    another version, which the current view cannot tell from the first.
+    """
+
+    def each(batch: DataFrame, epoch: int) -> None:
+        now = as_of()
+        shared_dir(spark)
+        current = current_state(read_state(spark, state_path), now)
+        # Cut off from the log before the log grows.
+        changed = update_records(current, batch, now).checkpoint()
+        append_state(changed, state_path)
+        stuck = expire_stale(current_state(read_state(spark, state_path), now), now).checkpoint()
+        append_state(stuck, state_path)
+
+    return (
+        updates.writeStream.foreachBatch(each)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )

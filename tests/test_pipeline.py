@@ -99,12 +99,11 @@ def test_second_chance(spark):
     got = messages.reprocess(messages.retryable(dead), AS_OF).collect()
     assert [json.loads(r.new_body) for r in got] == [
         {**body, "processing_config": {"rows": 9, "timeout": 60, "max_retries": 5, "max_workers": 4},
-         "timestamp": "2024-01-31T12:00:00", "source": "dlq_reprocess"}]
+         "timestamp": "2024-01-31T12:00:00", "source": "dlq_reprocess", "attempt": 1}]
 
 
 def test_deliveries_are_counted(spark):
-    df = spark.createDataFrame([("{bad", n) for n in range(4)], "body string, attempt int")
-    dead = messages.rejected(messages.parse_messages(df, AS_OF))
+    dead = messages.rejected(parse(spark, *[{"processing_type": "zip", "attempt": n} for n in range(4)]))
     assert sorted(r.attempt for r in messages.retryable(dead).collect()) == [1, 2]
 
 
@@ -316,3 +315,41 @@ def test_messages_run_to_collages_once(spark, tmp_path):
             spark, str(inbox), str(tmp_path / "out"), str(tmp_path / "cp"), as_of=lambda: AS_OF, handle=handle
         ).awaitTermination()
     assert outcomes == [{"a": "created"}, {"a": "skipped"}]
+
+
+def test_dead_letters_return_until_their_deliveries_are_used(spark, tmp_path):
+    inbox, out = str(tmp_path / "inbox"), str(tmp_path / "out")
+    os.mkdir(inbox)
+    with open(f"{inbox}/0.txt", "w") as f:
+        f.write(json.dumps({"processing_type": "zip"}) + "\n{bad\n")
+    counts = []
+    for epoch in range(4):
+        triggers.message_stream(
+            spark, inbox, out, str(tmp_path / "cp"), as_of=lambda: AS_OF, max_files=100
+        ).awaitTermination()
+        dead = spark.read.parquet(f"{out}/dead").where(f"epoch = {epoch}")
+        counts.append(sorted((r.reason, r.attempt) for r in dead.collect()))
+        triggers.retry_dead_letters(spark, out, inbox, AS_OF, epoch)
+    assert counts == [[("malformed", 1), ("unsupported type", 1)], [("unsupported type", 2)], [("unsupported type", 3)], []]
+
+
+def test_status_stream(spark, tmp_path):
+    from datetime import timedelta
+
+    path = str(tmp_path / "state")
+    requests = spark.createDataFrame([(c, "b") for c in ("a", "b", "c")], "creator_name string, batch_id string")
+    requests = requests.selectExpr("*", "'h' AS content_hash", "1 AS image_count")
+    empty = spark.createDataFrame([], schemas.STATE)
+    writers.append_state(state.create_records(empty, requests, AS_OF).drop("accepted"), path)
+    done = spark.createDataFrame([("a", AS_OF.date(), "completed", "k"), ("x", AS_OF.date(), "failed", "")],
+                                 "creator_name string, processing_date date, status string, collage_s3_key string")
+    done.write.parquet(str(tmp_path / "updates"))
+    updates = spark.readStream.schema(done.schema).parquet(str(tmp_path / "updates"))
+    for n in range(2):  # the second query has lost its checkpoint: everything is replayed
+        triggers.status_stream(
+            spark, updates, path, str(tmp_path / f"cp{n}"), lambda: AS_OF + timedelta(minutes=31 if n else 1)
+        ).awaitTermination()
+        rows = state.current_state(readers.read_state(spark, path), AS_OF).collect()
+        got = {r.creator_name: (r.status, r.collage_s3_key) for r in rows}
+        rest = "failed" if n else "processing"
+        assert got == {"a": ("completed", "k"), "b": (rest, ""), "c": (rest, "")}

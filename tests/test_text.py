@@ -80,6 +80,9 @@ def test_prefix_candidates(spark):
 
 def test_key_parts(spark):
     df = spark.createDataFrame([("p/x_collage_1.JPG",), ("p/none.bin",)], "k string")
+    stamp = F.lit("2024-01-02 03:04:05").cast("timestamp")
+    names = spark.createDataFrame([(0,), (122,)], "b int").select(keys.batch_file(F.col("b"), stamp)).collect()
+    assert [r[0] for r in names] == [f"20240102_030405/parallel_batch_{n}.csv" for n in ("01", "123")]
     got = df.select(keys.creator_of_key(F.col("k")), keys.content_type(F.col("k")),
                     keys.trigger_prefix(F.lit("in/a.csv.csv"))).collect()
     assert [tuple(r) for r in got] == [
