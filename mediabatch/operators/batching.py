@@ -101,7 +101,7 @@ class _OpenBatches:
         return None
 
 
-def _pack(target: int, shards_column: str = "shards"):
+def _pack(target: int, shards: int):
     """Pack one shard: largest creators first, hashed batch if it has room, else the nearest fit."""
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -127,7 +127,7 @@ def _pack(target: int, shards_column: str = "shards"):
                 chosen.append(nearest)
         dense, _ = pd.factorize(pd.Series(chosen), sort=True)  # numbering without the empty batches
         out = pdf[["creator_name", "image_count"]].copy()
-        out["batch_id"] = dense * pdf[shards_column].to_numpy() + pdf["shard"].to_numpy()
+        out["batch_id"] = dense * shards + pdf["shard"].to_numpy()
         return out
 
     return pack
@@ -143,16 +143,14 @@ def balanced_batches(
     """Greedy balanced packing: (creator_name, image_count, batch_id).
 
     Greedy choices depend on all earlier ones, so creators are cut into hash shards that pack
-    independently; without `shards` there is one per 200,000 creators, hence a single one (the exact
-    sequential result) below that. Shards interleave their batch ids. `first_ord` must be orderable
-    by pandas; a struct position is reduced to its rank-preserving text form first.
+    independently. Without `shards` the creators are counted (on a kept copy of their sizes, not by
+    reading the items again) and there is one shard per 200,000, hence a single one (the exact
+    sequential result) below that. Shards interleave their batch ids.
     """
     if shards is None:
-        total = sizes.agg(F.count(F.lit(1)).alias("n"))
-        wanted = total.select(F.greatest(F.lit(1), F.ceil(F.col("n") / CREATORS_PER_SHARD)).alias("k"))
-        count = wanted.scalar()
-    else:
-        count = F.lit(shards)
+        shared_dir(sizes.sparkSession)
+        sizes = sizes.checkpoint()
+        shards = max(1, -(-sizes.count() // CREATORS_PER_SHARD))
     bucket = name_bucket(F.col("creator_name"), algo)
     # Shards and preferred batches use different digest bits, or each shard would see few buckets.
     spread = F.conv(F.substring(F.sha2(F.lower("creator_name"), 256), 9, 8), 16, 10).cast("long")
@@ -161,15 +159,15 @@ def balanced_batches(
         "image_count",
         _sortable(sizes, "first_ord").alias("first_ord"),
         bucket.alias("bucket"),
-        count.cast("long").alias("shards"),
-    ).withColumn("shard", F.pmod(spread, F.col("shards")))
+        (spread % shards).alias("shard"),
+    )
     if previous is not None:
         before = previous.select("creator_name", F.col("batch_id").cast("double").alias("previous_batch"))
         rows = rows.join(before, "creator_name", "left")
     else:
         rows = rows.withColumn("previous_batch", F.lit(None).cast("double"))
     return rows.groupBy("shard").applyInPandas(
-        _pack(target), "creator_name STRING, image_count LONG, batch_id LONG"
+        _pack(target, shards), "creator_name STRING, image_count LONG, batch_id LONG"
     )
 
 
@@ -240,12 +238,12 @@ def next_fit_batches(sizes: DataFrame, target: int = 100) -> DataFrame:
     Creators of equal size are interchangeable for the packing, so only the histogram of sizes (one
     row per distinct size) is walked in order; each creator's batch then follows from its rank.
     """
-    histogram = sizes.groupBy("image_count").agg(F.count(F.lit(1)).alias("creators"))
+    ranked = global_rank(sizes, [F.desc("image_count"), F.asc("first_ord")])
+    histogram = ranked.groupBy("image_count").agg(F.count(F.lit(1)).alias("creators"))
     runs = histogram.groupBy().applyInPandas(
         _next_fit_runs(target),
         "image_count LONG, run_start LONG, fits LONG, per_batch LONG, open_batch LONG, fresh_batch LONG",
     )
-    ranked = global_rank(sizes, [F.desc("image_count"), F.asc("first_ord")])
     place = F.col("rank") - F.col("run_start")
     later = F.col("fresh_batch") + F.floor((place - F.col("fits")) / F.col("per_batch"))
     batch = F.when(place < F.col("fits"), F.col("open_batch")).otherwise(later).cast("long")

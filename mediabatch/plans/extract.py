@@ -13,6 +13,7 @@ from mediabatch.operators.batching import (
     next_fit_batches,
 )
 from mediabatch.operators.ingest import batchable_items, explode_links, filter_links, remove_seen
+from mediabatch.sources.readers import read_item_files
 
 
 def extract_items(
@@ -27,6 +28,12 @@ def extract_items(
     return remove_seen(explode_links(chosen), *(earlier or []))
 
 
+def remove_seen_files(items: DataFrame, paths: list[str]) -> DataFrame:
+    """Rows of creators that none of the earlier CSV files holds; missing files are passed over."""
+    earlier, _ = read_item_files(items.sparkSession, paths)
+    return remove_seen(items) if earlier is None else remove_seen(items, earlier)
+
+
 def batch_items(items: DataFrame, target: int = 100, deduplicate: bool = True, **packing) -> DataFrame:
     """Item rows with their batch; without deduplication the plain next-fit packing is used."""
     rows = batchable_items(items)

@@ -94,7 +94,7 @@ def _build(
     spark = rows.sparkSession
     named = rows.withColumn("creator_id", creator_id(F.col("creator_name")))
     fetched = _stored(fetch(named, config, fetcher), paths.fetched)
-    if fetched.where(F.col("bytes").isNotNull()).isEmpty():
+    if fetched.where(F.col("error").isNull()).isEmpty():
         images = spark.createDataFrame([], f"creator_id STRING, position LONG, image {schemas.IMAGE}")
     else:
         stage_files(fetched, paths.staged)

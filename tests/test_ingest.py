@@ -88,6 +88,17 @@ def test_remove_seen_keeps_own_duplicates(spark, rows_of):
     assert ingest.remove_seen(df).count() == 4
 
 
+def test_missing_earlier_files_are_passed_over(spark, tmp_path, rows_of):
+    from mediabatch.plans.extract import remove_seen_files
+
+    (tmp_path / "a.csv").write_text("creator_name,cover_url,updated_at\na,u,t\n")
+    (tmp_path / "b.csv").write_text("cover_url,creator_name\nu,b\n")
+    df = items(spark, [("a", "1", ""), ("b", "2", ""), ("c", "3", "")])
+    paths = [str(tmp_path / name) for name in ("a.csv", "gone.csv", "b.csv")]
+    assert rows_of(remove_seen_files(df, paths), "creator_name") == [("c",)]
+    assert remove_seen_files(df, paths[1:2]).count() == 3
+
+
 @pytest.mark.parametrize("cap, kept", [(2, 2), (0, 3), (None, 3)])
 def test_cap(spark, cap, kept):
     df = items(spark, [("a", "1", ""), ("a", "2", ""), ("a", "3", "")])
