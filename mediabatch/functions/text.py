@@ -63,12 +63,14 @@ def _escape_unit(unit: Column) -> Column:
 def json_quote(c: Column) -> Column:
     """`c` as an ASCII-only JSON string literal.
 
-    Printable ASCII needs two replacements; anything else is escaped UTF-16 unit by unit.
+    Printable ASCII and line breaks need a few replacements; anything else is escaped UTF-16 unit by unit.
     """
-    plain = F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+    plain = c
+    for raw, escaped in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        plain = F.replace(plain, F.lit(raw), F.lit(escaped))
     units = F.regexp_extract_all(F.hex(F.encode(c, "UTF-16BE")), F.lit(".{4}"), F.lit(0))
-    escaped = F.array_join(F.transform(units, _escape_unit), "")
-    return F.concat(F.lit('"'), F.when(c.rlike("[^ -~]"), escaped).otherwise(plain), F.lit('"'))
+    rare = F.array_join(F.transform(units, _escape_unit), "")
+    return F.concat(F.lit('"'), F.when(c.rlike("[^ -~\n\r\t]"), rare).otherwise(plain), F.lit('"'))
 
 
 def canonical_json(value) -> str:
