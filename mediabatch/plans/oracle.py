@@ -4,6 +4,8 @@ from __future__ import annotations
 
 CAP, BATCHES, TARGET = 12, 37, 100
 
+# Report numbers round exact ties to the even digit (40.625 is 40.62): `round_even`, not `round`.
+
 # Shared table expressions; each may use the ones above it.
 PARTS: dict[str, str] = {
     "items": """
@@ -453,8 +455,8 @@ FINAL: dict[str, str] = {
     "daily_stats": """
         SELECT strftime(processing_date, '%Y-%m-%d') AS processing_date, count(*) AS creators,
           CAST(sum(image_count) AS BIGINT) AS images, CAST(sum(processing_duration_ms) AS BIGINT) AS duration_ms,
-          round(CAST(sum(image_count) AS DOUBLE) / count(*), 2) AS avg_images,
-          round(CAST(sum(processing_duration_ms) AS DOUBLE) / count(*), 2) AS avg_duration_ms
+          round_even(CAST(sum(image_count) AS DOUBLE) / count(*), 2) AS avg_images,
+          round_even(CAST(sum(processing_duration_ms) AS DOUBLE) / count(*), 2) AS avg_duration_ms
         FROM state WHERE status = 'completed' AND processing_date BETWEEN DATE '2024-01-23' AND DATE '2024-01-30'
         GROUP BY ROLLUP (processing_date)""",
     "processed_decision": """
@@ -510,12 +512,12 @@ FINAL: dict[str, str] = {
           split_part(split_part(s3_key, '/', 3), '_collage_', 1) AS creator_from_key FROM objects""",
     "object_stats": """
         SELECT count(*) AS total_collages, count(DISTINCT creator_name) AS unique_creators,
-          round(CAST(sum(size_bytes) AS DOUBLE) / 1048576, 2) AS total_size_mb,
-          round(CAST(sum(size_bytes) AS DOUBLE) / 1048576 / count(*), 2) AS average_size_mb,
+          round_even(CAST(sum(size_bytes) AS DOUBLE) / 1048576, 2) AS total_size_mb,
+          round_even(CAST(sum(size_bytes) AS DOUBLE) / 1048576 / count(*), 2) AS average_size_mb,
           count(*) FILTER (size_bytes < 1048576) AS small,
           count(*) FILTER (size_bytes >= 1048576 AND size_bytes < 10485760) AS medium,
           count(*) FILTER (size_bytes >= 10485760) AS large,
-          round(CAST(count(*) AS DOUBLE) / count(DISTINCT creator_name), 2) AS collages_per_creator
+          round_even(CAST(count(*) AS DOUBLE) / count(DISTINCT creator_name), 2) AS collages_per_creator
         FROM objects""",
     "object_integrity": """
         SELECT s3_key, size_bytes BETWEEN 51200 AND 52428800 AND content_type = 'image/jpeg' AS valid,
