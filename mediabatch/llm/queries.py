@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from mediabatch.llm import exact_dedup, mixing, packing, token_counts, topk, warc
+from mediabatch.llm import (
+    bag_minhash,
+    exact_dedup,
+    html_wrapper,
+    mixing,
+    packing,
+    quality_lm,
+    token_counts,
+    topk,
+    toxicity,
+    warc,
+)
 from mediabatch.llm.common import table
 
 
@@ -15,6 +26,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.severities(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"))
 
@@ -24,6 +40,14 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), model)
 
 
+def op5_quality_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_lm.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrapper.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.realise(table(spark, sf_dir, "documents"))
     return mixed.select(
@@ -31,6 +55,10 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bag_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -41,9 +69,13 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_toxicity": op2_toxicity,
     "op3_topk_search": op3_topk_search,
     "op4_token_counts": op4_token_counts,
+    "op5_quality_lm": op5_quality_lm,
+    "op6_html_text": op6_html_text,
     "op7_source_mixing": op7_source_mixing,
+    "op8_near_duplicates": op8_near_duplicates,
     "op9_packing": op9_packing,
     "op10_warc": op10_warc,
 }
