@@ -35,7 +35,8 @@ SIMILARITY = 0.8
 BANDS = 32
 ROWS = 4
 BLOCK = 128
-STEP = np.uint64(0x9E3779B97F4A7C15)
+GOLDEN = 0x9E3779B97F4A7C15
+STEP = np.uint64(GOLDEN)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -45,6 +46,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def step(n: int) -> np.uint64:
+    return np.uint64(n * GOLDEN & 0xFFFFFFFFFFFFFFFF)
+
+
 def word_hashes() -> Cache:
     import xxhash
 
@@ -70,7 +75,7 @@ def signatures(ids: np.ndarray, weights: np.ndarray, owner: np.ndarray, n: int,
     seed, doc, limit, level = [mix(ids + STEP)], [owner], [weights], [np.zeros(len(ids), np.int64)]
     j, more = 1, np.flatnonzero(weights > 1)
     while len(more):
-        seed.append(mix(ids[more] + STEP * np.uint64(j + 1)))
+        seed.append(mix(ids[more] + step(j + 1)))
         doc.append(owner[more])
         limit.append(weights[more])
         level.append(np.full(len(more), j))
@@ -81,10 +86,10 @@ def signatures(ids: np.ndarray, weights: np.ndarray, owner: np.ndarray, n: int,
     base = np.where(level == 0, 0, 1 << np.maximum(level - 1, 0))
     time = np.zeros(len(seed))
     last = np.full(n, np.inf)
-    turn = np.uint64(0)
+    turn = 0
     while len(seed):
-        turn += np.uint64(1)
-        r = mix(seed + turn * STEP)
+        turn += 1
+        r = mix(seed + step(turn))
         time = time - np.log(((r >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53) / (size * length)
         live = time < last[doc]
         seed, doc, limit, length, base, time, r = (x[live] for x in (seed, doc, limit, length, base, time, r))

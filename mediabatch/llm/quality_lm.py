@@ -152,9 +152,7 @@ def shards(model: DataFrame, size: int = SHARD) -> tuple[DataFrame, dict[int, tu
     """The model with columns `last` (the context's last symbol) and `before`; and, per last symbol, its first shard, its
     number of shards and its entries. At most 65,536 symbols."""
     gram = F.col("gram")
-    at = F.when(F.col("kind") == "p", 16).otherwise(0)
     shifted = F.when(F.col("kind") == "p", F.shiftrightunsigned(gram, 16)).otherwise(gram)
-    del at
     symbol = F.when(F.col("size") > 1, shifted.bitwiseAND(F.lit(0xFFFF)))
     deep = F.col("size") > 2
     before = F.when(deep, F.shiftrightunsigned(shifted, 16).bitwiseAND(F.lit(0xFFFF)))
@@ -176,39 +174,43 @@ def shards(model: DataFrame, size: int = SHARD) -> tuple[DataFrame, dict[int, tu
     return marked, plan
 
 
-class Shard:
-    """Sorted keys and values of the entries of a shard, for each kind and size."""
-
-    def __init__(self, rows: pd.DataFrame):
-        self.tables = {}
-        for kind in "pb":
-            for k in range(1, ORDER + 1):
-                own = rows[(rows["kind"] == kind) & (rows["size"] == k)]
-                keys = own["gram"].to_numpy(np.int64).view(np.uint64)
-                order = np.argsort(keys)
-                self.tables[kind, k] = keys[order], own["value"].to_numpy(np.float64)[order]
-
-    def find(self, kind: str, k: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        known, values = self.tables[kind, k]
-        if not len(known):
-            return np.zeros(len(keys), bool), np.zeros(len(keys))
-        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-        hit = known[at] == keys
-        return hit, np.where(hit, values[at], 0.0)
-
-    def log_probabilities(self, g: np.ndarray, unseen: float) -> np.ndarray:
-        """Back-off from the longest known n-gram; a context that was never seen weighs 1."""
-        out, left = np.zeros(len(g)), np.arange(len(g))
-        for k in range(ORDER, 0, -1):
-            part = g[left] & np.uint64((1 << (16 * k)) - 1)
-            hit, value = self.find("p", k, part)
-            out[left[hit]] += value[hit]
-            left, part = left[~hit], part[~hit]
-            if not len(left):
-                return out
-            out[left] += self.find("b", k, part >> np.uint64(16))[1]
-        out[left] += unseen
-        return out
+Tables = dict[tuple[str, int], tuple[np.ndarray, np.ndarray]]
+
+
+def lookup_tables(rows: pd.DataFrame) -> Tables:
+    """Sorted keys and values of a shard's entries, for each kind and size."""
+    out = {}
+    for kind in "pb":
+        for k in range(1, ORDER + 1):
+            own = rows[(rows["kind"] == kind) & (rows["size"] == k)]
+            keys = own["gram"].to_numpy(np.int64).view(np.uint64)
+            order = np.argsort(keys)
+            out[kind, k] = keys[order], own["value"].to_numpy(np.float64)[order]
+    return out
+
+
+def find(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    known, values = table
+    if not len(known):
+        return np.zeros(len(keys), bool), np.zeros(len(keys))
+    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    hit = known[at] == keys
+    return hit, np.where(hit, values[at], 0.0)
+
+
+def log_probabilities(tables: Tables, g: np.ndarray, unseen: float) -> np.ndarray:
+    """Back-off from the longest known n-gram; a context that was never seen weighs 1."""
+    out, left = np.zeros(len(g)), np.arange(len(g))
+    for k in range(ORDER, 0, -1):
+        part = g[left] & np.uint64((1 << (16 * k)) - 1)
+        hit, value = find(tables["p", k], part)
+        out[left[hit]] += value[hit]
+        left, part = left[~hit], part[~hit]
+        if not len(left):
+            return out
+        out[left] += find(tables["b", k], part >> np.uint64(16))[1]
+    out[left] += unseen
+    return out
 
 
 def _shard_of(g: np.ndarray, first: np.ndarray, cuts: np.ndarray) -> np.ndarray:
@@ -237,10 +239,10 @@ def log_likelihoods(docs: DataFrame, model: DataFrame, size: int = SHARD) -> Dat
         own = own.filter(F.col("before").isNull() | (F.col("first") + F.col("before") % F.col("cuts") == shard))
         columns = ["kind", "size", "gram", "value"]
         rows = own.select(*columns).unionByName(base.select(*columns)).toPandas()
-        shared = spark.sparkContext.broadcast((Shard(rows), first, cuts))
+        shared = spark.sparkContext.broadcast((lookup_tables(rows), first, cuts))
 
         def add(batches: Iterable[pd.DataFrame], shard=shard, shared=shared) -> Iterator[pd.DataFrame]:
-            table, first, cuts = shared.value
+            tables, first, cuts = shared.value
             for batch in batches:
                 texts = batch["text"].tolist()
                 total = np.zeros(len(texts))
@@ -250,7 +252,7 @@ def log_likelihoods(docs: DataFrame, model: DataFrame, size: int = SHARD) -> Dat
                         mine = _shard_of(g, first, cuts) == shard
                         g, owner = g[mine], owner[mine]
                     total[start : start + len(run)] += np.bincount(
-                        owner, table.log_probabilities(g, unseen), len(run)
+                        owner, log_probabilities(tables, g, unseen), len(run)
                     )
                 yield pd.DataFrame({ROW: batch[ROW], "loglik": total})
 

@@ -192,12 +192,12 @@ def scorer(spark: SparkSession, model: Model | None):
     if model is None:
         nothing = F.struct(F.lit(0.0).alias("severity"), F.lit(0).alias("grade"), F.lit(0.0).alias("p_toxic"))
         return lambda text: nothing
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast((model.features, model.weights, model.thresholds))
     key = f"toxicity:{uuid.uuid4().hex}"
 
     @F.pandas_udf("severity double, grade int, p_toxic double")
     def severity(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        own = shared.value
+        own = Model(*shared.value)
 
         def make() -> Cache:
             place = {int(f): i for i, f in enumerate(own.features)}
