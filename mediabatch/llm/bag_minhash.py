@@ -135,7 +135,7 @@ def _signed(docs: DataFrame, bands: int, rows: int) -> DataFrame:
 
     def sign(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = worker_state("words", word_hashes)
-        for batch in batches:
+        for batch in filter(len, batches):
             keys: list = [None] * len(batch)
             first, held, size = 0, [], 0
 
@@ -155,17 +155,17 @@ def _signed(docs: DataFrame, bands: int, rows: int) -> DataFrame:
                 if size > 200_000 or i == len(batch) - 1:
                     flush(first, held, keys)
                     first, held, size = i + 1, [], 0
-            yield pd.DataFrame({ROW: batch[ROW], "doc_id": batch["doc_id"], "digest": batch["digest"], "keys": keys}).astype(
-                {"doc_id": "Int64"}
-            )
+            yield pd.DataFrame({ROW: batch[ROW], "doc_id": batch["doc_id"], "digest": batch["digest"], "keys": keys})
 
+    # Ids travel as strings: pandas has no missing whole numbers.
     light = with_row(docs).select(
         ROW,
-        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("doc_id").cast("string").alias("doc_id"),
         F.unhex(F.substring(F.sha2(whole_text(), 256), 1, 32)).alias("digest"),
         whole_text().alias("text"),
     )
-    return light.mapInPandas(sign, f"{ROW} long, doc_id long, digest binary, keys array<long>")
+    made = light.mapInPandas(sign, f"{ROW} long, doc_id string, digest binary, keys array<long>")
+    return made.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def _sets_of(docs: DataFrame, rows: DataFrame) -> DataFrame:
@@ -173,7 +173,7 @@ def _sets_of(docs: DataFrame, rows: DataFrame) -> DataFrame:
 
     def expand(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = worker_state("words", word_hashes)
-        for batch in batches:
+        for batch in filter(len, batches):
             sets = [expanded(*shingles(t, hashes)).tobytes() for t in batch["text"]]
             yield pd.DataFrame({"node": batch[ROW], "set": sets})
 
@@ -185,7 +185,7 @@ def _verified(links: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """The links (a, b) whose texts overlap enough."""
 
     def check(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in filter(len, batches):
             own = [
                 similar(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), least)
                 for a, b in zip(batch["set_a"], batch["set_b"], strict=True)

@@ -53,16 +53,17 @@ def parsed(pages: DataFrame) -> DataFrame:
                         "nodes": nodes,
                         "texts": texts,
                     }
-                ).astype({"page_id": "Int64"})
+                )
 
+    # Ids travel as strings: pandas has no missing whole numbers.
     rows = pages.select(
-        F.col("page_id").cast("long").alias("page_id"),
+        F.col("page_id").cast("string").alias("page_id"),
         F.col("url").cast("string").alias("url"),
         host(F.col("url")).alias("host"),
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"),
     )
-    schema = "page_id long, url string, host string, skeleton string, nodes array<int>, texts array<string>"
-    return rows.mapInPandas(parse, schema)
+    schema = "page_id string, url string, host string, skeleton string, nodes array<int>, texts array<string>"
+    return rows.mapInPandas(parse, schema).withColumn("page_id", F.col("page_id").cast("long"))
 
 
 def alignments(trees: DataFrame) -> DataFrame:
@@ -72,7 +73,7 @@ def alignments(trees: DataFrame) -> DataFrame:
     )
 
     def match(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in filter(len, batches):
             out = []
             for own_host, own, other in zip(batch["host"], batch["skeleton"], batch["reference"], strict=True):
                 count = own.count("\n") + 1

@@ -64,7 +64,8 @@ def frequent_parts(docs: DataFrame, model_path: str, sample: int = SAMPLE, frequ
                 if len(seen) > 16 * frequent:
                     seen = Counter(dict(seen.most_common(4 * frequent)))
         top = seen.most_common(frequent)
-        yield pd.DataFrame({"part": [p for p, _ in top], "n": [n for _, n in top]})
+        if top:
+            yield pd.DataFrame({"part": [p for p, _ in top], "n": [n for _, n in top]})
 
     total = docs.count()
     some = docs.select(whole_text().alias("text"))
@@ -82,7 +83,8 @@ def token_counts(docs: DataFrame, model_path: str, limit: int = 4096) -> DataFra
     """Per document: doc_id, n_bytes, n_tokens, over_limit."""
     known = docs.sparkSession.sparkContext.broadcast(frequent_parts(docs, model_path))
 
-    def count(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("long")
+    def n_tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = worker_state(f"pieces:{model_path}", lambda: load_model(model_path))
         whole = not worker_state(f"exact:{model_path}", lambda: split_is_exact(model))
         cache = worker_state(f"piece counts:{model_path}", lambda: Cache(lambda p: part_count(p, model)))
@@ -97,15 +99,8 @@ def token_counts(docs: DataFrame, model_path: str, limit: int = 4096) -> DataFra
             return sum(filter(None, found)) + sum(map(cache.__getitem__, missed))
 
         for batch in batches:
-            yield pd.DataFrame(
-                {
-                    "doc_id": batch["doc_id"],
-                    "n_bytes": batch["n_bytes"],
-                    "n_tokens": [one(t) for t in batch["text"]],
-                }
-            )
-
-    counted = docs.select(
-        "doc_id", F.octet_length(whole_text()).cast("long").alias("n_bytes"), whole_text().alias("text")
-    ).mapInPandas(count, "doc_id long, n_bytes long, n_tokens long")
+            yield pd.Series([one(t) for t in batch], dtype="int64")
+
+    text = whole_text()
+    counted = docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), n_tokens(text).alias("n_tokens"))
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)

@@ -127,7 +127,7 @@ def fit(
         for batch in batches:
             for toxic, text in zip(batch["toxic"], batch["text"], strict=True):
                 seen[toxic].update(counted(text, cache.__getitem__).keys())
-        for toxic, counts in seen.items():
+        for toxic, counts in filter(lambda x: x[1], seen.items()):
             yield pd.DataFrame({"feature": list(counts.keys()), "toxic": toxic, "n": list(counts.values())})
 
     n = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
@@ -157,7 +157,7 @@ def fit(
     def counts_of(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         place = shared.value
         cache = Cache(lambda w: [place[f] for f in word_features(w) if f in place])
-        for batch in batches:
+        for batch in filter(len, batches):
             found = [counted(t, cache.__getitem__) for t in batch["text"]]
             yield pd.DataFrame(
                 {
