@@ -17,8 +17,6 @@ from mediabatch.functions.hashing import name_bucket
 from mediabatch.functions.text import canonical_json, csv_cell, json_quote
 from mediabatch.session import shared_dir
 
-CREATORS_PER_SHARD = 200_000
-
 # Images handled per second and worker, used for the time estimate.
 IMAGES_PER_SECOND = 13
 
@@ -26,6 +24,9 @@ IMAGES_PER_SECOND = 13
 SUGGESTED_SIZES = ((1_000, 50), (10_000, 100), (100_000, 200))
 SUGGESTED_BEYOND = 300
 
+# What messages name as their source.
+REFERENCE_SOURCE, DATA_SOURCE = "local_upload", "direct_data"
+
 # Configuration sent along with a batch message.
 BATCH_MESSAGE_CONFIG = {
     "rows": 5, "cols": 7, "quality": 95, "max_workers": 8, "timeout": 30, "max_retries": 3,
@@ -102,17 +103,26 @@ class _OpenBatches:
 
 
 def _pack(target: int, shards: int):
-    """Pack one shard: largest creators first, hashed batch if it has room, else the nearest fit."""
+    """Pack one shard: earlier creators keep their batch, then largest first: the hashed batch if it has room, else the
+    nearest fit."""
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["image_count", "first_ord"], ascending=[False, True], kind="stable")
-        batches, chosen = _OpenBatches(target), []
+        pdf = pd.concat([pdf[pdf["previous_batch"].notna()], pdf[pdf["previous_batch"].isna()]])
+        batches, chosen, kept = _OpenBatches(target), [], False
         rows = zip(pdf["image_count"].tolist(), pdf["bucket"].tolist(), pdf["previous_batch"].tolist())
         for n, bucket, before in rows:
+            if not pd.isna(before):
+                kept, wanted = True, int(before) // shards
+                while len(batches.sizes) <= wanted:
+                    batches.open()
+                batches.put(wanted, n)
+                chosen.append(wanted)
+                continue
             if not batches.sizes:
                 chosen.append(batches.open(n))
                 continue
-            wanted = bucket % (len(batches.sizes) + 1) if pd.isna(before) else int(before)
+            wanted = bucket % (len(batches.sizes) + 1)
             while len(batches.sizes) <= wanted:
                 batches.open()
             if batches.sizes[wanted] + n <= 1.5 * target:
@@ -125,9 +135,11 @@ def _pack(target: int, shards: int):
             else:
                 batches.put(nearest, n)
                 chosen.append(nearest)
-        dense, _ = pd.factorize(pd.Series(chosen), sort=True)  # numbering without the empty batches
+        local = pd.Series(chosen, dtype="int64")
+        if not kept:  # numbering without the empty batches; earlier ids stay as they are
+            local = pd.Series(pd.factorize(local, sort=True)[0])
         out = pdf[["creator_name", "image_count"]].copy()
-        out["batch_id"] = dense * shards + pdf["shard"].to_numpy()
+        out["batch_id"] = local.to_numpy() * shards + pdf["shard"].to_numpy()
         return out
 
     return pack
@@ -135,22 +147,19 @@ def _pack(target: int, shards: int):
 
 def balanced_batches(
     sizes: DataFrame,
-    target: int = 100,
-    shards: int | None = None,
+    target: int,
+    shards: int,
     previous: DataFrame | None = None,
     algo: str = "sha256",
 ) -> DataFrame:
     """Greedy balanced packing: (creator_name, image_count, batch_id).
 
-    Greedy choices depend on all earlier ones, so creators are cut into hash shards that pack
-    independently. Without `shards` the creators are counted (on a kept copy of their sizes, not by
-    reading the items again) and there is one shard per 200,000, hence a single one (the exact
-    sequential result) below that. Shards interleave their batch ids.
+    Greedy choices depend on all earlier ones, so creators are cut into `shards` hash shards that pack
+    independently; one shard is the sequential packing. Choose as many as keep a shard's creators, a row
+    each, in a task's memory. The n-th batch of shard s has the id n * shards + s: ids of a shard have no
+    gaps, shards with fewer batches leave gaps at the end. With `previous` (packed with the same number of
+    shards) every creator that has a batch keeps it, and no batch is renumbered.
     """
-    if shards is None:
-        shared_dir(sizes.sparkSession)
-        sizes = sizes.checkpoint()
-        shards = max(1, -(-sizes.count() // CREATORS_PER_SHARD))
     bucket = name_bucket(F.col("creator_name"), algo)
     # Shards and preferred batches use different digest bits, or each shard would see few buckets.
     spread = F.conv(F.substring(F.sha2(F.lower("creator_name"), 256), 9, 8), 16, 10).cast("long")
@@ -163,7 +172,9 @@ def balanced_batches(
     )
     if previous is not None:
         before = previous.select("creator_name", F.col("batch_id").cast("double").alias("previous_batch"))
-        rows = rows.join(before, "creator_name", "left")
+        rows = rows.join(before, "creator_name", "left").withColumn(
+            "shard", F.coalesce(F.col("previous_batch").cast("long") % shards, "shard")
+        )
     else:
         rows = rows.withColumn("previous_batch", F.lit(None).cast("double"))
     return rows.groupBy("shard").applyInPandas(
@@ -338,13 +349,13 @@ def reference_message(
 ) -> Column:
     """JSON message that names a stored CSV file."""
     return _message({"processing_type": "csv_s3", "s3_bucket": bucket, "s3_key": key}, config, output_prefix,
-                    as_of, "local_upload")
+                    as_of, REFERENCE_SOURCE)
 
 
 def data_message(csv_data: Column, as_of: datetime, config: dict | None = None, output_prefix: str = "") -> Column:
     """JSON message that carries its CSV text."""
     return _message({"processing_type": "csv_data", "csv_data": csv_data}, config, output_prefix, as_of,
-                    "direct_data")
+                    DATA_SOURCE)
 
 
 def _message(parts: dict, config: dict | None, output_prefix: str, as_of: datetime, source: str) -> Column:
@@ -363,37 +374,30 @@ def _message(parts: dict, config: dict | None, output_prefix: str, as_of: dateti
     return F.concat(*pieces, F.lit("}"))
 
 
-def batch_messages(
-    rows: DataFrame, as_of: datetime, max_rows: int = 1_000, bucket: str = "", directory: str = ""
-) -> DataFrame:
-    """One message per batch: (batch_id, image_count, body).
+def batch_messages(rows: DataFrame, as_of: datetime, rows_per_message: int = 1_000) -> DataFrame:
+    """The batches as messages that carry their CSV text: (batch_id, part, image_count, body).
 
-    A batch of up to `max_rows` rows carries its CSV text. A larger one (a huge creator) is never
-    gathered: its message names the batch folder that `write_batches` produces.
+    A batch of more than `rows_per_message` rows, as one huge creator makes it, is several messages: a
+    message is bounded by the transport. Rows are numbered by one sort over all batches, so that no batch has
+    to fit a task.
     """
     prefix = f"parallel_sqs_{as_of:%Y%m%d_%H%M%S}/"
-    totals = rows.groupBy("batch_id").agg(F.count(F.lit(1)).alias("image_count"))
-    large = totals.where(F.col("image_count") > max_rows)
+    cells = rows.select("batch_id", "creator_name", "ord", "cover_url", "updated_at")
+    ranked = global_rank(cells, [F.asc("batch_id"), F.asc("creator_name"), F.asc("ord")])
+    starts = ranked.groupBy("batch_id").agg(F.min("rank").alias("start"))
+    part = F.floor((F.col("rank") - F.col("start")) / rows_per_message)
     line = F.concat_ws(",", csv_cell(F.col("creator_name")), csv_cell(F.col("cover_url")),
                        csv_cell(F.col("updated_at")))
-    lines = F.array_sort(F.collect_list(F.struct("creator_name", "ord", line.alias("line"))))
+    lines = F.array_sort(F.collect_list(F.struct("rank", line.alias("line"))))
     text = F.array_join(
         F.concat(F.array(F.lit("creator_name,cover_url,updated_at")), F.transform("lines", lambda p: p["line"])),
         "\n",
     )
-    inline = (
-        rows.join(large.select("batch_id"), "batch_id", "left_anti")
-        .groupBy("batch_id")
+    return (
+        ranked.join(starts, "batch_id")
+        .groupBy("batch_id", part.alias("part"))
         .agg(F.count(F.lit(1)).alias("image_count"), lines.alias("lines"))
-        .select("batch_id", "image_count", data_message(text, as_of, BATCH_MESSAGE_CONFIG, prefix).alias("body"))
-    )
-    folder = F.concat(
-        F.lit(f"{directory.rstrip('/')}/{as_of:%Y%m%d_%H%M%S}/parallel_batch="),
-        F.format_string("%02d", F.col("batch_id") + 1),
-    )
-    named = large.select(
-        "batch_id",
-        "image_count",
-        reference_message(F.lit(bucket), folder, as_of, BATCH_MESSAGE_CONFIG, prefix).alias("body"),
+        .select(
+            "batch_id", "part", "image_count", data_message(text, as_of, BATCH_MESSAGE_CONFIG, prefix).alias("body")
+        )
     )
-    return inline.unionByName(named)

@@ -34,9 +34,11 @@ def remove_seen_files(items: DataFrame, paths: list[str]) -> DataFrame:
     return remove_seen(items) if earlier is None else remove_seen(items, earlier)
 
 
-def batch_items(items: DataFrame, target: int = 100, deduplicate: bool = True, **packing) -> DataFrame:
+def batch_items(
+    items: DataFrame, target: int = 100, deduplicate: bool = True, shards: int = 1, **packing
+) -> DataFrame:
     """Item rows with their batch; without deduplication the plain next-fit packing is used."""
     rows = batchable_items(items)
     sizes = creator_sizes(rows)
-    assignment = balanced_batches(sizes, target, **packing) if deduplicate else next_fit_batches(sizes, target)
+    assignment = balanced_batches(sizes, target, shards, **packing) if deduplicate else next_fit_batches(sizes, target)
     return attach_batches(rows, assignment)

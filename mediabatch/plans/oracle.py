@@ -185,9 +185,55 @@ PARTS: dict[str, str] = {
             SELECT p.r, p.image_count AS n, p.bucket % (len(sizes) + 1) + 1 AS wanted,
               CASE WHEN p.bucket % (len(sizes) + 1) = len(sizes) THEN list_append(sizes, 0) ELSE sizes END AS opened
             FROM greedy g JOIN packing_order p ON p.r = g.r + 1))""",
+    "shard_order": """
+        SELECT creator_name, image_count, bucket, shard,
+          row_number() OVER (PARTITION BY shard ORDER BY image_count DESC, first_ord) AS r
+        FROM (SELECT *, ('0x' || substr(sha256(lower(creator_name)), 1, 8))::BIGINT AS bucket,
+            ('0x' || substr(sha256(lower(creator_name)), 9, 8))::BIGINT % 3 AS shard FROM sizes)""",
+    "sharded_greedy": f"""
+        SELECT shard, 1::BIGINT AS r, [image_count] AS sizes, 1::BIGINT AS chosen FROM shard_order WHERE r = 1
+        UNION ALL
+        SELECT shard, r, CASE WHEN chosen > len(opened) THEN list_append(opened, n)
+            ELSE list_transform(opened, lambda s, i: CASE WHEN i = chosen THEN s + n ELSE s END) END, chosen
+        FROM (
+          SELECT shard, r, n, opened, CAST(CASE
+              WHEN fixed OR opened[wanted] + n <= 1.5 * {TARGET} THEN wanted
+              ELSE coalesce(list_min(list_transform(opened, lambda s, i:
+                CASE WHEN s + n <= 2 * {TARGET} THEN abs({TARGET} - s - n) * 1000000 + i END)) % 1000000,
+                len(opened) + 1) END AS BIGINT) AS chosen
+          FROM (
+            SELECT *, CASE WHEN wanted > len(sizes) THEN list_concat(sizes, list_transform(range(wanted - len(sizes)),
+                lambda x: 0::BIGINT)) ELSE sizes END AS opened
+            FROM (
+              SELECT p.shard, p.r, p.image_count AS n, sizes, false AS fixed, CAST(p.bucket % (len(sizes) + 1) + 1 AS BIGINT) AS wanted
+              FROM sharded_greedy g JOIN shard_order p ON p.shard = g.shard AND p.r = g.r + 1)))""",
+    "sticky_order": """
+        SELECT creator_name, image_count, bucket, shard, before,
+          row_number() OVER (PARTITION BY shard ORDER BY before IS NULL, image_count DESC, first_ord) AS r
+        FROM (SELECT *, coalesce(before % 3, ('0x' || substr(sha256(lower(creator_name)), 9, 8))::BIGINT % 3) AS shard
+          FROM (SELECT s.*, CAST(substr(e.creator_name, 10) AS BIGINT) % 40 AS before,
+              ('0x' || substr(sha256(lower(s.creator_name)), 1, 8))::BIGINT AS bucket
+            FROM sizes s LEFT JOIN seen e ON e.creator_name = s.creator_name))""",
+    "sticky_greedy": f"""
+        SELECT shard, 1::BIGINT AS r, list_append(list_transform(range(coalesce(before // 3, 0)), lambda x: 0::BIGINT), image_count) AS sizes, CAST(coalesce(before // 3, 0) + 1 AS BIGINT) AS chosen FROM sticky_order WHERE r = 1
+        UNION ALL
+        SELECT shard, r, CASE WHEN chosen > len(opened) THEN list_append(opened, n)
+            ELSE list_transform(opened, lambda s, i: CASE WHEN i = chosen THEN s + n ELSE s END) END, chosen
+        FROM (
+          SELECT shard, r, n, opened, CAST(CASE
+              WHEN fixed OR opened[wanted] + n <= 1.5 * {TARGET} THEN wanted
+              ELSE coalesce(list_min(list_transform(opened, lambda s, i:
+                CASE WHEN s + n <= 2 * {TARGET} THEN abs({TARGET} - s - n) * 1000000 + i END)) % 1000000,
+                len(opened) + 1) END AS BIGINT) AS chosen
+          FROM (
+            SELECT *, CASE WHEN wanted > len(sizes) THEN list_concat(sizes, list_transform(range(wanted - len(sizes)),
+                lambda x: 0::BIGINT)) ELSE sizes END AS opened
+            FROM (
+              SELECT p.shard, p.r, p.image_count AS n, sizes, before IS NOT NULL AS fixed, CAST(coalesce(p.before // 3, p.bucket % (len(sizes) + 1)) + 1 AS BIGINT) AS wanted
+              FROM sticky_greedy g JOIN sticky_order p ON p.shard = g.shard AND p.r = g.r + 1)))""",
 }
 
-RECURSIVE = {"next_fit", "greedy"}
+RECURSIVE = {"next_fit", "greedy", "sharded_greedy", "sticky_greedy"}
 
 
 def _needs(text: str) -> list[str]:
@@ -219,13 +265,6 @@ STATE_COLUMNS = """creator_name, strftime(processing_date, '%Y-%m-%d') AS proces
 
 LINK_COLUMNS = "creator_name, cover_urls, strftime(updated_at, '%Y-%m-%d %H:%M:%S') AS updated_at"
 
-DIFF = """
-  WITH sides AS (
-    SELECT creator_name, trim(cover_url) AS url, count(*) FILTER (ord % 7 <> 0) AS o,
-      count(*) FILTER (ord % 5 <> 0) AS n
-    FROM items WHERE ord % 7 <> 0 OR ord % 5 <> 0 GROUP BY ALL)
-"""
-
 LAYOUT = """l_orderkey, l_linenumber, l_partkey, CAST(i // 7 AS INTEGER) AS grid_row, CAST(i % 7 AS INTEGER) AS grid_col"""
 
 FINAL: dict[str, str] = {
@@ -348,6 +387,12 @@ FINAL: dict[str, str] = {
     "balanced_batches": """
         SELECT creator_name, image_count, dense_rank() OVER (ORDER BY chosen) - 1 AS batch_id
         FROM greedy JOIN packing_order USING (r)""",
+    "sharded_batches": """
+        SELECT creator_name, image_count, (dense_rank() OVER (PARTITION BY shard ORDER BY chosen) - 1) * 3 + shard AS batch_id
+        FROM sharded_greedy JOIN shard_order USING (shard, r)""",
+    "sticky_balanced_batches": """
+        SELECT creator_name, image_count, (chosen - 1) * 3 + shard AS batch_id
+        FROM sticky_greedy JOIN sticky_order USING (shard, r)""",
     "batch_stats": """
         SELECT batch_id, count(*) AS creator_count, CAST(sum(image_count) AS BIGINT) AS image_total,
           max(image_count) AS largest_creator FROM sizes GROUP BY batch_id""",
@@ -382,20 +427,18 @@ FINAL: dict[str, str] = {
         SELECT b.creator_name, cover_url, updated_at, ord, batch_id
         FROM batchable b JOIN bucketed c ON b.creator_name = c.creator_name""",
     "batch_messages": """
-        SELECT batch_id, count(*) AS image_count, CASE WHEN count(*) <= 400 THEN
-            '{"processing_type":"csv_data","csv_data":"creator_name,cover_url,updated_at\\n'
-            || string_agg(b.creator_name || ',' || cover_url || ',' || updated_at, '\\n' ORDER BY b.creator_name, ord)
+        SELECT batch_id, part, count(*) AS image_count,
+          '{"processing_type":"csv_data","csv_data":"creator_name,cover_url,updated_at\\n'
+            || string_agg(creator_name || ',' || cover_url || ',' || updated_at, '\\n' ORDER BY creator_name, ord)
             || '","processing_config":'
             || '{"cols":7,"max_retries":3,"max_workers":8,"quality":95,"rows":5,"timeout":30}'
             || ',"output_prefix":"parallel_sqs_20010802_000000/","timestamp":"2001-08-02 00:00:00",'
-            || '"source":"direct_data"}'
-          ELSE '{"processing_type":"csv_s3","s3_bucket":"in","s3_key":'
-            || '"csv-files/version1/20010802_000000/parallel_batch=' || printf('%02d', batch_id + 1)
-            || '","processing_config":'
-            || '{"cols":7,"max_retries":3,"max_workers":8,"quality":95,"rows":5,"timeout":30}'
-            || ',"output_prefix":"parallel_sqs_20010802_000000/","timestamp":"2001-08-02 00:00:00",'
-            || '"source":"local_upload"}' END AS body
-        FROM batchable b JOIN bucketed c ON b.creator_name = c.creator_name GROUP BY batch_id""",
+            || '"source":"direct_data"}' AS body
+        FROM (
+          SELECT c.batch_id, b.creator_name, cover_url, updated_at, ord,
+            (row_number() OVER (PARTITION BY c.batch_id ORDER BY b.creator_name, ord) - 1) // 400 AS part
+          FROM batchable b JOIN bucketed c ON b.creator_name = c.creator_name)
+        GROUP BY batch_id, part""",
     "batch_files": """
         SELECT printf('%02d', batch_id + 1) AS batch_file, count(*) AS rows, count(DISTINCT b.creator_name) AS creators
         FROM batchable b JOIN bucketed c ON b.creator_name = c.creator_name GROUP BY batch_id""",

@@ -40,6 +40,7 @@ METADATA = {"rows": 5, "cols": 7, "quality": 95, "max_images": CAP}
 CONFIG = ProcessingConfig(max_images_per_creator=CAP)
 BATCHES = 37
 TARGET = 100
+SHARDS = 3
 PREFIX = "out/"
 CELL_W, CELL_H = 32, 24
 
@@ -264,7 +265,20 @@ def next_fit_batches(t: Tables) -> DataFrame:
 
 @query
 def balanced_batches(t: Tables) -> DataFrame:
-    return batching.balanced_batches(_sizes(t), TARGET)
+    return batching.balanced_batches(_sizes(t), TARGET, shards=1)
+
+
+@query
+def sharded_batches(t: Tables) -> DataFrame:
+    return batching.balanced_batches(_sizes(t), TARGET, SHARDS)
+
+
+@query
+def sticky_balanced_batches(t: Tables) -> DataFrame:
+    """Seen creators keep batches of an earlier packing, the others are packed around them."""
+    number = F.substring_index("creator_name", "#", -1).cast("long")
+    before = t.seen_creators().withColumn("batch_id", number % 40)
+    return batching.balanced_batches(_sizes(t), TARGET, SHARDS, before)
 
 
 @query
@@ -307,9 +321,9 @@ def attach_batches(t: Tables) -> DataFrame:
 
 @query
 def batch_messages(t: Tables) -> DataFrame:
-    """One message per batch: text for the small ones, a file reference for those over 400 rows."""
+    """Messages of at most 400 rows: a larger batch is several."""
     rows = batching.attach_batches(ingest.batchable_items(t.items()), _hash_assignment(t))
-    return batching.batch_messages(rows, ORDERS_AS_OF, 400, "in", "csv-files/version1")
+    return batching.batch_messages(rows, ORDERS_AS_OF, 400)
 
 
 @query

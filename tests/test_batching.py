@@ -29,7 +29,7 @@ def random_sizes(seed, n, counts):
 
 def test_worked_example(spark):
     sizes = [("ann", 25), ("bob", 9), ("cy", 8), ("dee", 8), ("eve", 6), ("fay", 4), ("gil", 3), ("hal", 1)]
-    got = chosen(batching.balanced_batches(sizes_of(spark, sizes), 10))
+    got = chosen(batching.balanced_batches(sizes_of(spark, sizes), 10, 1))
     groups = {}
     for name, batch in got.items():
         groups.setdefault(batch, set()).add(name)
@@ -40,7 +40,7 @@ def test_worked_example(spark):
 def test_balanced_equals_the_sequential_packing(spark, seed):
     target = [10, 33, 100, 7][seed]
     sizes = random_sizes(seed, 400, [1, 1, 2, 3, 5, 9, 12, 40, target, 2 * target, 2 * target + 1])
-    assert chosen(batching.balanced_batches(sizes_of(spark, sizes), target)) == greedy(sizes, target)
+    assert chosen(batching.balanced_batches(sizes_of(spark, sizes), target, 1)) == greedy(sizes, target)
 
 
 @pytest.mark.parametrize("shards", [1, 3])
@@ -59,7 +59,7 @@ def test_balanced_properties(spark, shards):
 def test_balanced_keeps_earlier_batches(spark):
     sizes = [("a", 5), ("b", 4), ("c", 3), ("d", 2)]
     before = spark.createDataFrame([("c", 0), ("d", 0)], "creator_name string, batch_id long")
-    got = chosen(batching.balanced_batches(sizes_of(spark, sizes), 10, previous=before))
+    got = chosen(batching.balanced_batches(sizes_of(spark, sizes), 10, 1, previous=before))
     assert got["c"] == got["a"] == got["d"] == 0
 
 
@@ -83,7 +83,7 @@ def test_struct_positions_pack_too(spark, tmp_path):
         (tmp_path / f"{name}.csv").write_text("creator_name,cover_url,updated_at\n" + lines)
     items = readers.read_items(spark, str(tmp_path))
     sizes = [(f"{name}{i}", i % 3 + 1) for name in ("a", "b") for i in range(30)]
-    assert chosen(batching.balanced_batches(batching.creator_sizes(items), 6)) == greedy(sizes, 6)
+    assert chosen(batching.balanced_batches(batching.creator_sizes(items), 6, 1)) == greedy(sizes, 6)
     assert chosen(batching.next_fit_batches(batching.creator_sizes(items), 6)) == next_fit(sizes, 6)
 
 
@@ -125,16 +125,26 @@ def batch_rows(spark):
     )
 
 
-def test_messages_carry_or_name_their_rows(spark):
-    got = {r.batch_id: json.loads(r.body) for r in
-           batching.batch_messages(batch_rows(spark), AS_OF, 2, "in", "dir/").collect()}
-    assert got[0]["processing_type"] == "csv_data"
-    assert got[0]["csv_data"] == 'creator_name,cover_url,updated_at\n"a,b","u""1",t\n"a,b",u2,'
-    assert got[0]["output_prefix"] == "parallel_sqs_20240102_030405/"
-    assert got[0]["processing_config"] == {"rows": 5, "cols": 7, "quality": 95, "max_workers": 8, "timeout": 30,
-                                           "max_retries": 3}
-    assert got[1]["processing_type"] == "csv_s3"
-    assert got[1]["s3_key"] == "dir/20240102_030405/parallel_batch=02"
+@pytest.mark.parametrize("shards", [1, 4])
+def test_earlier_batches_survive(spark, shards):
+    sizes = random_sizes(5, 200, [1, 2, 3, 30, 80, 250])
+    first = batching.balanced_batches(sizes_of(spark, sizes[:120]), 50, shards)
+    got = chosen(first)
+    again = chosen(batching.balanced_batches(sizes_of(spark, sizes), 50, shards, previous=first))
+    assert again.keys() == dict(sizes).keys() and got.items() <= again.items()
+    assert chosen(batching.balanced_batches(sizes_of(spark, sizes[:120]), 50, shards, previous=first)) == got
+
+
+def test_messages_carry_their_rows(spark):
+    got = {(r.batch_id, r.part): json.loads(r.body) for r in
+           batching.batch_messages(batch_rows(spark), AS_OF, 2).collect()}
+    assert got.keys() == {(0, 0), (1, 0), (1, 1)}
+    assert {m["processing_type"] for m in got.values()} == {"csv_data"}
+    assert got[0, 0]["csv_data"] == 'creator_name,cover_url,updated_at\n"a,b","u""1",t\n"a,b",u2,'
+    assert got[0, 0]["output_prefix"] == "parallel_sqs_20240102_030405/"
+    assert got[0, 0]["processing_config"] == {"rows": 5, "cols": 7, "quality": 95, "max_workers": 8, "timeout": 30,
+                                              "max_retries": 3}
+    assert got[1, 1]["csv_data"] == "creator_name,cover_url,updated_at\nc,u5,t"
 
 
 def test_message_defaults(spark):
