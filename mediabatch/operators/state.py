@@ -41,6 +41,16 @@ def current_state(log: DataFrame, as_of: datetime | None = None) -> DataFrame:
     return current.where(F.col("ttl").isNull() | (F.col("ttl") > epoch_seconds(as_of)))
 
 
+def recent(log: DataFrame, as_of: datetime) -> DataFrame:
+    """The part of the log that can hold unexpired records: its folders by day before that are not read."""
+    first = (as_of - timedelta(days=TTL_DAYS + 1)).strftime("%Y-%m-%d")
+    return log.where(F.col("processing_date") >= F.lit(first).cast("date"))
+
+
+def of_day(log: DataFrame, as_of: datetime) -> DataFrame:
+    return log.where(F.col("processing_date") == F.lit(as_of.strftime("%Y-%m-%d")).cast("date"))
+
+
 def compact(log: DataFrame, as_of: datetime) -> DataFrame:
     """The log without superseded versions and expired records."""
     return current_state(log, as_of)
@@ -68,15 +78,20 @@ def create_records(
     """Outcome of opening today's record for each request (creator_name, batch_id, content_hash, image_count).
 
     A request is refused while that day's record is still `processing`; of several requests for one
-    creator only the lowest batch id gets through, as the first one blocks the others. Returns every
-    request in state-record form with `accepted`; append the accepted ones.
+    creator only the first by (batch_id, content_hash, image_count) gets through, as it blocks the others,
+    and of a repeated request one copy. Returns every request in state-record form with `accepted`; append
+    the accepted ones.
     """
     today = F.lit(as_of.strftime("%Y-%m-%d")).cast("date")
     existing = current.where(F.col("processing_date") == today).select(
         "creator_name", F.col("status").alias("old_status"), F.col("version").alias("old_version")
     )
-    first = requests.groupBy("creator_name").agg(F.min("batch_id").alias("first_batch"))
-    free = F.coalesce(F.col("old_status") != "processing", F.lit(True))
+    request = F.struct("batch_id", "content_hash", "image_count")
+    first = requests.groupBy("creator_name").agg(F.min(request).alias("first"))
+    # Copies of one request are alike, so it does not matter which of them is the first.
+    same = Window.partitionBy("creator_name", "batch_id", "content_hash", "image_count").orderBy(F.lit(1))
+    requests = requests.withColumn("copy", F.row_number().over(same))
+    free = F.coalesce(F.col("old_status") != "processing", F.lit(True)) & (F.col("copy") == 1)
     return requests.join(first.join(existing, "creator_name", "left"), "creator_name").select(
         "creator_name",
         today.alias("processing_date"),
@@ -93,7 +108,7 @@ def create_records(
         F.lit("").alias("collage_s3_key"),
         F.lit(None).cast("string").alias("error_message"),
         F.coalesce(F.col("old_version") + 1, F.lit(0).cast("long")).alias("version"),
-        (free & (F.col("batch_id") == F.col("first_batch"))).alias("accepted"),
+        (free & request.eqNullSafe(F.col("first"))).alias("accepted"),
     )
 
 
@@ -101,17 +116,24 @@ def update_records(current: DataFrame, updates: DataFrame, as_of: datetime) -> D
     """New versions of existing records; only supplied fields change, unknown keys match nothing.
 
     `updates` has the key, `status` and any of `collage_s3_key`, `processing_duration_ms`,
-    `error_message`; NULL (and an empty key or message) leaves the old value.
+    `error_message`; NULL (and an empty key or message) leaves the old value. Several updates of a key make
+    one version: they are applied in the order of `ord`, if there is such a column, else in that of their
+    values.
     """
-    u = updates.select(*KEY, *[F.col(c).alias(f"new_{c}") for c in updates.columns if c not in KEY])
+    fields = [c for c in updates.columns if c not in (*KEY, "ord")]
+
+    def value(name: str) -> Column:
+        return F.nullif(name, F.lit("")) if name in ("collage_s3_key", "error_message") else F.col(name)
+
+    order = F.col("ord") if "ord" in updates.columns else F.struct(*fields)
+    # The last value of each field that was supplied.
+    last = [F.max_by(value(c), F.when(value(c).isNotNull(), order)).alias(f"new_{c}") for c in fields]
+    u = updates.groupBy(*KEY).agg(*last)
 
     def merged(name: str):
         if f"new_{name}" not in u.columns:
             return F.col(name)
-        new = F.col(f"new_{name}")
-        if name in ("collage_s3_key", "error_message"):
-            new = F.nullif(new, F.lit(""))
-        return F.coalesce(new, F.col(name))
+        return F.coalesce(F.col(f"new_{name}"), F.col(name))
 
     fixed = {
         "status": F.col("new_status"),

@@ -88,9 +88,24 @@ PARTS: dict[str, str] = {
         SELECT DISTINCT 'u' || user_id AS creator_name, DATE '2024-01-30' AS processing_date,
           CASE WHEN user_id % 3 = 0 THEN 'completed' ELSE 'failed' END AS new_status,
           CASE WHEN user_id % 3 = 0 THEN 'k' || user_id END AS new_key,
-          CASE WHEN user_id % 3 = 0 THEN user_id * 10 END AS new_ms,
-          CASE WHEN user_id % 3 = 1 THEN 'boom' END AS new_error
+          CASE WHEN user_id % 3 = 0 THEN user_id * 10 ELSE 5 END AS new_ms,
+          CASE WHEN user_id % 3 = 1 THEN 'boom' ELSE 'early' END AS new_error
         FROM events""",
+    "stored": """
+        SELECT s.creator_name, s.processing_date, coalesce(new_status, status) AS status, batch_id, content_hash,
+          image_count, coalesce(new_ms, processing_duration_ms) AS processing_duration_ms,
+          coalesce(new_key, collage_s3_key) AS collage_s3_key, coalesce(new_error, error_message) AS error_message,
+          ttl, CASE WHEN u.creator_name IS NULL THEN version ELSE version + 1 END AS version, created_at,
+          CASE WHEN u.creator_name IS NULL THEN updated_at ELSE TIMESTAMP '2024-01-31' END AS updated_at
+        FROM (SELECT *, ttl > epoch(TIMESTAMP '2024-01-31') AS live FROM state) s
+        LEFT JOIN updates u ON live AND s.creator_name = u.creator_name AND s.processing_date = u.processing_date""",
+    "swept": """
+        SELECT * REPLACE (CASE WHEN stuck THEN 'failed' ELSE status END AS status,
+          CASE WHEN stuck THEN 'Processing timed out after 30 minutes' ELSE error_message END AS error_message,
+          CASE WHEN stuck THEN version + 1 ELSE version END AS version,
+          CASE WHEN stuck THEN TIMESTAMP '2024-01-31' ELSE updated_at END AS updated_at)
+        FROM (SELECT *, status = 'processing' AND created_at < TIMESTAMP '2024-01-30 23:30:00'
+            AND ttl > epoch(TIMESTAMP '2024-01-31') AS stuck FROM stored)""",
     "objects": """
         SELECT 'out/collages/' || replace(lower(replace(c_name, '#', '')), ' ', '_') || '_collage_'
             || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 12) || '.jpg' AS s3_key,
@@ -463,8 +478,9 @@ FINAL: dict[str, str] = {
           coalesce(t.version + 1, 0) AS version, '2024-01-30 12:00:00' AS created_at,
           '2024-01-30 12:00:00' AS updated_at,
           coalesce(t.status <> 'processing', true)
-            AND r.batch_id = min(r.batch_id) OVER (PARTITION BY r.creator_name) AS accepted
-        FROM (SELECT creator_name, batch_id || '-' || version AS batch_id, content_hash, image_count FROM log
+            AND row_number() OVER (PARTITION BY r.creator_name ORDER BY r.batch_id) = 1 AS accepted
+        FROM (SELECT creator_name, batch_id || '-' || version AS batch_id, content_hash, image_count,
+                unnest(CASE WHEN version % 2 = 0 THEN [1, 2] ELSE [1] END) FROM log
               WHERE processing_date = DATE '2024-01-30') r
         LEFT JOIN (
           SELECT creator_name, arg_max(status, (updated_at, version)) AS status,
@@ -478,6 +494,7 @@ FINAL: dict[str, str] = {
           ttl, version + 1 AS version, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at,
           '2024-01-31 00:00:00' AS updated_at
         FROM state s JOIN updates u ON s.creator_name = u.creator_name AND s.processing_date = u.processing_date""",
+    "status_stream": f"SELECT {STATE_COLUMNS} FROM swept",
     "unmatched_updates": """
         SELECT creator_name, new_status AS status FROM updates
         WHERE creator_name NOT IN (SELECT creator_name FROM state WHERE processing_date = DATE '2024-01-30')""",

@@ -410,6 +410,8 @@ def conditional_create(t: Tables) -> DataFrame:
     events = t.state_log().where(F.col("processing_date") == F.lit("2024-01-30").cast("date"))
     requests = events.select("creator_name", F.concat("batch_id", F.lit("-"), "version").alias("batch_id"),
                              "content_hash", "image_count")
+    # Every second request is delivered twice.
+    requests = requests.unionByName(requests.where(F.substring("batch_id", -1, 1).cast("int") % 2 == 0))
     return _state_out(state.create_records(current, requests, NOON), "accepted")
 
 
@@ -426,9 +428,37 @@ def _updates(t: Tables) -> DataFrame:
     )
 
 
+def _update_log(t: Tables) -> DataFrame:
+    """Two updates per key, in order: first a note that work began, then the outcome."""
+    began = _updates(t).select(
+        "creator_name",
+        "processing_date",
+        F.lit("processing").alias("status"),
+        F.lit("").alias("collage_s3_key"),
+        F.lit(5).cast("long").alias("processing_duration_ms"),
+        F.lit("early").alias("error_message"),
+        F.lit(0).alias("ord"),
+    )
+    return _updates(t).withColumn("ord", F.lit(1)).unionByName(began)
+
+
 @query
 def status_update(t: Tables) -> DataFrame:
-    return _state_out(state.update_records(_current(t), _updates(t), EVENTS_AS_OF))
+    return _state_out(state.update_records(_current(t), _update_log(t), EVENTS_AS_OF))
+
+
+@query
+def status_stream(t: Tables) -> DataFrame:
+    """The stored log after a stream of updates: outcomes recorded, stuck records failed."""
+    run = _run_folder(t)
+    writers.append_state(t.state_log(), f"{run}/state")
+    updates = _update_log(t)
+    updates.write.parquet(f"{run}/updates")
+    arriving = t.spark.readStream.schema(updates.schema).parquet(f"{run}/updates")
+    triggers.status_stream(
+        t.spark, arriving, f"{run}/state", f"{run}/checkpoint", lambda: EVENTS_AS_OF
+    ).awaitTermination()
+    return _state_out(state.current_state(readers.read_state(t.spark, f"{run}/state")))
 
 
 @query

@@ -23,7 +23,7 @@ from mediabatch.operators.decisions import plan_work
 from mediabatch.operators.ingest import valid_items, with_positions
 from mediabatch.operators.layout import combined_rows
 from mediabatch.operators.report import run_summary
-from mediabatch.operators.state import create_records, current_state, moment, update_records
+from mediabatch.operators.state import create_records, current_state, moment, of_day, recent, update_records
 from mediabatch.session import shared_dir
 from mediabatch.sources.readers import read_images
 from mediabatch.sources.writers import append_state
@@ -137,7 +137,7 @@ def run_batch(
     log = spark.read.schema(schemas.STATE).parquet(state_path) if _exists(spark, state_path) else (
         spark.createDataFrame([], schemas.STATE)
     )
-    state = current_state(log, as_of)
+    state = current_state(recent(log, as_of), as_of)
     plan = plan_work(valid, state, objects, config, as_of, prefix, deduplicate, force)
     if not deduplicate:
         plan = plan.withColumn("s3_key", legacy_collage_key(F.col("creator_name"), prefix, moment(as_of)))
@@ -196,7 +196,7 @@ def _close_records(spark: SparkSession, state_path: str, results: DataFrame, as_
         ),
         F.when(failed, F.col("reason")).alias("error_message"),
     )
-    state = current_state(spark.read.schema(schemas.STATE).parquet(state_path), as_of)
+    state = current_state(of_day(spark.read.schema(schemas.STATE).parquet(state_path), as_of), as_of)
     shared_dir(spark)
     # The new versions are cut off from the log they were read from before they are appended to it.
     append_state(update_records(state, updates, as_of).checkpoint(), state_path)

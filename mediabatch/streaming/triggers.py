@@ -25,7 +25,7 @@ from mediabatch.operators.messages import (
     reprocess,
     retryable,
 )
-from mediabatch.operators.state import current_state, expire_stale, moment, update_records
+from mediabatch.operators.state import current_state, expire_stale, moment, recent, update_records
 from mediabatch.session import shared_dir
 from mediabatch.sources.readers import CSV_GLOB, read_item_files, read_state
 from mediabatch.sources.writers import append_state, write_messages
@@ -196,11 +196,11 @@ def status_stream(
     def each(batch: DataFrame, epoch: int) -> None:
         now = as_of()
         shared_dir(spark)
-        current = current_state(read_state(spark, state_path), now)
+        current = current_state(recent(read_state(spark, state_path), now), now)
         # Cut off from the log before the log grows.
         changed = update_records(current, batch, now).checkpoint()
         append_state(changed, state_path)
-        stuck = expire_stale(current_state(read_state(spark, state_path), now), now).checkpoint()
+        stuck = expire_stale(current_state(recent(read_state(spark, state_path), now), now), now).checkpoint()
         append_state(stuck, state_path)
 
     return (

@@ -254,3 +254,24 @@ def test_listing(spark, tmp_path):
     assert readers.list_objects(spark, root, limit=1).count() == 1
     plan = readers.list_objects(spark, root)._jdf.queryExecution().optimizedPlan().toString()
     assert "content#" not in plan.split("Relation")[0]
+
+
+def test_repeated_request_is_accepted_once(spark):
+    current = spark.createDataFrame([], schemas.STATE)
+    rows = [("a", "b1", "h", 1), ("a", "b1", "h", 1), ("a", "b1", None, 1), ("a", "b0", None, 2), ("a", "b0", None, 2)]
+    requests = spark.createDataFrame(rows, "creator_name string, batch_id string, content_hash string, image_count long")
+    out = state.create_records(current, requests, datetime(2024, 1, 2)).collect()
+    assert len(out) == 5 and [r.batch_id for r in out if r.accepted] == ["b0"]
+
+
+def test_log_reads_prune_days(spark, tmp_path):
+    path = str(tmp_path / "log")
+    days = spark.range(60).selectExpr(
+        "CONCAT('c', id) creator_name", "DATE'2024-01-01' + CAST(id AS INT) processing_date", "'x' status", "id version"
+    )
+    days.write.partitionBy("processing_date").parquet(path)
+    log = spark.read.schema(schemas.STATE).parquet(path)
+    for rows, n in ((state.recent(log, datetime(2024, 2, 20)), 41), (state.of_day(log, datetime(2024, 2, 20)), 1)):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(processing_date" in plan
+        assert rows.count() == n
