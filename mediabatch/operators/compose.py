@@ -17,13 +17,8 @@ from mediabatch.functions.pixels import fill_crop, png_bytes, resize, to_array
 from mediabatch.functions.text import strip
 from mediabatch.operators.layout import canvas_size, is_usable, place_images
 
-# Request headers of the default fetcher.
-HEADERS = {
-    "User-Agent": "Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko)"
-    " Chrome/120.0.0.0 Safari/537.36",
-    "Accept": "image/webp,image/apng,image/*,*/*;q=0.8",
-    "Accept-Language": "en-US,en;q=0.9",
-}
+# Only types that the image reader decodes are asked for.
+HEADERS = {"User-Agent": "mediabatch", "Accept": "image/jpeg, image/png, image/gif, image/bmp"}
 
 # Bytes of cells per batch between the two Python stages.
 CELL_BYTES = 32 * 1024 * 1024
@@ -177,7 +172,7 @@ def compose(
 ) -> DataFrame:
     """One collage per creator from rows with an `image` struct.
 
-    Only images that get a cell are shuffled, once, to their creator; there each is cut to its cell,
+    Each task sends at most rows x cols images of a creator, once; there each is cut to its cell,
     and the small cells are regrouped for pasting, so a group carries at most rows x cols cells.
     `sizes` (keys, width, height of every image), where known, spares a second pass over pixels.
     `creators` (keys and further columns) adds those columns without moving pixels or canvases.

@@ -55,8 +55,24 @@ def unknown_keys(named: Column) -> Column:
     return F.array_except(named, F.array(*[F.lit(k) for k in CONFIG_KEYS]))
 
 
+def ill_typed(text: Column, given: Column, named: Column) -> Column:
+    """A message for each named setting whose value, other than null, is not of its type."""
+    return F.array_compact(
+        F.array(
+            *[
+                F.when(
+                    F.array_contains(named, key) & given[key].isNull() & F.get_json_object(text, f"$.{key}").isNotNull(),
+                    F.lit(f"{key} has the wrong type"),
+                )
+                for key in CONFIG_KEYS
+            ]
+        )
+    )
+
+
 def config_errors(config: Column) -> Column:
     """Validation messages of a merged configuration, empty when it is fine."""
+    # What each broken rule is called.
     rules = [
         (config["rows"] <= 0, "rows must be positive"),
         (config["cols"] <= 0, "cols must be positive"),
@@ -85,7 +101,8 @@ def parse_messages(messages: DataFrame, as_of: datetime, defaults: ProcessingCon
     body = messages.select("*", F.inline(F.array(F.struct(F.from_json("body", schemas.MESSAGE, options).alias("m")))))
     text = F.col("m.processing_config")
     settings = F.struct(F.from_json(text, schemas.CONFIG).alias("given"), config_keys(text).alias("named"))
-    parsed = body.select("*", F.inline(F.array(settings))).withColumn(
+    typed = body.select("*", F.inline(F.array(settings)))
+    parsed = typed.withColumn("ill_typed", ill_typed(text, F.col("given"), F.col("named"))).withColumn(
         "readable", F.col("m").isNotNull() & F.col("m.unreadable").isNull()
     )
     kind = F.col("m.processing_type")
@@ -108,6 +125,7 @@ def parse_messages(messages: DataFrame, as_of: datetime, defaults: ProcessingCon
         F.col("m.csv_data").alias("csv_data"),
         config.alias("config"),
         unknown_keys(F.col("named")).alias("unknown_keys"),
+        F.concat(config_errors(config), F.coalesce("ill_typed", F.array().cast("array<string>"))).alias("config_errors"),
         prefix.alias("output_prefix"),
         batch.alias("batch_id"),
         F.coalesce(F.col("m.attempt").try_cast("int"), F.lit(0)).alias("attempt"),
@@ -116,11 +134,11 @@ def parse_messages(messages: DataFrame, as_of: datetime, defaults: ProcessingCon
         F.when(~F.col("readable"), "malformed")
         .when(~F.coalesce(F.col("processing_type").isin(*DEFAULT_PREFIXES), F.lit(False)), "unsupported type")
         .when(F.size("unknown_keys") > 0, "unknown configuration key")
-        .when(F.size(config_errors(F.col("config"))) > 0, "invalid configuration")
+        .when(F.size("config_errors") > 0, "invalid configuration")
         .when((F.col("processing_type") == "csv_s3") & F.col("s3_key").isNull(), "missing payload")
         .when((F.col("processing_type") == "csv_data") & F.col("csv_data").isNull(), "missing payload")
     )
-    return shaped.withColumn("config_errors", config_errors(F.col("config"))).withColumn("reason", reason)
+    return shaped.withColumn("reason", reason)
 
 
 def accepted(parsed: DataFrame, kind: str | None = None) -> DataFrame:

@@ -55,19 +55,21 @@ def collage_owners(objects: DataFrame, prefix: str = "") -> DataFrame:
 
 
 def existing_for_creator(
-    creators: DataFrame, objects: DataFrame, prefix: str = "", limit: int | None = None
+    creators: DataFrame, objects: DataFrame, prefix: str = "", page_size: int | None = None
 ) -> DataFrame:
     """Stored collages of each creator: keys that start with its safe name and the separator.
 
-    The prefix match is an equality join on the possible names of each key. `limit` replicates one
-    listing page per creator (first keys in order); None returns all.
+    The prefix match is an equality join on the possible names of each key; creators without a letter or
+    digit have no safe name and own nothing. With `page_size`, `page` numbers the listing pages that each
+    creator's keys, in order, fall on; all of them are returned.
     """
     wanted = creators.select("creator_name", safe_name(F.col("creator_name")).alias("safe"))
+    wanted = wanted.where(F.col("safe") != "")
     found = _owners(objects, prefix).join(wanted, "safe").drop("safe")
-    if limit is None:
+    if page_size is None:
         return found
     w = Window.partitionBy("creator_name").orderBy("s3_key")
-    return found.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= limit).drop("_n")
+    return found.withColumn("page", F.floor((F.row_number().over(w) - 1) / page_size).cast("int"))
 
 
 def retention_plan(found: DataFrame, keep_latest: int = 1) -> DataFrame:

@@ -116,7 +116,7 @@ PARTS: dict[str, str] = {
           c_name AS creator_name
         FROM orders JOIN customer ON o_custkey = c_custkey""",
     "known": """
-        SELECT s3_key, size_bytes FROM objects WHERE substr(s3_key, -5, 1) <> '7'
+        SELECT s3_key, size_bytes FROM objects
         UNION ALL
         SELECT 'out/collages/' || file_name, 102396 + CAST(substr(creator_name, 10) AS BIGINT) % 8
         FROM names WHERE CAST(substr(creator_name, 10) AS BIGINT) % 3 = 0""",
@@ -155,7 +155,8 @@ PARTS: dict[str, str] = {
             ELSE 3 * (l_orderkey % 256) END AS channels FROM dims)
         WHERE 46 + quantity % 10 >= 50""",
     "messages": """
-        SELECT o_orderkey AS message_id, o_custkey AS c, o_orderkey % 5 AS kind, o_orderkey AS k FROM orders""",
+        SELECT o_orderkey AS message_id, o_custkey AS c, o_orderkey % 5 AS kind, o_orderkey AS k,
+          o_orderkey % 5 = 4 AND o_orderkey % 2 = 0 AS far FROM orders""",
     "routed": """
         SELECT *, CASE kind WHEN 0 THEN 'csv_s3' WHEN 1 THEN 'csv_data' WHEN 4 THEN 'csv_data'
             WHEN 2 THEN CASE WHEN k % 2 = 0 THEN 'zip_file' END END AS processing_type,
@@ -562,8 +563,8 @@ FINAL: dict[str, str] = {
           FROM (SELECT *, CAST(substr(creator_name, 10) AS BIGINT) AS k FROM skips))""",
     "existing_for_creator": "SELECT creator_name, s3_key, size_bytes FROM objects",
     "existing_page": """
-        SELECT creator_name, s3_key FROM objects
-        QUALIFY row_number() OVER (PARTITION BY creator_name ORDER BY s3_key) <= 5""",
+        SELECT creator_name, s3_key,
+          CAST((row_number() OVER (PARTITION BY creator_name ORDER BY s3_key) - 1) // 5 AS INTEGER) AS page FROM objects""",
     "retention_plan": """
         SELECT creator_name, s3_key, CASE WHEN row_number() OVER (PARTITION BY creator_name
           ORDER BY last_modified DESC, s3_key) <= 2 THEN 'keep' ELSE 'delete' END AS action FROM objects""",
@@ -647,11 +648,12 @@ FINAL: dict[str, str] = {
           doc_id <> min(doc_id) OVER (PARTITION BY lang, text) AS duplicate
         FROM documents""",
     "fetch_counts": """
-        SELECT creator_name, count(*) AS attempted, count(*) FILTER (ord % 10 NOT IN (3, 7)) AS fetched,
-          count(*) FILTER (ord % 10 IN (3, 7)) AS failed,
-          CAST(sum(CASE WHEN ord % 10 = 3 THEN 3 ELSE 1 END) AS BIGINT) AS attempts,
-          CAST(sum(ord % 100) FILTER (ord % 10 NOT IN (3, 7)) AS BIGINT) AS bytes
-        FROM valid GROUP BY creator_name""",
+        SELECT creator_name, count(*) AS attempted, count(*) FILTER (fine) AS fetched, count(*) FILTER (NOT fine) AS failed,
+          CAST(sum(CASE WHEN ord % 10 = 3 OR marker THEN 3 ELSE 1 END) AS BIGINT) AS attempts,
+          CAST(sum(ord % 100) FILTER (fine) AS BIGINT) AS bytes
+        FROM (SELECT *, cover_url LIKE 'ERROR:%' AS marker,
+            cover_url NOT LIKE 'ERROR:%' AND ord % 10 NOT IN (3, 7) AS fine FROM items WHERE trim(cover_url) <> '')
+        GROUP BY creator_name""",
     "message_routing": """
         SELECT message_id, processing_type, CASE WHEN kind = 0 THEN 'in' END AS s3_bucket,
           CASE WHEN kind = 0 THEN 'csv-files/' || k || '.csv' END AS s3_key,
@@ -662,15 +664,16 @@ FINAL: dict[str, str] = {
         FROM routed""",
     "merged_config": """
         SELECT message_id, true AS group_by_creator,
-          CAST(CASE kind WHEN 0 THEN k % 7 + 1 WHEN 4 THEN 0 ELSE 5 END AS INTEGER) AS rows, 7 AS cols,
+          CAST(CASE WHEN kind = 0 THEN k % 7 + 1 WHEN far THEN 0 ELSE 5 END AS INTEGER) AS rows, 7 AS cols,
           CASE WHEN kind <> 0 THEN 35 END AS max_images_per_creator,
-          CASE kind WHEN 1 THEN 90 WHEN 4 THEN 101 ELSE 95 END AS quality,
-          CASE kind WHEN 4 THEN 21 ELSE 8 END AS max_workers, CASE kind WHEN 4 THEN 301 ELSE 30 END AS timeout,
+          CASE WHEN kind = 1 THEN 90 WHEN far THEN 101 ELSE 95 END AS quality,
+          CASE WHEN far THEN 21 ELSE 8 END AS max_workers, CASE WHEN far THEN 301 ELSE 30 END AS timeout,
           3 AS max_retries
         FROM messages WHERE kind <> 3""",
     "config_validation": """
-        SELECT message_id, CASE WHEN kind = 4 THEN 'rows must be positive|quality must be between 1 and 100|'
-          || 'max_workers should not exceed 20|timeout should not exceed 300 seconds' ELSE '' END AS errors
+        SELECT message_id, CASE WHEN far THEN 'rows must be positive|quality must be between 1 and 100|'
+          || 'max_workers should not exceed 20|timeout should not exceed 300 seconds'
+          WHEN kind = 4 THEN 'rows has the wrong type|cols has the wrong type' ELSE '' END AS errors
         FROM messages""",
     "message_items": """
         SELECT message_id, 'sqs_data_20010802_000000' AS batch_id, creator_name, cover_url, updated_at,
@@ -683,10 +686,11 @@ FINAL: dict[str, str] = {
         FROM routed WHERE reason IS NOT NULL GROUP BY 1""",
     "reprocess_messages": """
         SELECT CASE WHEN kind = 4 THEN '{"processing_type":"csv_data","csv_data":"creator_name,cover_url,updated_at",'
-            || '"processing_config":{"max_workers":21,"quality":101,"rows":0,"timeout":301}}'
+            || '"processing_config":' || CASE WHEN far THEN '{"max_workers":21,"quality":101,"rows":0,"timeout":301}}'
+              ELSE '{"cols":2.7,"quality":null,"rows":"abc"}}' END
             WHEN k % 2 = 0 THEN '{"processing_type":"zip_file"}' ELSE '{"csv_data":"x"}' END AS body,
           processing_type, 'dlq_reprocess' AS source, '2001-08-02T00:00:00' AS stamp, '120' AS timeout,
-          '5' AS max_retries, '4' AS max_workers, CASE WHEN kind = 4 THEN '101' END AS quality
+          '5' AS max_retries, '4' AS max_workers, CASE WHEN far THEN '101' END AS quality
         FROM routed WHERE kind IN (2, 4)""",
     "run_summary": """
         SELECT day, count(*) AS total_creators, count(*) FILTER (outcome = 'created') AS created,
@@ -708,7 +712,8 @@ FINAL: dict[str, str] = {
           CAST(sum(download_ms + k + save_ms) AS DOUBLE) / count(*) AS avg_ms
         FROM results WHERE outcome = 'created' GROUP BY day""",
     "stream_messages": """
-        SELECT processing_type, reason, CAST(CASE kind WHEN 0 THEN k % 7 + 1 WHEN 4 THEN 0 ELSE 5 END AS INTEGER) AS rows,
+        SELECT processing_type, reason,
+          CAST(CASE WHEN kind = 0 THEN k % 7 + 1 WHEN far THEN 0 ELSE 5 END AS INTEGER) AS rows,
           count(*) AS messages FROM routed GROUP BY ALL""",
     "stream_message_items": "SELECT creator_name, cover_url, updated_at FROM message_rows",
     "stream_files": "SELECT creator_name, count(*) AS urls FROM valid GROUP BY creator_name",

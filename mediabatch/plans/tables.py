@@ -30,10 +30,9 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def _spread(self, rows: DataFrame, source: str) -> DataFrame:
-        """Rows for costly work per row; a small `source` table would keep them in few tasks."""
-        cores = self.spark.sparkContext.defaultParallelism
-        return rows.repartition(4 * cores) if self.raw(source).rdd.getNumPartitions() < cores else rows
+    def _spread(self, rows: DataFrame) -> DataFrame:
+        """Rows for costly work per row, dealt out evenly: a small table would keep them in few tasks."""
+        return rows.repartition(4 * self.spark.sparkContext.defaultParallelism)
 
     def _orders(self) -> DataFrame:
         customers = self.raw("customer").select("c_custkey", "c_name")
@@ -184,7 +183,7 @@ class Tables:
         blue, green, red = F.col("ord.l_orderkey") % 256, F.col("ord.l_linenumber") * 30, F.col("p_size") * 5
         hexes = [F.lpad(F.hex(c.cast("long")), 2, "0") for c in (blue, green, red)]
         pixel = F.when(colour, F.concat(*hexes)).otherwise(hexes[0])
-        return self._spread(self.image_sizes(), "lineitem").select(
+        return self._spread(self.image_sizes()).select(
             "creator_name",
             "ord",
             F.struct(
@@ -212,10 +211,12 @@ class Tables:
             F.lit('.jpg","processing_config":{"quality":90}}'),
         )
         unsupported = F.when(key % 2 == 0, '{"processing_type":"zip_file"}').otherwise('{"csv_data":"x"}')
+        # Out of range, or of the wrong type.
         bad = {"rows": 0, "quality": 101, "max_workers": 21, "timeout": 301}
+        odd = {"cols": 2.7, "quality": None, "rows": "abc"}
         wrong = F.concat(
             F.lit('{"processing_type":"csv_data","csv_data":"creator_name,cover_url,updated_at","processing_config":'),
-            F.lit(canonical_json(bad)), F.lit("}"),
+            F.when(key % 2 == 0, canonical_json(bad)).otherwise(canonical_json(odd)), F.lit("}"),
         )
         body = (
             F.when(key % 5 == 0, stored)
@@ -224,7 +225,7 @@ class Tables:
             .when(key % 5 == 3, '{"processing_type":"csv_s3"')
             .otherwise(wrong)
         )
-        orders = self._spread(self.raw("orders").select("o_orderkey", "o_custkey"), "orders")
+        orders = self._spread(self.raw("orders").select("o_orderkey", "o_custkey"))
         return orders.select(key.alias("message_id"), body.alias("body"))
 
     def results(self) -> DataFrame:

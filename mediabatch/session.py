@@ -32,13 +32,15 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees, as the cluster names it.
 
-    Only when neither the setting nor a checkpoint folder exists (tests) a temporary one is made.
+    Only on a local master a temporary one is made where none is named: elsewhere each machine would have its own.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not named:
         named = sc.getCheckpointDir()
     if not named:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="mediabatch-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(named)

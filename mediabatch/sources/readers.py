@@ -30,12 +30,13 @@ def _csv(spark: SparkSession, paths, multiline: bool):
     )
 
 
-def read_items(spark: SparkSession, paths, multiline: bool = False) -> DataFrame:
+def read_items(spark: SparkSession, paths, multiline: bool = True) -> DataFrame:
     """Item rows of CSV files that share a header; columns are matched by name, extra ones dropped.
 
     An empty cell is `''`. A cell the row is too short to have is NULL, which later puts the row into
     the invalid output; a missing creator column reads as `unknown`. `ord` restores file order, which
-    the file splits of a scan do not keep.
+    the file splits of a scan do not keep. Quoted cells may hold line breaks; for files known to have none
+    `multiline=False` lets large ones be read in splits.
     """
     reader = _csv(spark, paths, multiline)
     header = reader.csv(paths).schema.names
@@ -68,7 +69,7 @@ def first_lines(spark: SparkSession, paths: list[str]) -> dict[str, str | None]:
     def first(path: str) -> str | None:
         target = jvm.org.apache.hadoop.fs.Path(path)
         files = target.getFileSystem(conf)
-        if not files.exists(target):
+        if not files.exists(target) or not files.getFileStatus(target).isFile():
             return None
         reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(files.open(target), "UTF-8"))
         try:
@@ -111,11 +112,8 @@ def read_messages(spark: SparkSession, path) -> DataFrame:
     return spark.read.text(path).select(F.col("value").alias("body"))
 
 
-def list_objects(spark: SparkSession, root: str, prefix: str = "", limit: int | None = None) -> DataFrame:
-    """Object listing below `root`; file contents are never read.
-
-    `limit` replicates a single listing page; None lists everything.
-    """
+def list_objects(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
+    """Object listing below `root`; file contents are never read."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
@@ -129,8 +127,6 @@ def list_objects(spark: SparkSession, root: str, prefix: str = "", limit: int |
         F.col("length").alias("size_bytes"),
         F.col("modificationTime").alias("last_modified"),
     ).where(F.startswith("s3_key", F.lit(prefix)))
-    if limit is not None:
-        listed = listed.orderBy("s3_key").limit(limit)
     return listed.withColumn("content_type", content_type(F.col("s3_key")))
 
 

@@ -1,6 +1,7 @@
 import csv
 import json
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 
@@ -149,7 +150,7 @@ def test_file_order_over_splits(spark, tmp_path):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
     try:
-        df = readers.read_items(spark, str(tmp_path))
+        df = readers.read_items(spark, str(tmp_path), multiline=False)
         assert df.rdd.getNumPartitions() > 4
         got = [r.cover_url for r in df.orderBy("ord").select("cover_url").collect()]
     finally:
@@ -186,3 +187,14 @@ def test_link_filters_reach_the_scan(spark, tmp_path):
         assert pushed in scan
         read = scan.split("ReadSchema")[1]
         assert "cover_urls" not in read and "other" not in read
+
+
+def test_cells_with_line_breaks_and_foreign_files(spark, tmp_path):
+    rows = [("a\nb", "https://x/1.jpg", "t"), ('q"u,o', "https://x/2.jpg", ""), ("plain", "https://x/3.jpg", "t")]
+    df = spark.createDataFrame(rows, "creator_name string, cover_url string, updated_at string")
+    path = writers.write_items(df, str(tmp_path / "in"), datetime(2024, 1, 2))
+    (tmp_path / "in" / "note.txt").write_text("creator_name,cover_url\nnot,read\n")
+    back, lost = readers.read_item_files(spark, [str(p) for p in Path(path).glob("*.csv")])
+    assert not lost
+    for got in (back, readers.read_items(spark, str(tmp_path / "in"))):
+        assert sorted(tuple(r)[:3] for r in got.collect()) == sorted(rows)
