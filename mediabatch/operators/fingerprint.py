@@ -6,16 +6,12 @@ import hashlib
 from datetime import datetime
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mediabatch.functions.hashing import check_algorithm, collage_file, collage_key, digest
 from mediabatch.functions.text import blank_to_null, canonical_json, json_quote, normalized_name
 from mediabatch.operators.ingest import cap_per_creator
-from mediabatch.session import shared_dir
-
-# A list of up to this many elements is hashed as one array value; a longer one is streamed.
-LIST_LIMIT = 10_000
 
 CREATOR = ("creator_name",)
 
@@ -59,21 +55,27 @@ def creator_urls(items: DataFrame, cap: int) -> DataFrame:
 # -- digest of a sorted list -------------------------------------------------------------------
 
 
-def _stream_digests(keys: list[str], algo: str):
+def _stream_digests(keys: list[str], stats: list[str], algo: str):
     """Hash sorted fragments row by row; only the running digest is held."""
+    columns = [*keys, "digest", *stats]
 
     def run(batches):
         current, state, first = None, None, True
+
+        def closed():
+            state[0].update(state[1])
+            return [*current, state[0].hexdigest(), *state[2]]
+
         for pdf in batches:
-            for row in zip(pdf[keys].itertuples(index=False, name=None), pdf["head"], pdf["tail"],
-                           pdf["fragment"], pdf["times"]):
-                key, head, tail, fragment, times = row
+            done = []
+            for row in zip(pdf[keys].itertuples(index=False, name=None), pdf["head"], pdf["tail"], pdf["fragment"],
+                           pdf["times"], pdf[stats].itertuples(index=False, name=None)):
+                key, head, tail, fragment, times, values = row
                 if key != current:
                     if state is not None:
-                        state[0].update(state[1])
-                        yield _result(keys, current, state[0])
+                        done.append(closed())
                     current, first = key, True
-                    state = (hashlib.new(algo, head.encode()), tail.encode())
+                    state = (hashlib.new(algo, head.encode()), tail.encode(), values)
                 if fragment is None:
                     continue
                 text = fragment.encode()
@@ -85,58 +87,35 @@ def _stream_digests(keys: list[str], algo: str):
                     step = min(times, 1024)
                     state[0].update(block * step)
                     times -= step
+            if done:
+                yield pd.DataFrame(done, columns=columns)
         if state is not None:
-            state[0].update(state[1])
-            yield _result(keys, current, state[0])
+            yield pd.DataFrame([closed()], columns=columns)
 
     return run
 
 
-def _result(keys, values, state):
-    return pd.DataFrame([[*values, state.hexdigest()]], columns=[*keys, "digest"])
-
-
 def sorted_list_digest(
-    entries: DataFrame,
-    keys: list[str],
-    stats: dict[str, Column],
-    length: str,
-    head: Column,
-    tail: Column,
-    algo: str = "sha256",
-    list_limit: int = LIST_LIMIT,
+    entries: DataFrame, keys: list[str], stats: dict[str, Column], head: Column, tail: Column, algo: str = "sha256"
 ) -> DataFrame:
     """Digest of `head` + comma-joined fragments in sort order + `tail`, per group: (keys, digest, stats).
 
     `entries` has the keys and `sort_key`, `fragment`, `times`; a NULL fragment adds nothing. `stats` are
-    aggregates over the entries that `head` and `tail` may read, `length` names the one that is the
-    list's length. Lists of up to `list_limit` elements become one array value in the JVM. Longer ones
-    are sorted by Spark's spilling sort and streamed through an incremental hash, so no group is ever
-    held in memory; a digest is sequential by definition, so such a group is one stream.
+    aggregates over a group's entries that `head` and `tail` may read. The entries are read and shuffled
+    once: statistics come from a window, Spark's spilling sort brings the fragments into order, and an
+    incremental hash takes them one by one, so no group is ever held in memory. A digest is sequential
+    by definition, so a group is one stream; cap the rows of a group where that matters.
     """
-    named = [column.alias(name) for name, column in stats.items()]
-    long_groups = entries.groupBy(*keys).agg(*named).where(F.col(length) > list_limit)
-    pieces = F.array_sort(
-        F.collect_list(F.when(F.col("fragment").isNotNull(), F.struct("sort_key", "fragment", "times")))
-    )
-    repeated = F.flatten(F.transform("pieces", lambda p: F.array_repeat(p["fragment"], p["times"].cast("int"))))
-    short = (
-        entries.join(long_groups.select(*keys), keys, "left_anti")
-        .groupBy(*keys)
-        .agg(pieces.alias("pieces"), *named)
-        .select(*keys, digest(F.concat(head, F.array_join(repeated, ","), tail), algo).alias("digest"), *stats)
-    )
+    group = Window.partitionBy(*keys)
     fields = ", ".join(f"`{k}` {entries.schema[k].dataType.simpleString()}" for k in keys)
-    texts = long_groups.select(*keys, head.alias("head"), tail.alias("tail"))
-    streamed = (
-        entries.join(texts, keys)
-        .repartition(*keys)
+    numbers = "".join(f", `{name}` LONG" for name in stats)
+    return (
+        entries.withColumns({name: column.over(group) for name, column in stats.items()})
+        .withColumns({"head": head, "tail": tail})
         .sortWithinPartitions(*keys, "sort_key")
-        .select(*keys, "head", "tail", "fragment", "times")
-        .mapInPandas(_stream_digests(keys, check_algorithm(algo)), f"{fields}, digest STRING")
-        .join(long_groups, keys)
+        .select(*keys, "head", "tail", "fragment", "times", *stats)
+        .mapInPandas(_stream_digests(keys, list(stats), check_algorithm(algo)), f"{fields}, digest STRING{numbers}")
     )
-    return short.unionByName(streamed)
 
 
 def _url_entries(items: DataFrame, keys: list[str], url: str) -> DataFrame:
@@ -150,8 +129,8 @@ def _url_entries(items: DataFrame, keys: list[str], url: str) -> DataFrame:
 
 
 def _url_stats() -> dict[str, Column]:
-    listed = F.when(F.col("sort_key").isNotNull(), F.col("times"))
-    return {"url_count": F.coalesce(F.sum(listed), F.lit(0)), "total_urls": F.sum("times")}
+    listed = F.when(F.col("sort_key").isNotNull(), F.col("times")).otherwise(F.lit(0))
+    return {"url_count": F.sum(listed), "total_urls": F.sum("times")}
 
 
 def _creator_head(creator: Column) -> Column:
@@ -177,15 +156,15 @@ def _capped_lists(items: DataFrame, keys: list[str], url: str, cap: int) -> Data
 
 
 def _digest_of_urls(
-    items: DataFrame, keys: list[str], url: str, head, tail: Column, algo: str, cap: int | None, list_limit: int
+    items: DataFrame, keys: list[str], url: str, head, tail: Column, algo: str, cap: int | None
 ) -> DataFrame:
-    if cap and cap <= list_limit:
+    if cap:
         body = F.array_join(F.transform("urls", json_quote), ",")
         return _capped_lists(items, keys, url, cap).select(
             *keys, digest(F.concat(head, body, tail), algo).alias("digest"), "url_count", "total_urls"
         )
     entries = _url_entries(cap_per_creator(items, cap, keys), keys, url)
-    return sorted_list_digest(entries, keys, _url_stats(), "url_count", head, tail, algo, list_limit)
+    return sorted_list_digest(entries, keys, _url_stats(), head, tail, algo)
 
 
 def creator_hash(
@@ -195,7 +174,6 @@ def creator_hash(
     cap: int | None = None,
     keys=CREATOR,
     url: str = "cover_url",
-    list_limit: int = LIST_LIMIT,
 ) -> DataFrame:
     """Content hash per creator: name, sorted URLs (duplicates kept), metadata and URL count.
 
@@ -203,7 +181,7 @@ def creator_hash(
     """
     keys = list(keys)
     out = _digest_of_urls(
-        items, keys, url, _creator_head(F.col(keys[-1])), _creator_tail(metadata), algo, cap, list_limit
+        items, keys, url, _creator_head(F.col(keys[-1])), _creator_tail(metadata), algo, cap
     )
     return out.withColumnRenamed("digest", "content_hash")
 
@@ -216,24 +194,23 @@ def daily_fingerprint(
     cap: int | None = None,
     keys=CREATOR,
     url: str = "cover_url",
-    list_limit: int = LIST_LIMIT,
 ) -> DataFrame:
     """Hash of content, configuration and calendar day."""
     keys = list(keys)
     tail = F.lit(f'],"processing_config":{canonical_json(config)},"timestamp":"{as_of:%Y-%m-%d}"}}')
-    out = _digest_of_urls(items, keys, url, _creator_head(F.col(keys[-1])), tail, algo, cap, list_limit)
+    out = _digest_of_urls(items, keys, url, _creator_head(F.col(keys[-1])), tail, algo, cap)
     return out.withColumnRenamed("digest", "fingerprint")
 
 
 def url_set_hash(
-    items: DataFrame, algo: str = "sha256", keys=CREATOR, url: str = "cover_url", list_limit: int = LIST_LIMIT
+    items: DataFrame, algo: str = "sha256", keys=CREATOR, url: str = "cover_url"
 ) -> DataFrame:
     """Order- and duplicate-free hash of a group's URLs."""
     keys = list(keys)
     entries = _url_entries(items, keys, url).withColumn("times", F.lit(1).cast("long"))
     head = F.concat(F.lit('{"count":'), F.col("url_count").cast("string"), F.lit(',"urls":['))
     stats = {"url_count": F.count("sort_key")}
-    hashed = sorted_list_digest(entries, keys, stats, "url_count", head, F.lit("]}"), algo, list_limit)
+    hashed = sorted_list_digest(entries, keys, stats, head, F.lit("]}"), algo)
     return hashed.withColumnRenamed("digest", "set_hash")
 
 
@@ -243,12 +220,9 @@ def batch_hash(
     batch: str = "batch_id",
     creator: str = "creator_name",
     url: str = "cover_url",
-    list_limit: int = LIST_LIMIT,
 ) -> DataFrame:
     """Hash per batch over its creators' hashes (without metadata) and its URL total, blanks included."""
-    shared_dir(rows.sparkSession)
-    # One short row per creator, read several times below: kept instead of hashed again.
-    creators = creator_hash(rows, None, algo, None, (batch, creator), url, list_limit).checkpoint()
+    creators = creator_hash(rows, None, algo, None, (batch, creator), url)
     entries = creators.select(
         batch,
         F.col(creator).alias("sort_key"),
@@ -261,7 +235,7 @@ def batch_hash(
         F.lit('{"creator_count":'), F.col("creator_count").cast("string"), F.lit(',"creator_hashes":{')
     )
     tail = F.concat(F.lit('},"total_urls":'), F.col("total_urls").cast("string"), F.lit("}"))
-    hashed = sorted_list_digest(entries, [batch], stats, "creator_count", head, tail, algo, list_limit)
+    hashed = sorted_list_digest(entries, [batch], stats, head, tail, algo)
     return hashed.withColumnRenamed("digest", "batch_hash")
 
 

@@ -27,13 +27,11 @@ def data(spark):
     return df, urls
 
 
-@pytest.mark.parametrize("limit", [10_000, 20, 0])
 @pytest.mark.parametrize("algo", ["sha256", "md5"])
-def test_creator_hash(data, limit, algo):
-    """Both forms, the array in the JVM and the stream of a long list, give the same digest."""
+def test_creator_hash(data, algo):
     df, urls = data
     got = {r.creator_name: r.content_hash for r in
-           fingerprint.creator_hash(df, METADATA, algo, list_limit=limit).collect()}
+           fingerprint.creator_hash(df, METADATA, algo).collect()}
     assert got == {c: creator_hash(c, u, METADATA, algo) for c, u in urls.items()}
 
 
@@ -43,18 +41,16 @@ def test_creator_hash_capped(data):
     assert got == {c: (creator_hash(c, u[:12]), min(len(u), 12)) for c, u in urls.items()}
 
 
-@pytest.mark.parametrize("limit", [10_000, 10])
-def test_set_hash(data, limit):
+def test_set_hash(data):
     df, urls = data
-    got = {r.creator_name: r.set_hash for r in fingerprint.url_set_hash(df, list_limit=limit).collect()}
+    got = {r.creator_name: r.set_hash for r in fingerprint.url_set_hash(df).collect()}
     assert got == {c: set_hash(u) for c, u in urls.items()}
 
 
-@pytest.mark.parametrize("limit", [10_000, 2])
-def test_batch_hash(data, limit):
+def test_batch_hash(data):
     df, urls = data
     rows = df.withColumn("batch_id", (F.length("creator_name") % 2).cast("int"))
-    got = {r.batch_id: r.batch_hash for r in fingerprint.batch_hash(rows, list_limit=limit).collect()}
+    got = {r.batch_id: r.batch_hash for r in fingerprint.batch_hash(rows).collect()}
     for batch, value in got.items():
         mine = {c: u for c, u in urls.items() if len(c) % 2 == batch}
         assert value == digest(
@@ -120,3 +116,13 @@ def test_counts_and_lists(data):
 
 def test_metadata_text():
     assert canonical_json({"b": None, "a": 1}) == '{"a":1,"b":null}'
+
+
+def test_uncapped_hash_reads_its_input_once(spark, tmp_path):
+    rows = [("hot" if i % 3 == 0 else f"c{i}", f"u{i}", "t", i) for i in range(3_000)]
+    path = str(tmp_path / "items")
+    spark.createDataFrame(rows, "creator_name string, cover_url string, updated_at string, ord long").write.parquet(path)
+    out = fingerprint.creator_hash(spark.read.parquet(path))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+    got = {r.creator_name: r.content_hash for r in out.collect()}
+    assert len(got) == 2001 and got["hot"] == creator_hash("hot", [f"u{i}" for i in range(0, 3_000, 3)], None)
