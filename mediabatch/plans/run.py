@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
@@ -97,8 +98,10 @@ def _build(
     if fetched.where(F.col("error").isNull()).isEmpty():
         images = spark.createDataFrame([], f"creator_id STRING, position LONG, image {schemas.IMAGE}")
     else:
-        stage_files(fetched, paths.staged)
-        images = staged_images(spark, paths.staged)
+        # A folder of this run only: what an earlier one staged is not composed again.
+        staged = f"{paths.staged}/{uuid.uuid4().hex}"
+        stage_files(fetched, staged)
+        images = staged_images(spark, staged)
     made = compose(
         images,
         config.rows,
@@ -181,6 +184,34 @@ def run_batch(
     return results
 
 
+def run_messages(
+    items: DataFrame, state_path: str, objects: DataFrame, as_of: datetime, work_dir: str, **options
+) -> DataFrame | None:
+    """Runs the item rows of messages, each with its own message's settings, prefix and batch.
+
+    `items` are rows as the message trigger stores them, with config, output_prefix and batch_id. Rows with equal
+    settings are one run; there are as many runs as different settings, one after the other, so a creator that
+    one of them has opened is in progress or done for the next. Returns all result rows, with output_prefix.
+    """
+    named = items.withColumn("settings", F.sha2(F.to_json(F.struct("config", "output_prefix", "batch_id")), 256))
+    out = None
+    for row in named.select("settings", "config", "output_prefix", "batch_id").distinct().sort("settings").toLocalIterator():
+        own = named.where(F.col("settings") == row.settings)
+        results = run_batch(
+            own.select("creator_name", "cover_url", "updated_at", "ord"),
+            state_path,
+            objects,
+            as_of,
+            f"{work_dir.rstrip('/')}/{row.settings[:16]}",
+            ProcessingConfig(**row.config.asDict()),
+            row.output_prefix or "",
+            row.batch_id,
+            **options,
+        ).withColumn("output_prefix", F.lit(row.output_prefix))
+        out = results if out is None else out.unionByName(results)
+    return out
+
+
 def _close_records(spark: SparkSession, state_path: str, results: DataFrame, as_of: datetime) -> None:
     """Mark today's records of built and failed creators; without a record nothing matches."""
     if not _exists(spark, state_path):

@@ -38,6 +38,11 @@ def _now() -> datetime:
 FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length LONG, content BINARY"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def landing_stream(spark: SparkSession, landing: str, max_files: int = 1000) -> DataFrame:
     """Paths of CSV files as they arrive; contents are not read here."""
     return (
@@ -134,10 +139,17 @@ def message_stream(
             # A replayed epoch replaces what its first run left.
             df.write.mode("overwrite").parquet(f"{out}/{table}/epoch={epoch}/part={part}")
 
+        # Parts that an earlier attempt of this epoch left would stay beside the new ones.
+        for table in ("parsed", "items", "missing", "routed", "dead"):
+            remove(spark, f"{out}/{table}/epoch={epoch}")
         # Parsed once; the other tables are read off the stored result.
-        store(parse_messages(batch, as_of(), defaults), "parsed")
+        # Two messages may be alike and of one moment: rows are told apart by the message they came in.
+        numbered = batch.withColumn(
+            "message_id", F.concat_ws("-", F.lit(str(epoch)), F.monotonically_increasing_id().cast("string"))
+        )
+        store(parse_messages(numbered, as_of(), defaults), "parsed")
         parsed = spark.read.parquet(f"{out}/parsed/epoch={epoch}/part=0")
-        carry = ("batch_id", "output_prefix", "config")
+        carry = ("message_id", "batch_id", "output_prefix", "config")
         embedded = message_items(accepted(parsed, "csv_data"), carry)
         store(valid_items(embedded.withColumnRenamed("line", "ord")), "items")
         reason = F.col("reason")
@@ -154,7 +166,7 @@ def message_stream(
             parsed = parsed.join(missing.select("s3_key", F.lit(True).alias("gone")), "s3_key", "left")
             reason = F.coalesce(reason, F.when(F.col("gone"), "missing file"))
         routed = parsed.withColumn("reason", reason)
-        store(routed.select("processing_type", "batch_id", "output_prefix", "reason", "config"), "routed")
+        store(routed.select("message_id", "processing_type", "batch_id", "output_prefix", "reason", "config"), "routed")
         store(rejected(routed), "dead")
         if handle is not None:
             handle(spark.read.parquet(f"{out}/items/epoch={epoch}"), epoch)

@@ -246,10 +246,12 @@ def test_message_trigger(spark, tmp_path, rows_of):
     root = tmp_path / "store"
     root.mkdir()
     (root / "x.csv").write_text("cover_url,creator_name\nu7,x\nERROR: y,x\n")
+    (root / "folder").mkdir()
     inbox = tmp_path / "inbox"
     inbox.mkdir()
     bodies = [data_message(), {"processing_type": "csv_s3", "s3_key": "x.csv"},
               {"processing_type": "csv_s3", "s3_key": "gone.csv"}, {"processing_type": "zip"},
+              {"processing_type": "csv_s3", "s3_key": "folder"},
               data_message(csv_data='creator_name,cover_url\n"q",u8\n', processing_config={"rows": 2})]
     (inbox / "1.txt").write_text("".join(json.dumps(b) + "\n" for b in bodies) + "{bad\n")
     out = str(tmp_path / "out")
@@ -259,7 +261,7 @@ def test_message_trigger(spark, tmp_path, rows_of):
     got = spark.read.parquet(f"{out}/items")
     assert rows_of(got, "creator_name", "cover_url", "config.rows") == [("a", "u", 5), ("q", "u8", 2), ("x", "u7", 5)]
     dead = rows_of(spark.read.parquet(f"{out}/dead"), "reason", "attempt")
-    assert dead == [("malformed", 1), ("missing file", 1), ("unsupported type", 1)]
+    assert dead == [("malformed", 1), ("missing file", 1), ("missing file", 1), ("unsupported type", 1)]
     assert rows_of(spark.read.parquet(f"{out}/routed"), "reason").count((None,)) == 3
     # The stream gives what the batch operators give.
     batch = messages.message_items(messages.accepted(parse(spark, *bodies), "csv_data"), ())
@@ -303,18 +305,21 @@ def test_messages_run_to_collages_once(spark, tmp_path):
     outcomes = []
 
     def handle(rows, epoch):
-        ordered = rows.select("creator_name", "cover_url", "updated_at", "ord")
-        done = run.run_batch(ordered, path, none, AS_OF, str(tmp_path / f"run{epoch}"),
-                             ProcessingConfig(rows=1, cols=2), "p/", f"b{epoch}", fetcher=picture)
-        outcomes.append({r.creator_name: r.outcome for r in done.collect()})
+        done = run.run_messages(rows, path, none, AS_OF, str(tmp_path / f"run{epoch}"), fetcher=picture)
+        outcomes.append({(r.creator_name, r.output_prefix): r.outcome for r in done.collect()})
+        for r in done.where("outcome = 'created'").collect():
+            assert r.s3_key.startswith(f"{r.output_prefix}collages/")
+            assert r.placed == {"p/": 1, "q/": 2}[r.output_prefix]
 
     for n in range(2):
-        body = data_message(csv_data="creator_name,cover_url,updated_at\na,h/9,t\na,h/8,t")
-        (inbox / f"{n}.txt").write_text(json.dumps(body) + "\n")
+        text = "creator_name,cover_url,updated_at\n{0},h/9,t\n{0},h/8,t"
+        first = data_message(csv_data=text.format("a"), processing_config={"rows": 1, "cols": 1}, output_prefix="p/")
+        second = data_message(csv_data=text.format("b"), processing_config={"rows": 1, "cols": 2}, output_prefix="q/")
+        (inbox / f"{n}.txt").write_text(json.dumps(first) + "\n" + json.dumps(second) + "\n")
         triggers.message_stream(
             spark, str(inbox), str(tmp_path / "out"), str(tmp_path / "cp"), as_of=lambda: AS_OF, handle=handle
         ).awaitTermination()
-    assert outcomes == [{"a": "created"}, {"a": "skipped"}]
+    assert outcomes == [{("a", "p/"): "created", ("b", "q/"): "created"}, {("a", "p/"): "skipped", ("b", "q/"): "skipped"}]
 
 
 def test_dead_letters_return_until_their_deliveries_are_used(spark, tmp_path):
