@@ -5,13 +5,14 @@ only (document, start, length, checksum) go on, not the ids. Remainders are deal
 about `GROUP` pieces whatever the source or length they come from, and each group is packed by itself: lengths in
 descending order, each into the first sequence with room, found in a tournament tree over the sequences' free space.
 
-The tokenizer sees white-space-free chunks, kept in a bounded cache of the worker: its rules never join across spaces
-or line breaks, and special strings hold none. Defined cases: a null text is empty and still gives its end id; repeated rows and null ids
+The tokenizer sees chunks between spaces and line breaks, kept in a bounded cache of the worker: its rules never join
+across those, and special strings hold none. Defined cases: a null text is empty and still gives its end id; repeated rows and null ids
 are documents of their own; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -20,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mediabatch.llm.common import Cache, stored, whole_text, worker_state
+from mediabatch.llm.common import stored, whole_text, worker_state
 
 SEQUENCE = 2048
 END_ID = 1
@@ -28,41 +29,112 @@ GROUP = 8192
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
-def encoder(path: str):
-    """From a text to its ids as little-endian bytes, 4 each."""
-    from tokenizers import Tokenizer
+class Encoder:
+    """Ids of texts as little-endian bytes, 4 each.
 
-    own = Tokenizer.from_file(path)
-
-    def ids(chunk: str) -> bytes:
-        return np.array(own.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+    Chunks between spaces or line breaks are looked up. Unknown ones are encoded in bulk: plain words joined by spaces,
+    each one ending with a token that ends words, so that the ids can be cut apart again; others one by one. A word's
+    ASCII capitals and a full stop or comma behind it change nothing in its own ids.
+    """
 
-    cache = Cache(ids)
-    return lambda text: b"".join(map(cache.__getitem__, text.replace("\n", " ").split(" ")))
+    def __init__(self, path: str, limit: int = 1 << 20, group: int = 1000):
+        from tokenizers import Tokenizer
+
+        self.own = Tokenizer.from_file(path)
+        self.limit, self.group = limit, group
+        vocabulary = self.own.get_vocab(with_added_tokens=False)
+        self.final = np.zeros(self.own.get_vocab_size() + 1, bool)
+        self.final[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.marks = dict(zip(".,", (x.tobytes() for x in self._bulk([".", ","])), strict=True))
+        self.known: dict[str, bytes] = {"": b""}
+
+    def _bulk(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.own.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, words: list[str]) -> None:
+        for at in range(0, len(words), self.group):
+            some = words[at : at + self.group]
+            ids = self._bulk([" ".join(some)])[0]
+            ends = np.flatnonzero(self.final[ids]) + 1
+            if len(ends) == len(some):
+                cuts = [0, *(4 * ends).tolist()]
+                whole = ids.tobytes()
+                self.known.update((w, whole[i:j]) for w, i, j in zip(some, cuts, cuts[1:], strict=False))
+            else:
+                self.known.update((w, x.tobytes()) for w, x in zip(some, self._bulk(some), strict=True))
+
+    def _prepare(self, unknown: set[str]) -> None:
+        known, words, derived, other = self.known, set(), [], []
+        for chunk in unknown:
+            body = chunk[:-1] if chunk[-1] in ".," else chunk
+            if body.isascii() and body.isalpha():
+                word = body.lower()
+            elif unicodedata.normalize("NFC", body).lower().isalpha():  # letters that stay letters
+                word = body
+            else:
+                other.append(chunk)
+                continue
+            if word not in known:
+                words.add(word)
+            if word != chunk:
+                derived.append((chunk, word))
+        self._learn(list(words))
+        marks = self.marks
+        known.update((c, known[w] + marks[c[-1]] if len(c) > len(w) else known[w]) for c, w in derived)
+        known.update((c, x.tobytes()) for c, x in zip(other, self._bulk(other), strict=True))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        cut = [t.replace("\n", " ").split(" ") for t in texts]
+        if len(self.known) > self.limit:
+            self.known = {"": b""}
+        unknown = set().union(*cut) - self.known.keys()
+        if unknown:
+            self._prepare(unknown)
+        out = [b"".join(map(self.known.__getitem__, c)) for c in cut]
+        for long in [c for c in unknown if len(c) > 256]:
+            del self.known[long]
+        return out
+
+
+def runs(texts: list[str], size: int = 1 << 21) -> Iterator[list[str]]:
+    """The texts in runs of about `size` characters."""
+    run, held = [], 0
+    for text in texts:
+        run.append(text)
+        held += len(text)
+        if held >= size:
+            yield run
+            run, held = [], 0
+    if run:
+        yield run
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
     """A row per piece: each document's ids cut at multiples of `sequence`."""
 
     def cut(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = worker_state(f"ids:{tokenizer_path}", lambda: encoder(tokenizer_path))
+        own = worker_state(f"ids:{tokenizer_path}", lambda: Encoder(tokenizer_path))
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            out: dict[str, list] = {"doc_id": [], "start": [], "length": [], "ids_crc32": [], "doc_tokens": []}
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = encode(text) + end
-                total = len(ids) // 4
-                for start in range(0, total, sequence):
-                    part = ids[4 * start : 4 * (start + sequence)]
-                    out["doc_id"].append(doc_id)
-                    out["start"].append(start)
-                    out["length"].append(len(part) // 4)
-                    out["ids_crc32"].append(zlib.crc32(part))
-                    out["doc_tokens"].append(total)
-            yield pd.DataFrame(out).astype({"doc_id": "Int64"})
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    return rows.mapInPandas(cut, PIECES)
+            doc_ids = iter(batch["doc_id"])
+            for run in runs(batch["text"].tolist()):
+                out: dict[str, list] = {"doc_id": [], "start": [], "length": [], "ids_crc32": [], "doc_tokens": []}
+                for ids in own.encode(run):
+                    ids += end
+                    doc_id, total = next(doc_ids), len(ids) // 4
+                    for start in range(0, total, sequence):
+                        part = ids[4 * start : 4 * (start + sequence)]
+                        out["doc_id"].append(doc_id)
+                        out["start"].append(start)
+                        out["length"].append(len(part) // 4)
+                        out["ids_crc32"].append(zlib.crc32(part))
+                        out["doc_tokens"].append(total)
+                yield pd.DataFrame(out)
+
+    # Ids travel as strings: pandas has no missing whole numbers.
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), whole_text().alias("text"))
+    made = rows.mapInPandas(cut, PIECES.replace("doc_id long", "doc_id string"))
+    return made.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def first_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -97,17 +169,18 @@ def pack(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, group_s
     groups = max(1, -(-rest.count() // group_size))
 
     def place(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["length", "doc_id", "row"], ascending=[False, True, True])
+        part = part.sort_values(["length", "row"], ascending=[False, True])
         bins, offsets = first_fit(part["length"].to_numpy(), sequence)
-        return part.drop(columns=["row", "pack"]).assign(
-            sequence_id=(part["pack"].to_numpy().astype(np.int64) << 32) | bins, offset=offsets
-        )
+        sequence_id = (part["pack"].to_numpy().astype(np.int64) << 32) | bins
+        return part.drop(columns=["row", "pack"]).assign(sequence_id=sequence_id, offset=offsets)
 
-    schema = f"{PIECES}, sequence_id long, offset long"
+    schema = f"{PIECES}, sequence_id long, offset long".replace("doc_id long", "doc_id string")
     packed = (
-        rest.withColumn("pack", F.pmod(F.xxhash64("row", "doc_id"), F.lit(groups)).cast("int"))
+        rest.withColumn("doc_id", F.col("doc_id").cast("string"))
+        .withColumn("pack", F.pmod(F.xxhash64("row"), F.lit(groups)).cast("int"))
         .groupBy("pack")
         .applyInPandas(place, schema)
+        .withColumn("doc_id", F.col("doc_id").cast("long"))
     )
     # Full pieces are sequences of their own; negative ids keep them apart from the packed ones.
     alone = whole.withColumn("sequence_id", -1 - F.col("row")).withColumn("offset", F.lit(0).cast("long")).drop("row")
