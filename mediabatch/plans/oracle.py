@@ -310,7 +310,14 @@ FINAL: dict[str, str] = {
         SELECT creator_name, cover_url, updated_at FROM exploded
         WHERE moment BETWEEN TIMESTAMP '2000-08-02' AND TIMESTAMP '2001-08-02'
           AND creator_name NOT IN (SELECT creator_name FROM seen)""",
-    "csv_items_scan": "SELECT creator_name, cover_url, updated_at FROM items",
+    "csv_items_scan": """
+        SELECT CASE ord % 3 WHEN 1 THEN creator_name || ', "x"' WHEN 2 THEN creator_name || chr(10) || 'y'
+          ELSE creator_name END AS creator_name, cover_url, updated_at FROM items""",
+    "listed_files": """
+        SELECT DISTINCT '20010802_000000/parallel_batch=' || printf('%02d', c.batch_id + 1) AS folder
+        FROM batchable b JOIN bucketed c ON b.creator_name = c.creator_name""",
+    "landing_rows": """
+        SELECT creator_name, cover_url, '2001-08-02' AS dt, unnest(['s3', 'sqs']) AS trigger FROM items""",
     "creator_counts": """
         SELECT creator_name, count(*) AS image_count, CAST(grouping(creator_name) AS INTEGER) AS is_total
         FROM batchable GROUP BY ROLLUP (creator_name)""",
@@ -409,6 +416,7 @@ FINAL: dict[str, str] = {
     "sticky_balanced_batches": """
         SELECT creator_name, image_count, (chosen - 1) * 3 + shard AS batch_id
         FROM sticky_greedy JOIN sticky_order USING (shard, r)""",
+    "saved_assignment": "SELECT creator_name, image_count, batch_id FROM sizes",
     "batch_stats": """
         SELECT batch_id, count(*) AS creator_count, CAST(sum(image_count) AS BIGINT) AS image_total,
           max(image_count) AS largest_creator FROM sizes GROUP BY batch_id""",
@@ -698,6 +706,11 @@ FINAL: dict[str, str] = {
           count(*) FILTER (outcome <> 'failed') AS collages_listed,
           CAST(coalesce(sum(k) FILTER (outcome <> 'failed'), 0) AS BIGINT) AS listed_images
         FROM results GROUP BY day""",
+    "stored_summary": """
+        SELECT day, count(*) AS total_creators, count(*) FILTER (outcome = 'created') AS created,
+          count(*) FILTER (outcome = 'skipped') AS skipped, count(*) FILTER (outcome = 'failed') AS failed,
+          CAST(coalesce(sum(k) FILTER (outcome <> 'failed'), 0) AS BIGINT) AS listed_images
+        FROM results GROUP BY day""",
     "run_summary_total": """
         SELECT count(*) AS total_creators, count(*) FILTER (outcome = 'created') AS created,
           count(*) FILTER (outcome = 'skipped') AS skipped, count(*) FILTER (outcome = 'failed') AS failed,

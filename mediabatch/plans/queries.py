@@ -142,11 +142,45 @@ def extract_items(t: Tables) -> DataFrame:
 
 @query
 def csv_items_scan(t: Tables) -> DataFrame:
-    """Items written by the CSV sink and scanned back."""
-    path = writers.write_items(t.items(), _run_folder(t), ORDERS_AS_OF)
+    """Items written by the CSV sink and scanned back, past a file that is no CSV.
+
+    Names hold commas and quotes, or line breaks.
+    """
+    name, kind = F.col("creator_name"), F.col("ord") % 3
+    odd = F.when(kind == 1, F.concat(name, F.lit(', "x"'))).when(kind == 2, F.concat(name, F.lit("\ny"))).otherwise(name)
+    run = _run_folder(t)
+    path = writers.write_items(t.items().withColumn("creator_name", odd), run, ORDERS_AS_OF)
+    t.items().select("creator_name").write.text(f"{path}/notes")
     return readers.read_items(t.spark, path).drop("ord")
 
 
+@query
+def listed_files(t: Tables) -> DataFrame:
+    """The folders of batch files in an object listing."""
+    rows = batching.attach_batches(ingest.batchable_items(t.items()), _hash_assignment(t))
+    run = _run_folder(t)
+    writers.write_batches(rows, run, ORDERS_AS_OF)
+    listed = readers.list_objects(t.spark, run, "20010802_000000/")
+    named = listed.where(F.endswith("s3_key", F.lit(".csv")) & (F.col("size_bytes") > 0))
+    return named.select(F.substring_index("s3_key", "/", 2).alias("folder")).distinct()
+
+
+@query
+def landing_rows(t: Tables) -> DataFrame:
+    """Rows written in the landing layout and read back by day and trigger."""
+    run = _run_folder(t)
+    for trigger in ("s3", "sqs"):
+        writers.write_landing(t.items().select(*writers.ITEM_COLUMNS), run, trigger, ORDERS_AS_OF)
+    back = readers.read_items(t.spark, run)
+    place = F.col("ord.file")
+    return back.select(
+        "creator_name",
+        "cover_url",
+        F.regexp_extract(place, "dt=([^/]+)", 1).alias("dt"),
+        F.regexp_extract(place, "trigger=([^/]+)", 1).alias("trigger"),
+    )
+
+
 # -- fingerprints ------------------------------------------------------------------------------
 
 
@@ -281,6 +315,13 @@ def sticky_balanced_batches(t: Tables) -> DataFrame:
     return batching.balanced_batches(_sizes(t), TARGET, SHARDS, before)
 
 
+@query
+def saved_assignment(t: Tables) -> DataFrame:
+    path = f"{_run_folder(t)}/assignment"
+    batching.save_assignment(batching.hash_batches(_sizes(t), BATCHES), path)
+    return readers.read_assignment(t.spark, path).select("creator_name", "image_count", "batch_id")
+
+
 @query
 def batch_stats(t: Tables) -> DataFrame:
     return batching.batch_stats(batching.hash_batches(_sizes(t), BATCHES))
@@ -751,6 +792,14 @@ def run_summary_total(t: Tables) -> DataFrame:
     return report.run_summary(t.results(), _valid(t))
 
 
+@query
+def stored_summary(t: Tables) -> DataFrame:
+    """The daily run summary as the JSON sink stores it."""
+    path = writers.write_summary(report.run_summary(t.results(), by=("day",)), _run_folder(t), ORDERS_AS_OF, "manual")
+    names = "day STRING, total_creators LONG, created LONG, skipped LONG, failed LONG, listed_images LONG"
+    return t.spark.read.schema(names).json(path)
+
+
 @query
 def timing_summary(t: Tables) -> DataFrame:
     return report.timing_summary(t.results(), by=("day",))
