@@ -95,12 +95,18 @@ def rows_not_among(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return marked.filter("NOT _hit").drop("_hit").unionByName(near)
 
 
-def worker_state(key: str, make: Callable):
-    """What `make` gives, made once per Python worker. Functions travel by value, so a module's own globals would not last."""
+def worker_state(group: str, key: str, make: Callable):
+    """What `make` gives, made once per Python worker. Functions travel by value, so a module's own globals would not last.
+
+    A worker outlives its operator: the state of one group is let go when another group's is asked for.
+    """
     store = sys.modules.setdefault("mediabatch_worker_state", types.ModuleType("mediabatch_worker_state")).__dict__
-    if key not in store:
-        store[key] = make()
-    return store[key]
+    if store.get("group") != group:
+        store["group"], store["items"] = group, {}
+    items = store["items"]
+    if key not in items:
+        items[key] = make()
+    return items[key]
 
 
 class Cache(dict):

@@ -85,9 +85,9 @@ def token_counts(docs: DataFrame, model_path: str, limit: int = 4096) -> DataFra
 
     @F.pandas_udf("long")
     def n_tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = worker_state(f"pieces:{model_path}", lambda: load_model(model_path))
-        whole = not worker_state(f"exact:{model_path}", lambda: split_is_exact(model))
-        cache = worker_state(f"piece counts:{model_path}", lambda: Cache(lambda p: part_count(p, model)))
+        model = worker_state("tokens", f"pieces:{model_path}", lambda: load_model(model_path))
+        whole = not worker_state("tokens", f"exact:{model_path}", lambda: split_is_exact(model))
+        cache = worker_state("tokens", f"piece counts:{model_path}", lambda: Cache(lambda p: part_count(p, model)))
         first = known.value
 
         def one(text: str) -> int:
