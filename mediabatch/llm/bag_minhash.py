@@ -11,8 +11,8 @@ Classes. Equal texts are one class from the start, and one of each goes on. Sign
 that share a band's value are candidates (a pair of similarity 0.8 is missed once in 10^7). In each bucket every document is
 compared with the bucket's smallest, the multiset overlap deciding. Buckets that the links so found
 leave in more than one component are compared throughout, in blocks of `BLOCK` documents against blocks, skipping what is
-already linked: no pairs are written out, and no link is lost. Components of the verified links are the
-classes.
+already linked: no pairs are written out, and no link is lost. Large buckets that share documents, as those of
+a text with thousands of near-copies do, are compared as one. Components of the verified links are the classes.
 
 Defined cases: null text is empty; empty texts have no shingles and are a class of equal texts; a text of one to four words
 has one shingle, all its words; the smallest doc_id stays, null ids last, repeated rows by their place in the table.
@@ -34,7 +34,7 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS = 32
 ROWS = 4
-BLOCK = 128
+BLOCK = 512
 GOLDEN = 0x9E3779B97F4A7C15
 STEP = np.uint64(GOLDEN)
 
@@ -197,46 +197,99 @@ def _verified(links: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return with_b.mapInPandas(check, "a long, b long")
 
 
+def overlaps(a: list[np.ndarray], b: list[np.ndarray], columns: int = 8192) -> np.ndarray:
+    """Sizes of the common parts of all sets of `a` with all of `b`: incidence matrices of the elements that repeat."""
+    sets = a + b
+    sizes = [len(s) for s in sets]
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, element, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times[element] > 1
+    owner, element = owner[shared], element[shared]
+    _, element = np.unique(element, return_inverse=True)
+    out = np.zeros((len(a), len(b)), np.float32)
+    order = np.argsort(element, kind="stable")
+    owner, element = owner[order], element[order]
+    for first in range(0, int(element.max(initial=-1)) + 1, columns):
+        low, high = np.searchsorted(element, [first, first + columns])
+        there = np.zeros((len(sets), columns), np.float32)
+        there[owner[low:high], element[low:high] - first] = 1
+        out += there[: len(a)] @ there[len(a) :].T
+    return out
+
+
+def _linked(group: pd.DataFrame, least: float) -> pd.DataFrame:
+    """Links between a block pair's documents of different roots, as many as it takes to connect what is linked."""
+    parent = {r: r for r in group["root"].tolist()}
+
+    def top(r):
+        while parent[r] != r:
+            parent[r] = r = parent[parent[r]]
+        return r
+
+    out = []
+    if len(parent) > 1:
+        low, high = group["low"].iloc[0], group["high"].iloc[0]
+        rows, columns = (group[group["own"] == x] for x in (low, high))
+        a, b = ([np.frombuffer(s, np.uint64) for s in part["set"]] for part in (rows, columns))
+        if a and b:
+            common = overlaps(a, b)
+            total = np.array([len(s) for s in a])[:, None] + np.array([len(s) for s in b])[None, :] - common
+            (node_a, root_a), (node_b, root_b) = (
+                (part["node"].to_numpy(), part["root"].to_numpy()) for part in (rows, columns)
+            )
+            linked = (common >= least * total - 1e-6) & (root_a[:, None] != root_b[None, :])
+            for i, j in np.argwhere(linked).tolist():
+                x, y = top(int(root_a[i])), top(int(root_b[j]))
+                if x != y:
+                    parent[x] = y
+                    out.append((node_a[i], node_b[j]))
+    return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
+
+
+def _families(members: DataFrame, block: int) -> DataFrame:
+    """Buckets (key, node, root) that share documents, made one where they hold more than `block` of them.
+
+    Many near-copies of one text fill a large bucket in every band, with nearly the same pairs in each: together
+    they are compared once. Smaller buckets inside one family are settled by it.
+    """
+    sizes = members.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("first"))
+    sized = stored(members.join(sizes, "key"), "sized")
+    ties = sized.filter(F.col("n") > block).select(F.col("node").alias("a"), F.col("first").alias("b"))
+    family = stored(components(ties), "families").withColumnRenamed("root", "family")
+    placed = sized.filter(F.col("n") <= block).join(family, "node", "left")
+    apart = (
+        placed.groupBy("key")
+        .agg(F.min("family").alias("x"), F.max("family").alias("y"), F.count_if(F.col("family").isNull()).alias("none"))
+        .filter("none > 0 OR x <> y")
+        .select("key")
+    )
+    roots = sized.filter(F.col("n") > block).select("node", "root").distinct()
+    small = placed.join(apart, "key", "left_semi").select(F.lit(0).alias("kind"), "key", "node", "root")
+    large = family.join(roots, "node").select(F.lit(1).alias("kind"), F.col("family").alias("key"), "node", "root")
+    return stored(small.unionByName(large), "compared")
+
+
 def _within_blocks(members: DataFrame, sets: DataFrame, least: float, block: int) -> DataFrame:
-    """Links inside buckets (key, node, root) between documents of different roots, block against block.
+    """Links inside families and buckets (key, node, root) between documents of different roots, block against block.
 
-    A bucket of n documents is cut into n / block blocks; each document goes once to every pair of blocks that holds its
-    own, so n * n / block light rows are written and at most 2 * block texts are in a task's group.
+    A group of n documents is cut into n / block blocks; each document goes once to every pair of blocks that holds its
+    own, so n * n / block light rows are made, and at most about 2 * block texts are in a task's group.
     """
+    members = _families(members, block)
     sized = members.join(
-        members.groupBy("key").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks")), "key"
+        members.groupBy("kind", "key").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks")), ["kind", "key"]
     )
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = (
         sized.withColumn("own", own)
-        .withColumn("other", other)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
-            "key", "node", "root", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
-        )
+            "kind", "key", "node", "root", "own",
+            F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+        )
         .join(sets, "node")
     )
-
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        roots = group["root"].tolist()
-        parent = {r: r for r in roots}
-
-        def top(r):
-            while parent[r] != r:
-                parent[r] = r = parent[parent[r]]
-            return r
-
-        nodes, sets = group["node"].tolist(), [np.frombuffer(s, np.uint64) for s in group["set"]]
-        out = []
-        for i in range(len(nodes)):
-            for j in range(i):
-                x, y = top(roots[i]), top(roots[j])
-                if x != y and similar(sets[i], sets[j], least):
-                    parent[x] = y
-                    out.append((nodes[i], nodes[j]))
-        return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
-
-    return dealt.groupBy("key", "low", "high").applyInPandas(compare, "a long, b long")
+    return dealt.groupBy("kind", "key", "low", "high").applyInPandas(lambda g: _linked(g, least), "a long, b long")
 
 
 def decisions(
