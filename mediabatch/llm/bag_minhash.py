@@ -34,7 +34,7 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS = 32
 ROWS = 4
-BLOCK = 512
+BLOCK = 256
 GOLDEN = 0x9E3779B97F4A7C15
 STEP = np.uint64(GOLDEN)
 
@@ -53,7 +53,7 @@ def step(n: int) -> np.uint64:
 def word_hashes() -> Cache:
     import xxhash
 
-    return Cache(lambda w: xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")))
+    return Cache(lambda w: xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")), 1 << 16)
 
 
 def shingles(text: str, hashes: Cache, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -134,7 +134,7 @@ def _signed(docs: DataFrame, bands: int, rows: int) -> DataFrame:
     """Per row: its key, doc_id, the text's digest, and its band keys (none for an empty text)."""
 
     def sign(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = worker_state("words", word_hashes)
+        hashes = worker_state("near", "words", word_hashes)
         for batch in filter(len, batches):
             keys: list = [None] * len(batch)
             first, held, size = 0, [], 0
@@ -152,7 +152,7 @@ def _signed(docs: DataFrame, bands: int, rows: int) -> DataFrame:
             for i, text in enumerate(batch["text"]):
                 held.append(shingles(text, hashes))
                 size += len(held[-1][0])
-                if size > 200_000 or i == len(batch) - 1:
+                if size > 100_000 or i == len(batch) - 1:
                     flush(first, held, keys)
                     first, held, size = i + 1, [], 0
             yield pd.DataFrame({ROW: batch[ROW], "doc_id": batch["doc_id"], "digest": batch["digest"], "keys": keys})
@@ -172,7 +172,7 @@ def _sets_of(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """Expanded shingle multisets, as bytes, of the given rows."""
 
     def expand(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = worker_state("words", word_hashes)
+        hashes = worker_state("near", "words", word_hashes)
         for batch in filter(len, batches):
             sets = [expanded(*shingles(t, hashes)).tobytes() for t in batch["text"]]
             yield pd.DataFrame({"node": batch[ROW], "set": sets})
@@ -197,7 +197,7 @@ def _verified(links: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return with_b.mapInPandas(check, "a long, b long")
 
 
-def overlaps(a: list[np.ndarray], b: list[np.ndarray], columns: int = 8192) -> np.ndarray:
+def overlaps(a: list[np.ndarray], b: list[np.ndarray], columns: int = 4096) -> np.ndarray:
     """Sizes of the common parts of all sets of `a` with all of `b`: incidence matrices of the elements that repeat."""
     sets = a + b
     sizes = [len(s) for s in sets]
