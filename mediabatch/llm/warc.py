@@ -192,7 +192,8 @@ def reachable(found: DataFrame) -> DataFrame:
     # From a run's end the chain goes on in some later run. After round k a jump spans 2^k runs.
     ends = runs.groupBy("file", "run").agg(F.max_by("next", "start").alias("entry"))
     targets = runs.select("file", F.col("start").alias("entry"), F.col("run").alias("to"))
-    jumps = stored(ends.join(targets, ["file", "entry"]), "jumps")
+    # Offsets compress so well that a table's file says little of its rows: no broadcast on that ground.
+    jumps = stored(ends.join(targets.hint("merge"), ["file", "entry"]), "jumps")
     reached = runs.filter("start = 0").select("file", "run", F.col("start").alias("entry"))
     while not jumps.isEmpty():
         step = reached.select("file", "run").join(jumps, ["file", "run"]).select("file", F.col("to").alias("run"), "entry")
@@ -202,7 +203,7 @@ def reachable(found: DataFrame) -> DataFrame:
         jumps = stored(doubled.select("file", "run", F.col("to2").alias("to"), F.col("entry2").alias("entry")), "jumps")
     entries = reached.groupBy("file", "run").agg(F.min("entry").alias("entry"))
     kept = runs.join(entries, ["file", "run"]).filter(F.col("start") >= F.col("entry")).select("file", "start")
-    return found.join(kept, ["file", "start"], "left_semi")
+    return found.join(kept.hint("merge"), ["file", "start"], "left_semi")
 
 
 def _bodies(spark: SparkSession, path: str, chunks: DataFrame, records: DataFrame) -> DataFrame:
@@ -223,7 +224,7 @@ def _bodies(spark: SparkSession, path: str, chunks: DataFrame, records: DataFram
     joined = F.reduce(
         F.slice(parts, 2, F.size(parts)), F.element_at(parts, 1), lambda a, b: F.concat(a, magic, b)
     )
-    whole = values.join(owned, ["file", "block", "seq"]).groupBy("file", "start").agg(joined.alias("value"))
+    whole = values.join(owned.hint("merge"), ["file", "block", "seq"]).groupBy("file", "start").agg(joined.alias("value"))
     return whole.join(records.select("file", "start", "head_size", "length"), ["file", "start"]).select(
         "file",
         "start",
