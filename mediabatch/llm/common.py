@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import sys
 import types
 import uuid
@@ -98,11 +101,15 @@ def rows_not_among(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
 def worker_state(group: str, key: str, make: Callable):
     """What `make` gives, made once per Python worker. Functions travel by value, so a module's own globals would not last.
 
-    A worker outlives its operator: the state of one group is let go when another group's is asked for.
+    A worker outlives its operator: the state of one group is let go when another group's is asked for, and its memory given
+    back to the system.
     """
     store = sys.modules.setdefault("mediabatch_worker_state", types.ModuleType("mediabatch_worker_state")).__dict__
     if store.get("group") != group:
         store["group"], store["items"] = group, {}
+        gc.collect()
+        with contextlib.suppress(OSError, AttributeError):  # where the C library can't, memory is kept for later use
+            ctypes.CDLL(None).malloc_trim(0)
     items = store["items"]
     if key not in items:
         items[key] = make()
