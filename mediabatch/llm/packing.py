@@ -37,11 +37,11 @@ class Encoder:
     ASCII capitals and a full stop or comma behind it change nothing in its own ids.
     """
 
-    def __init__(self, path: str, limit: int = 1 << 20, group: int = 1000):
+    def __init__(self, path: str, limit: int = 3 << 18, longest: int = 12, group: int = 1000):
         from tokenizers import Tokenizer
 
         self.own = Tokenizer.from_file(path)
-        self.limit, self.group = limit, group
+        self.limit, self.longest, self.group = limit, longest, group
         vocabulary = self.own.get_vocab(with_added_tokens=False)
         self.final = np.zeros(self.own.get_vocab_size() + 1, bool)
         self.final[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
@@ -63,7 +63,8 @@ class Encoder:
             else:
                 self.known.update((w, x.tobytes()) for w, x in zip(some, self._bulk(some), strict=True))
 
-    def _prepare(self, unknown: set[str]) -> None:
+    def _prepare(self, unknown: set[str]) -> list[str]:
+        """Looks the chunks up and returns what is too long to be kept: long words seldom come again."""
         known, words, derived, other = self.known, set(), [], []
         for chunk in unknown:
             body = chunk[:-1] if chunk[-1] in ".," else chunk
@@ -82,17 +83,17 @@ class Encoder:
         marks = self.marks
         known.update((c, known[w] + marks[c[-1]] if len(c) > len(w) else known[w]) for c, w in derived)
         known.update((c, x.tobytes()) for c, x in zip(other, self._bulk(other), strict=True))
+        return [w for some in (unknown, words) for w in some if len(w) > self.longest]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [t.replace("\n", " ").split(" ") for t in texts]
         if len(self.known) > self.limit:
             self.known = {"": b""}
         unknown = set().union(*cut) - self.known.keys()
-        if unknown:
-            self._prepare(unknown)
+        long = self._prepare(unknown) if unknown else []
         out = [b"".join(map(self.known.__getitem__, c)) for c in cut]
-        for long in [c for c in unknown if len(c) > 256]:
-            del self.known[long]
+        for word in long:
+            self.known.pop(word, None)
         return out
 
 
@@ -113,7 +114,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, end_i
     """A row per piece: each document's ids cut at multiples of `sequence`."""
 
     def cut(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = worker_state(f"ids:{tokenizer_path}", lambda: Encoder(tokenizer_path))
+        own = worker_state("packing", f"ids:{tokenizer_path}", lambda: Encoder(tokenizer_path))
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             doc_ids = iter(batch["doc_id"])
