@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 
@@ -219,22 +220,35 @@ def read_skeleton(text: str) -> tuple[list[str], list[list[int]]]:
     return labels, children
 
 
-def align(own: str, reference: str) -> dict[int, int]:
-    """Simple tree matching: the largest order-keeping, parent-keeping match of nodes with equal labels, as own -> reference."""
+def align(own: str, reference: str, by_tag: bool = False) -> dict[int, int]:
+    """Simple tree matching: the largest order-keeping, parent-keeping match of nodes with equal labels, as own -> reference.
+
+    With `by_tag` nodes match whose tags are equal, and equal class names only count for more.
+    """
     (la, ca), (lb, cb) = read_skeleton(own), read_skeleton(reference)
     sizes: dict[tuple[int, int], int] = {}
     tables: dict[tuple[int, int], list[list[int]]] = {}
+    ta, tb = ([x.partition(".")[0] for x in labels] if by_tag else labels for labels in (la, lb))
+    # Only nodes with equal labels all the way from the root can be matched: their paths get equal numbers.
+    ids: dict[tuple[int, str], int] = {}
+    ka, kb = [0] * len(la), [0] * len(lb)
+    for labels, children, keys in ((ta, ca, ka), (tb, cb, kb)):
+        keys[0] = ids.setdefault((-1, labels[0]), len(ids))
+        for i, below in enumerate(children):
+            for x in below:
+                keys[x] = ids.setdefault((keys[i], labels[x]), len(ids))
+    others: dict[int, list[int]] = {}
+    for b in range(len(lb) - 1, -1, -1):
+        others.setdefault(kb[b], []).append(b)
 
     # Children have larger numbers than their parents, so pairs can be met from the last to the first.
     for a in range(len(la) - 1, -1, -1):
-        for b in range(len(lb) - 1, -1, -1):
-            if la[a] != lb[b]:
-                continue
+        for b in others.get(ka[a], ()):
             table = [[0] * (len(cb[b]) + 1) for _ in range(len(ca[a]) + 1)]
             for i, x in enumerate(ca[a], 1):
                 for j, y in enumerate(cb[b], 1):
                     table[i][j] = max(table[i - 1][j], table[i][j - 1], table[i - 1][j - 1] + sizes.get((x, y), 0))
-            sizes[a, b] = 1 + table[-1][-1]
+            sizes[a, b] = 1 + (by_tag and la[a] == lb[b]) + table[-1][-1]
             tables[a, b] = table
     found, todo = {}, [(0, 0)] if (0, 0) in sizes else []
     while todo:
@@ -250,3 +264,24 @@ def align(own: str, reference: str) -> dict[int, int]:
                 i, j = i - 1, j - 1
                 todo.append((ca[a][i], cb[b][j]))
     return found
+
+
+def slots(own: str, reference: str, by_tag: bool = False) -> list[int]:
+    """Per node a number that aligned nodes of a host's trees share: the reference's node, or a negative hash of the way
+    down from the nearest aligned node if there is none."""
+    found = align(own, reference, by_tag)
+    labels, children = read_skeleton(own)
+    out = [0] * len(labels)
+    if 0 not in found:
+        out[0] = -1
+    for i, below in enumerate(children):
+        seen: dict[str, int] = {}
+        for x in below:
+            if x in found:
+                out[x] = found[x]
+                continue
+            label = labels[x].partition(".")[0] if by_tag else labels[x]
+            seen[label] = seen.get(label, 0) + 1
+            digest = hashlib.blake2b(f"{out[i]} {seen[label]} {label}".encode("utf-8", "surrogatepass"), digest_size=8).digest()
+            out[x] = -2 - (int.from_bytes(digest, "little") >> 2)
+    return out

@@ -3,11 +3,12 @@
 A map parses every page into blocks, each with its node in the page's element tree; siblings that repeat are folded into
 one node, so trees are small and most pages of a site share one. Elements that are page furniture by their meaning (menus,
 forms, adverts, comments ...) are left out at once. Per host the most frequent tree is the reference, and each of the
-host's other trees is aligned with it by simple tree matching. A block is constant if its text stands at the same
-aligned node in at least `SHARE` of the host's pages (and in `LEAST_PAGES`): that is template. What varies is content.
+host's other trees is aligned with it by simple tree matching, once by tags and class names, once by tags alone; a node
+without counterpart goes by its way down from the nearest one that has. A block is constant if its text stands at the same
+slot in at least `SHARE` of the host's pages (and in `LEAST_PAGES`): that is template. What varies is content.
 
-Statistics are partial aggregates over (host, tree, node, text hash), so a host with a third of all pages is no
-bottleneck; alignments are by distinct trees, not pages. Defined cases: null html is empty and gives ''; a page that consists
+Statistics are partial aggregates over (host, tree, node, text hash), summed over all trees, so a host with a third of all
+pages is no bottleneck and pages may all have trees of their own; alignments are by distinct trees, not pages. Defined cases: null html is empty and gives ''; a page that consists
 of template only keeps its blocks; null or unparsable urls share one host; repeated rows are pages of their own.
 """
 
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mediabatch.llm.common import small, stored
-from mediabatch.llm.html_tree import Page, align
+from mediabatch.llm.html_tree import Page, slots
 
 SHARE = 0.5
 LEAST_PAGES = 4
@@ -67,31 +68,39 @@ def parsed(pages: DataFrame) -> DataFrame:
 
 
 def alignments(trees: DataFrame) -> DataFrame:
-    """From (host, skeleton, pages) to (host, tree, node, slot): the reference node, or -1 - node's own number if there is none."""
+    """From (host, skeleton, pages) to (host, tree, node, slot), two rows a node: its slot by full labels and that by tags."""
     reference = trees.groupBy("host").agg(
         F.max_by("skeleton", F.struct("pages", "skeleton")).alias("reference")
     )
 
     def match(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in filter(len, batches):
-            out = []
-            for own_host, own, other in zip(batch["host"], batch["skeleton"], batch["reference"], strict=True):
-                count = own.count("\n") + 1
-                found = {i: i for i in range(count)} if own == other else align(own, other)
-                slots = [found.get(i, -1 - i) for i in range(count)]
-                out.append((own_host, own, list(range(count)), slots))
-            yield pd.DataFrame(out, columns=["host", "skeleton", "nodes", "slots"])
-
-    schema = "host string, skeleton string, nodes array<int>, slots array<int>"
-    lists = trees.select("host", "skeleton").join(reference, "host").mapInPandas(match, schema)
-    return lists.select("host", F.xxhash64("skeleton").alias("tree"), F.map_from_arrays("nodes", "slots").alias("slots"))
+            for at in range(0, len(batch), 500):
+                part = batch.iloc[at : at + 500]
+                hosts, trees, nodes, found = [], [], [], []
+                for own_host, tree, own, other in zip(
+                    part["host"], part["tree"], part["skeleton"], part["reference"], strict=True
+                ):
+                    for by_tag in (False, True):
+                        # Even numbers by full labels, odd ones by tags.
+                        own_slots = [2 * x + by_tag for x in slots(own, other, by_tag)]
+                        found += own_slots
+                        nodes += range(len(own_slots))
+                        hosts += [own_host] * len(own_slots)
+                        trees += [tree] * len(own_slots)
+                yield pd.DataFrame({"host": hosts, "tree": trees, "node": nodes, "slot": found})
+
+    pairs = trees.select("host", F.xxhash64("skeleton").alias("tree"), "skeleton").join(
+        small(stored(reference, "references")), "host"
+    )
+    return pairs.mapInPandas(match, "host string, tree long, node int, slot long")
 
 
 def extract(pages: DataFrame, share: float = SHARE, least_pages: int = LEAST_PAGES) -> DataFrame:
     """Per page: page_id, url, text, n_chars."""
     blocks = stored(parsed(pages), "blocks").withColumn("tree", F.xxhash64("skeleton"))
     trees = stored(blocks.groupBy("host", "skeleton").agg(F.count("*").alias("pages")), "trees")
-    slots = stored(alignments(trees), "slots")
+    places = stored(alignments(trees), "slots")
     hosts = stored(trees.groupBy("host").agg(F.sum("pages").alias("pages")), "hosts")
     # Each (node, text) once a page; counted by tree first, which needs no alignment.
     item = F.explode(
@@ -102,14 +111,15 @@ def extract(pages: DataFrame, share: float = SHARE, least_pages: int = LEAST_PAG
             )
         )
     )
-    counts = (
-        blocks.select("host", "tree", item.alias("b"))
-        .groupBy("host", "tree", "b")
-        .agg(F.count("*").alias("n"))
-        .filter("n > 1")
-    )
+    counts = blocks.select("host", "tree", item.alias("b")).groupBy("host", "tree", "b").agg(F.count("*").alias("n"))
     counts = stored(counts.select("host", "tree", "b.node", "b.text", "n"), "counts")
-    aligned = counts.join(small(slots), ["host", "tree"]).withColumn("slot", F.element_at("slots", F.col("node")))
+    # A text that all trees together hold on too few pages is constant at no slot; a tree may well hold it on one page.
+    repeated = stored(
+        counts.groupBy("host", "text").agg(F.sum("n").alias("n")).filter(F.col("n") >= least_pages).select("host", "text"),
+        "repeated",
+    )
+    aligned = counts.join(small(repeated), ["host", "text"]).join(small(places), ["host", "tree", "node"])
+    aligned = stored(aligned, "aligned")
     constant = (
         aligned.groupBy("host", "slot", "text")
         .agg(F.sum("n").alias("n"))

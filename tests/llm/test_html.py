@@ -97,3 +97,20 @@ def test_nulls_repeats_and_empty_tables(spark, rows_of):
     whole = next(r for r in got if r[0] == 3)
     assert whole[2] == "\n\n".join(f"part {i}" for i in range(5_000)) and whole[3] == len(whole[2])
     assert html_wrapper.extract(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_template_is_found_where_every_page_has_its_own_tree(spark, rows_of):
+    tags = ["section", "ul", "table", "dl", "ol"]
+    rows, skeletons = [], set()
+    for i in range(20):
+        name = "".join(chr(97 + int(x)) for x in str(i))
+        more = "".join(f"<div><{t}></{t}></div>" for k, t in enumerate(tags) if i >> k & 1)
+        source = (
+            f"<body><div class='page-{name}'><div>Welcome to this site</div><p class='x{name}'>Text of {i}.</p>"
+            f"<p>All rights are kept by us.</p>{more}</div></body>"
+        )
+        rows.append((i, f"https://own.example/{i}", source))
+        skeletons.add(Page(source).skeleton())
+    assert len(skeletons) == 20
+    got = {i: t for i, _, t, _ in rows_of(html_wrapper.extract(spark.createDataFrame(rows, SCHEMA).repartition(4)))}
+    assert got == {i: f"Text of {i}." for i in range(20)}
