@@ -46,26 +46,24 @@ WORDS = {
 
 
 class Page:
-    """A page's blocks (node, text, share of link text, inside a content element) and its tree (label, parent)."""
+    """A page's blocks (node, text) and its tree (label, parent)."""
 
     def __init__(self, source: str):
         self.labels: list[str] = [""]
         self.parents: list[int] = [-1]
         self.children: list[dict[str, int]] = [{}]
-        self.blocks: list[tuple[int, str, float, bool]] = []
+        self.blocks: list[tuple[int, str]] = []
         # Open elements: tag, node of the innermost block, whether left out, whether inside content.
         self.stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
         self.buffer: list[str] = []
-        self.linked = 0
         self._read(source)
 
     def _flush(self) -> None:
         if self.buffer:
             text = " ".join("".join(self.buffer).split())
             if text:
-                _, node, _, inside = self.stack[-1]
-                self.blocks.append((node, text, self.linked / len(text), inside))
-            self.buffer, self.linked = [], 0
+                self.blocks.append((self.stack[-1][1], text))
+            self.buffer = []
 
     def _node(self, parent: int, tag: str, names: str) -> int:
         label = f"{tag}.{names}" if names else tag
@@ -174,35 +172,11 @@ class Page:
         self._flush()
 
     def _text(self, raw: str) -> None:
-        text = html.unescape(raw) if "&" in raw else raw
-        self.buffer.append(text)
-        if any(x[0] == "a" for x in self.stack[-3:]):
-            self.linked += len(text.strip())
+        self.buffer.append(html.unescape(raw) if "&" in raw else raw)
 
     def content(self) -> list[tuple[int, str]]:
-        """The blocks that may be content, in page order: (node, text)."""
-        if any(b[3] for b in self.blocks):
-            return [(node, text) for node, text, _, inside in self.blocks if inside]
-        plain = [(node, text) for node, text, links, _ in self.blocks if links <= 0.5]
-        return [x for x in plain if self._under(x[0], self._densest(plain))] if plain else []
-
-    def _under(self, node: int, top: int) -> bool:
-        while node > top:
-            node = self.parents[node]
-        return node == top
-
-    def _densest(self, plain: list[tuple[int, str]]) -> int:
-        """The container of most text: from the best direct parent upwards as long as a step adds a quarter."""
-        sums = [0] * len(self.labels)
-        for node, text in plain:
-            sums[self.parents[node] if node else 0] += len(text)
-        best = max(range(len(sums)), key=lambda i: (sums[i], -i))
-        whole = list(sums)
-        for i in range(len(whole) - 1, 0, -1):
-            whole[self.parents[i]] += whole[i]
-        while best and whole[self.parents[best]] >= 1.25 * whole[best]:
-            best = self.parents[best]
-        return best
+        """All blocks that are no furniture by element, role or class, in page order: (node, text)."""
+        return self.blocks
 
     def skeleton(self) -> str:
         """The tree as text: each node's parent and label."""

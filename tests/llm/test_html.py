@@ -114,3 +114,15 @@ def test_template_is_found_where_every_page_has_its_own_tree(spark, rows_of):
     assert len(skeletons) == 20
     got = {i: t for i, _, t, _ in rows_of(html_wrapper.extract(spark.createDataFrame(rows, SCHEMA).repartition(4)))}
     assert got == {i: f"Text of {i}." for i in range(20)}
+
+
+@pytest.mark.parametrize(
+    "source, expected",
+    [
+        ("<div><p>body one</p><p>body two</p></div><article><p>card</p></article>", "body one\n\nbody two\n\ncard"),
+        (f"<div class=a><p>{'lead ' * 40}</p></div><div class=b><p>{'text ' * 200}</p></div>", f"{('lead ' * 40).strip()}\n\n{('text ' * 200).strip()}"),
+        ("<div><p>all of it</p><p><a href=x>a source that is linked</a></p></div>", "all of it\n\na source that is linked"),
+    ],
+)
+def test_only_furniture_is_dropped_before_pages_are_compared(source, expected):
+    assert text_of(source) == expected
