@@ -5,7 +5,8 @@ one node, so trees are small and most pages of a site share one. Elements that a
 forms, adverts, comments ...) are left out at once. Per host the most frequent tree is the reference, and each of the
 host's other trees is aligned with it by simple tree matching, once by tags and class names, once by tags alone; a node
 without counterpart goes by its way down from the nearest one that has. A block is constant if its text stands at the same
-slot in at least `SHARE` of the host's pages (and in `LEAST_PAGES`): that is template. What varies is content.
+slot in at least `SHARE` of the host's different pages that have a block at that slot, and in `least_pages`: that is
+template. What varies is content. The registered query decides from two pages upwards.
 
 Statistics are partial aggregates over (host, tree, node, text hash), summed over all trees, so a host with a third of all
 pages is no bottleneck and pages may all have trees of their own; alignments are by distinct trees, not pages. Defined cases: null html is empty and gives ''; a page that consists
@@ -101,18 +102,28 @@ def extract(pages: DataFrame, share: float = SHARE, least_pages: int = LEAST_PAG
     blocks = stored(parsed(pages), "blocks").withColumn("tree", F.xxhash64("skeleton"))
     trees = stored(blocks.groupBy("host", "skeleton").agg(F.count("*").alias("pages")), "trees")
     places = stored(alignments(trees), "slots")
-    hosts = stored(trees.groupBy("host").agg(F.sum("pages").alias("pages")), "hosts")
-    # Each (node, text) once a page; counted by tree first, which needs no alignment.
-    item = F.explode(
-        F.array_distinct(
-            F.transform(
-                F.arrays_zip("nodes", "texts"),
-                lambda b: F.struct(b["nodes"].alias("node"), F.xxhash64(b["texts"]).alias("text")),
-            )
+    # Each (node, text) once a page, and copies of a page once: a page repeated tells nothing about what varies. Counted by
+    # tree first, which needs no alignment.
+    items = F.array_distinct(
+        F.transform(
+            F.arrays_zip("nodes", "texts"),
+            lambda b: F.struct(b["nodes"].alias("node"), F.xxhash64(b["texts"]).alias("text")),
         )
     )
-    counts = blocks.select("host", "tree", item.alias("b")).groupBy("host", "tree", "b").agg(F.count("*").alias("n"))
+    once = stored(blocks.select("host", "tree", items.alias("items")).distinct(), "pages")
+    counts = once.select("host", "tree", F.explode("items").alias("b")).groupBy("host", "tree", "b").agg(F.count("*").alias("n"))
     counts = stored(counts.select("host", "tree", "b.node", "b.text", "n"), "counts")
+    # The pages that have a block at a slot.
+    held = (
+        once.select("host", "tree", F.explode(F.array_distinct("items.node")).alias("node"))
+        .groupBy("host", "tree", "node")
+        .agg(F.count("*").alias("pages"))
+        .join(small(places), ["host", "tree", "node"])
+        .groupBy("host", "slot")
+        .agg(F.sum("pages").alias("pages"))
+        .filter(F.col("pages") >= least_pages)
+    )
+    held = stored(held, "held")
     # A text that all trees together hold on too few pages is constant at no slot; a tree may well hold it on one page.
     repeated = stored(
         counts.groupBy("host", "text").agg(F.sum("n").alias("n")).filter(F.col("n") >= least_pages).select("host", "text"),
@@ -124,7 +135,7 @@ def extract(pages: DataFrame, share: float = SHARE, least_pages: int = LEAST_PAG
         aligned.groupBy("host", "slot", "text")
         .agg(F.sum("n").alias("n"))
         .filter(F.col("n") >= least_pages)
-        .join(small(hosts), "host")
+        .join(small(held), ["host", "slot"])
         .filter(F.col("n") >= share * F.col("pages"))
         .select("host", "slot", "text")
     )

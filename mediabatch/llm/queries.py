@@ -45,7 +45,7 @@ def op5_quality_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html_wrapper.extract(table(spark, sf_dir, "pages"))
+    return html_wrapper.extract(table(spark, sf_dir, "pages"), least_pages=2)
 
 
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -126,3 +126,21 @@ def test_template_is_found_where_every_page_has_its_own_tree(spark, rows_of):
 )
 def test_only_furniture_is_dropped_before_pages_are_compared(source, expected):
     assert text_of(source) == expected
+
+
+def test_template_of_two_pages_and_of_a_page_type(spark, rows_of, tmp_path):
+    from mediabatch.llm.queries import op6_html_text
+
+    rows = [(i, *site_page(2 * i, f"Text {i}", "two.example")) for i in range(2)]
+    rows += [(10 + i, "https://copies.example/", "<p>one page</p><p>stored twice</p>") for i in range(2)]
+    for i in range(20):  # eight of twenty pages are recipes
+        kind = "recipe" if i < 8 else "story"
+        notice = "All recipes are tried by us." if i < 8 else f"Told by {i}."
+        source = f"<body><div class='{kind}'><div>{notice}</div><p>Text {i}.</p></div></body>"
+        rows.append((100 + i, f"https://types.example/{i}", source))
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/pages.parquet")
+    got = {i: t for i, _, t, _ in rows_of(op6_html_text(spark, str(tmp_path)))}
+    assert [got[i] for i in range(2)] == [f"Text {i}\n\nSecond part of page {2 * i}." for i in range(2)]
+    assert got[10] == got[11] == "one page\n\nstored twice"
+    assert [got[100 + i] for i in range(8)] == [f"Text {i}." for i in range(8)]
+    assert got[110] == "Told by 10.\n\nText 10."
