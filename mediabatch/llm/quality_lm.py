@@ -265,10 +265,15 @@ def log_likelihoods(docs: DataFrame, model: DataFrame, size: int = SHARD) -> Dat
     return out.groupBy(ROW).agg(F.sum("loglik").alias("loglik"))
 
 
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """The documents labelled good, and whether each is held out of training."""
+    good = labels.filter(F.col("doc_id").isNotNull() & (F.col("quality") > 0)).select("doc_id").distinct()
+    return stored(good.withColumn("held_out", F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0), "trusted")
+
+
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, shard_size: int = SHARD) -> DataFrame:
     """Per document of a stored table: doc_id, lang, n_chars, perplexity, threshold, kept."""
-    good = labels.filter(F.col("doc_id").isNotNull() & (F.col("quality") > 0)).select("doc_id").distinct()
-    good = stored(good.withColumn("held_out", F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0), "trusted")
+    good = trusted_ids(labels)
     texts = docs.select("doc_id", whole_text().alias("text"))
     trusted = rows_among(texts, stored(good.filter("NOT held_out"), "trusted"), "doc_id")
     model = train(trusted)
@@ -281,7 +286,11 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, sha
     scored = stored(facts.join(scores, ROW), "scores")
     has_model = not model.isEmpty()
     perplexity = F.when((F.col("n_chars") > 0) & F.lit(has_model), F.exp(-F.col("loglik") / F.col("n_chars")))
-    scored = scored.withColumn("perplexity", perplexity)
+    return judged(scored.withColumn("perplexity", perplexity), good, quantile)
+
+
+def judged(scored: DataFrame, good: DataFrame, quantile: float) -> DataFrame:
+    """Thresholds from the held-out documents' perplexities, and what is kept."""
     held = stored(
         scored.join(good.filter("held_out"), "doc_id", "left_semi").filter("perplexity IS NOT NULL").select("lang", "perplexity"),
         "held_out",

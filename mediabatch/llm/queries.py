@@ -13,11 +13,11 @@ from mediabatch.llm import (
     html_wrapper,
     mixing,
     packing,
-    quality_lm,
     token_counts,
     topk,
     toxicity,
     warc,
+    word_lm,
 )
 from mediabatch.llm.common import table
 
@@ -41,7 +41,7 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_lm.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return word_lm.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
