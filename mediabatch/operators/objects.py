@@ -54,17 +54,32 @@ def collage_owners(objects: DataFrame, prefix: str = "") -> DataFrame:
     return _owners(objects, prefix).groupBy("safe").agg(F.count(F.lit(1)).alias("collages"))
 
 
+def _nameless(named: DataFrame) -> DataFrame:
+    """The creator that stands for all creators with an empty safe name; no row if there is none."""
+    return named.where(F.col("safe") == "").groupBy("safe").agg(F.min("creator_name").alias("creator_name"))
+
+
+def members(creators: DataFrame) -> DataFrame:
+    """Per creator its safe name and `listed_as`, the creator under which `existing_for_creator` lists its collages."""
+    named = creators.select("creator_name", safe_name(F.col("creator_name")).alias("safe")).distinct()
+    shared = F.broadcast(_nameless(named).withColumnRenamed("creator_name", "shared"))  # at most one row
+    return named.join(shared, "safe", "left").select(
+        "creator_name", "safe", F.coalesce("shared", "creator_name").alias("listed_as")
+    )
+
+
 def existing_for_creator(
     creators: DataFrame, objects: DataFrame, prefix: str = "", page_size: int | None = None
 ) -> DataFrame:
     """Stored collages of each creator: keys that start with its safe name and the separator.
 
-    The prefix match is an equality join on the possible names of each key; creators without a letter or
-    digit have no safe name and own nothing. With `page_size`, `page` numbers the listing pages that each
+    The prefix match is an equality join on the possible names of each key. Creators without a letter or digit
+    all have the empty safe name and share its keys: those are listed once, under the creator that `members`
+    names for all of them, as creators times keys would grow with the square. With `page_size`, `page` numbers the listing pages that each
     creator's keys, in order, fall on; all of them are returned.
     """
-    wanted = creators.select("creator_name", safe_name(F.col("creator_name")).alias("safe"))
-    wanted = wanted.where(F.col("safe") != "")
+    named = creators.select("creator_name", safe_name(F.col("creator_name")).alias("safe"))
+    wanted = named.where(F.col("safe") != "").unionByName(_nameless(named))
     found = _owners(objects, prefix).join(wanted, "safe").drop("safe")
     if page_size is None:
         return found

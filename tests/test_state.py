@@ -210,6 +210,18 @@ def test_creator_names_with_the_separator(spark, rows_of):
     assert got == sorted(expected, key=repr)
 
 
+def test_creators_without_letters_share_their_collages(spark, rows_of):
+    keys = ["collages/_collage_1.jpg", "collages/_collage_2.jpg", "collages/a_collage_3.jpg"]
+    df = listing(spark, [(k, 1, AS_OF - timedelta(days=i), "image/jpeg") for i, k in enumerate(keys)])
+    creators = spark.createDataFrame([("!!!",), ("\U0001f389",), ("?",), ("a",)], "creator_name string")
+    found = objects.existing_for_creator(creators, df)
+    assert rows_of(found, "creator_name", "s3_key") == [("!!!", keys[0]), ("!!!", keys[1]), ("a", keys[2])]
+    plan = {r.s3_key: r.action for r in objects.retention_plan(found, 1).collect()}
+    assert plan == {keys[0]: "keep", keys[1]: "delete", keys[2]: "keep"}
+    listed = {r.creator_name: (r.safe, r.listed_as) for r in objects.members(creators).collect()}
+    assert listed == {"!!!": ("", "!!!"), "\U0001f389": ("", "!!!"), "?": ("", "!!!"), "a": ("a", "a")}
+
+
 def test_retention(spark):
     rows = [(f"collages/a_collage_{i}.jpg", 1, AS_OF - timedelta(days=i), "image/jpeg") for i in range(4)]
     creators = spark.createDataFrame([("a",)], "creator_name string")
