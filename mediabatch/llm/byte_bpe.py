@@ -21,14 +21,16 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mediabatch.llm.common import stored, whole_text, worker_state
+from mediabatch.llm.common import stored, stretches, whole_text, worker_state
 
 CHUNK = 1 << 16
 OVERLAP = 1 << 10
@@ -60,9 +62,20 @@ def text_ids(own, text: str) -> list[int]:
     return out + own.encode_ordinary(text[at:])
 
 
-def ids_of(path: str, texts: Iterable[str]) -> list[np.ndarray]:
-    own = worker_state("bytes", f"encoding:{path}", lambda: encoding(path))
-    return [np.array(text_ids(own, t), np.int32) for t in texts]
+def encoder(path: str):
+    return worker_state("bytes", f"encoding:{path}", lambda: encoding(path))
+
+
+def coded(path: str, texts: list[str], decoded: bool) -> dict[str, pa.Array]:
+    """The ids of texts and, if wanted, the bytes that these stand for."""
+    own = encoder(path)
+    ids = [text_ids(own, t) for t in texts]
+    ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+    flat = np.fromiter(chain.from_iterable(ids), np.int32, ends[-1])
+    out = {"ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))}
+    if decoded:
+        out["bytes"] = pa.array([own.decode_bytes(x) for x in ids], pa.binary())
+    return out
 
 
 class Classes(dict):
@@ -174,24 +187,38 @@ def seams(slices: DataFrame, chunk: int, overlap: int) -> DataFrame:
         )
 
 
-def encode(docs: DataFrame, path: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """The texts' ids, by piece: key (null: the text is one piece), doc_id, piece, pieces, ids."""
+def encode(docs: DataFrame, path: str, chunk: int = CHUNK, overlap: int = OVERLAP, decoded: bool = False) -> DataFrame:
+    """The texts' ids, by piece: key (null: the text is one piece), doc_id, piece, pieces, ids.
+
+    With `decoded` also the `bytes` that the ids stand for, without sending them to another task.
+    """
     # Ids travel as strings: pandas has no missing whole numbers.
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), whole_text().alias("text"))
+    schema = f"{PIECES}, bytes binary" if decoded else PIECES
 
-    def whole(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = pd.Series([None] * len(batch), dtype="Int64")
-            ids = ids_of(path, batch["text"])
-            yield pd.DataFrame({"key": keys, "doc_id": batch["doc_id"].array, "piece": 0, "pieces": 1, "ids": ids})
+            texts = batch.column("text").to_pylist()
+            for some in stretches(texts):
+                n = len(some)
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "key": pa.nulls(n, pa.int64()),
+                        "doc_id": batch.column("doc_id").slice(some.start, n),
+                        "piece": pa.array(np.zeros(n, np.int64)),
+                        "pieces": pa.array(np.ones(n, np.int64)),
+                        **coded(path, texts[some.start : some.stop], decoded),
+                    }
+                )
 
     def parts(group: pd.DataFrame) -> pd.DataFrame:
         text, own = joined(group, chunk), group.iloc[0]
         end = None if pd.isna(own["end"]) else chunk * len(group) + int(own["end"])
-        ids = ids_of(path, [text[int(own["start"]) : end]])
-        return pd.DataFrame({"key": [own["key"]], "doc_id": [own["doc_id"]], "piece": [own["piece"]], "pieces": [own["pieces"]], "ids": ids})
+        found = coded(path, [text[int(own["start"]) : end]], decoded)
+        place = group.head(1)[["key", "doc_id", "piece", "pieces"]].reset_index(drop=True)
+        return place.assign(**{name: column.to_pandas() for name, column in found.items()})
 
-    short = rows.filter(F.char_length("text") <= chunk).mapInPandas(whole, PIECES)
+    short = rows.filter(F.char_length("text") <= chunk).mapInArrow(whole, schema)
     slices = slices_of(rows.filter(F.char_length("text") > chunk), chunk, overlap)
     if slices.isEmpty():
         return short.withColumn("doc_id", F.col("doc_id").cast("long"))
@@ -201,28 +228,23 @@ def encode(docs: DataFrame, path: str, chunk: int = CHUNK, overlap: int = OVERLA
         "pieces", F.count("*").over(own)
     )
     named = numbered.join(slices.filter("slice = 0").select("key", "doc_id"), "key")
-    long = spanned(named, slices).groupBy("key", "first").applyInPandas(parts, PIECES)
+    long = spanned(named, slices).groupBy("key", "first").applyInPandas(parts, schema)
     return short.unionByName(long).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
-def with_bytes(pieces: DataFrame, path: str) -> DataFrame:
+def decode(pieces: DataFrame, path: str) -> DataFrame:
     """`pieces` with the bytes that its ids stand for."""
 
     @F.pandas_udf("binary")
-    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        def table() -> list[bytes]:
-            own = encoding(path)
-            return own.decode_tokens_bytes(list(range(own.n_vocab)))
-
-        known = worker_state("bytes", f"table:{path}", table)
+    def content(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield pd.Series([b"".join(map(known.__getitem__, ids.tolist())) for ids in batch])
+            yield pd.Series([encoder(path).decode_bytes(ids.tolist()) for ids in batch], dtype=object)
 
-    return pieces.withColumn("bytes", decode("ids"))
+    return pieces.withColumn("bytes", content("ids"))
 
 
 def texts(decoded: DataFrame) -> DataFrame:
-    """Per document of `with_bytes`: doc_id, its ids and its bytes, pieces in order."""
+    """Per document of `decode`: doc_id, its ids and its bytes, pieces in order."""
     alone = decoded.filter("pieces = 1").select("doc_id", "ids", "bytes")
     parts = F.array_sort(F.collect_list(F.struct("piece", "ids", "bytes")))
     several = decoded.filter("pieces > 1").groupBy("key").agg(F.first("doc_id").alias("doc_id"), parts.alias("parts"))
@@ -233,7 +255,7 @@ def texts(decoded: DataFrame) -> DataFrame:
 
 def round_trip(docs: DataFrame, path: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """Encodes and decodes: doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    found = texts(with_bytes(encode(docs, path, chunk, overlap), path))
+    found = texts(encode(docs, path, chunk, overlap, decoded=True))
     return found.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

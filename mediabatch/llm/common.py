@@ -8,7 +8,7 @@ import gc
 import sys
 import types
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -98,6 +98,18 @@ def rows_not_among(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return marked.filter("NOT _hit").drop("_hit").unionByName(near)
 
 
+def stretches(texts: list[str], size: int = 1 << 20) -> Iterator[range]:
+    """Places of neighbouring texts, about `size` characters at a time."""
+    first, held = 0, 0
+    for i, text in enumerate(texts):
+        held += len(text)
+        if held >= size:
+            yield range(first, i + 1)
+            first, held = i + 1, 0
+    if first < len(texts):
+        yield range(first, len(texts))
+
+
 def worker_state(group: str, key: str, make: Callable):
     """What `make` gives, made once per Python worker. Functions travel by value, so a module's own globals would not last.
 

@@ -24,11 +24,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mediabatch.llm.common import whole_text
+from mediabatch.llm.common import stretches, whole_text
 
 LEAST, REPEATS = 6, 4
 SHORT = 8
-RUN_CHARS = 1 << 20
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 Run = tuple[int, int, int]
@@ -203,18 +202,6 @@ def planted(words: list, doc_id: str | None) -> list:
     return words[:a] + [words[a + i % p] for i in range(n - a)]
 
 
-def batches_of(texts: list[str], size: int = RUN_CHARS) -> Iterator[range]:
-    """Numbers of texts in stretches of about `size` characters."""
-    first, held = 0, 0
-    for i, text in enumerate(texts):
-        held += len(text)
-        if held >= size:
-            yield range(first, i + 1)
-            first, held = i + 1, 0
-    if first < len(texts):
-        yield range(first, len(texts))
-
-
 RESULT = "doc_id string, n_words long, runs array<struct<start:long,length:long,period:long>>, collapsed string"
 
 
@@ -227,7 +214,7 @@ def periodic_runs(docs: DataFrame, plant: bool = False) -> DataFrame:
     def detect(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             ids, texts = batch["doc_id"].tolist(), batch["text"].tolist()
-            for some in batches_of(texts):
+            for some in stretches(texts):
                 words = [words_of(texts[i]) for i in some]
                 if plant:
                     words = [planted(w, ids[i]) for i, w in zip(some, words, strict=True)]

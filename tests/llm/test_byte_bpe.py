@@ -62,7 +62,9 @@ def test_whole_tables(spark, tmp_path, rows_of, encoder):
 def test_pieces_are_whole_pre_tokens(spark, tmp_path, encoder):
     text = words(5, 2_000) + "\n\n 12 x" * 50
     docs = stored_docs(spark, tmp_path / "d", [(1, text, "en", "a", 1)])
-    pieces = byte_bpe.with_bytes(byte_bpe.encode(docs, PATH, 512, 64), PATH).orderBy("piece").collect()
+    encoded = byte_bpe.encode(docs, PATH, 512, 64, decoded=True).withColumnRenamed("bytes", "at_once")
+    pieces = byte_bpe.decode(encoded, PATH).orderBy("piece").collect()
+    assert all(p["at_once"] == p["bytes"] for p in pieces)
     assert len(pieces) > 10
     assert b"".join(bytes(p["bytes"]) for p in pieces) == text.encode()
     assert [i for p in pieces for i in p["ids"]] == encoder.encode_ordinary(text)
