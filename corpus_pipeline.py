@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from mediabatch.llm import bag_minhash, exact_dedup, mixing, packing, toxicity
-from mediabatch.llm.common import stored, table
+from mediabatch.llm.common import columns_of, stored, table
 
 # The mixing stage keeps to documents it has: no source is repeated more than twice.
 EVENNESS = 0.5
@@ -33,7 +33,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row per realised copy of a document, in the columns of documents."""
-    return mixing.realise(docs, EVENNESS, MAX_REPEATS).select(*docs.columns)
+    return mixing.realise(docs, EVENNESS, MAX_REPEATS).select(*columns_of(docs))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

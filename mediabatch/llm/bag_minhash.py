@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mediabatch.llm.common import ROW, Cache, rows_among, rows_not_among, stored, whole_text, with_row, worker_state
+from mediabatch.llm.common import ROW, Cache, rows_among, stored, whole_text, with_row, without_rows, worker_state
 from mediabatch.llm.components import components
 
 WORDS = 5
@@ -158,7 +158,7 @@ def _signed(docs: DataFrame, bands: int, rows: int) -> DataFrame:
             yield pd.DataFrame({ROW: batch[ROW], "doc_id": batch["doc_id"], "digest": batch["digest"], "keys": keys})
 
     # Ids travel as strings: pandas has no missing whole numbers.
-    light = with_row(docs).select(
+    light = with_row(docs.select("doc_id", "text")).select(
         ROW,
         F.col("doc_id").cast("string").alias("doc_id"),
         F.unhex(F.substring(F.sha2(whole_text(), 256), 1, 32)).alias("digest"),
@@ -177,7 +177,7 @@ def _sets_of(docs: DataFrame, rows: DataFrame) -> DataFrame:
             sets = [expanded(*shingles(t, hashes)).tobytes() for t in batch["text"]]
             yield pd.DataFrame({"node": batch[ROW], "set": sets})
 
-    texts = rows_among(with_row(docs).select(ROW, whole_text().alias("text")), rows, ROW)
+    texts = rows_among(with_row(docs.select("text")).select(ROW, whole_text().alias("text")), rows, ROW)
     return stored(texts.mapInPandas(expand, "node long, set binary"), "sets")
 
 
@@ -355,4 +355,4 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """`docs`, a stored table, with one document of each class."""
     dropped = stored(decisions(docs, least).filter("NOT kept").select(ROW), "dropped")
-    return rows_not_among(with_row(docs), dropped, ROW).select(*docs.columns)
+    return without_rows(docs, dropped)

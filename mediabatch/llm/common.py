@@ -5,23 +5,30 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import re
 import sys
 import types
 import uuid
 from collections.abc import Callable, Iterator
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mediabatch.session import shared_dir
 
-# A bitmap of 2^24 bits is 2 MB whatever the size of the data. Beyond some ten million keys it lets more rows
+# A bitmap has some eight bits a key, between 2 MB and 32 MB. Beyond some 30 million keys it lets more rows
 # through; the exact join behind it decides, so only the saved shuffle gets smaller.
-BITMAP_BITS = 24
+BITMAP_BITS, MOST_BITS = 24, 28
 
-# Small tables are broadcast up to this many rows; beyond it the same join is left to Spark's shuffle.
+# Small tables are broadcast up to this many rows and this many bytes as text; beyond that the same join is left to
+# Spark's shuffle.
 BROADCAST_ROWS = 50_000
+BROADCAST_BYTES = 1 << 26
 
+# A row's key is its file's number, then its place in the file.
+PLACE_BITS = 40
+ROOT = re.compile(r"^([A-Za-z0-9+.-]+):/+")
 ROW = "_row"
 
 
@@ -44,9 +51,40 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def with_row(docs: DataFrame) -> DataFrame:
-    """Adds a key that tells repeated rows apart. `docs` has to be a stored table: its scan gives the same keys each time."""
-    return docs.withColumn(ROW, F.monotonically_increasing_id())
+def free_name(name: str, *tables: DataFrame) -> str:
+    """`name`, or a longer one, that no column of the tables has in any case."""
+    taken = {c.lower() for t in tables for c in t.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def columns_of(df: DataFrame) -> list[Column]:
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def with_row(docs: DataFrame, name: str = ROW) -> DataFrame:
+    """Adds a key that tells repeated rows apart: the number of the row's file and its place there.
+
+    Both are part of the stored data, so every scan of a table gives the same keys, however it is split. What is not read
+    from Parquet files is stored with keys first.
+    """
+    # The two name the root of a file system with a different number of slashes.
+    files = sorted({ROOT.sub(r"\1:/", f) for f in docs.inputFiles()})
+    file, number, at = (free_name(x, docs) for x in ("_file", "_number", "_at"))
+    try:
+        meta = docs.metadataColumn("_metadata")
+        named = F.regexp_replace(meta["file_path"], ROOT.pattern, "$1:/")
+        placed = docs.select(*columns_of(docs), named.alias(file), meta["row_index"].alias(at))
+    except AnalysisException:
+        return stored(docs.withColumn(name, F.monotonically_increasing_id()), "rows")
+    if len(files) == 1:
+        return placed.withColumn(name, F.col(at)).drop(file, at)
+    numbers = docs.sparkSession.createDataFrame(list(enumerate(files)), f"{number} long, {file} string")
+    numbers = F.broadcast(numbers) if len(files) <= BROADCAST_ROWS else numbers
+    known = F.coalesce(number, F.raise_error(F.concat(F.lit("not among the table's files: "), file)))
+    key = F.shiftleft(known, PLACE_BITS).bitwiseOR(F.col(at))
+    return placed.join(numbers, file, "left").withColumn(name, key).drop(file, number, at)
 
 
 def whole_text(column: str = "text") -> Column:
@@ -55,47 +93,68 @@ def whole_text(column: str = "text") -> Column:
 
 def small(df: DataFrame) -> DataFrame:
     """`df`, a stored table, marked for broadcast if it is small enough; beyond that Spark shuffles."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    if df.count() > BROADCAST_ROWS:
+        return df
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct(*columns_of(df)))))).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
-def _bit(key: Column) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(1 << BITMAP_BITS))
+def bitmap_bits(n: int) -> int:
+    return min(max(BITMAP_BITS, (8 * n).bit_length()), MOST_BITS)
 
 
-def key_bitmap(keys: DataFrame, key: str) -> DataFrame:
-    """The keys' hashes as a bitmap: at most 513 rows of 4 KB."""
-    bit = _bit(F.col(key))
+def _bit(key: Column, bits: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(1 << bits))
+
+
+def key_bitmap(keys: DataFrame, key: str, bits: int = BITMAP_BITS) -> DataFrame:
+    """The keys' hashes as a bitmap (bucket, bits): 2^(bits - 15) rows of 4 KB at most."""
+    bit = _bit(F.col(key), bits)
     return (
         keys.filter(F.col(key).isNotNull())
-        .groupBy(F.bitmap_bucket_number(bit).alias("_bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("_bits"))
+        .groupBy(F.bitmap_bucket_number(bit).alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
     )
 
 
-def with_hit(rows: DataFrame, bitmap: DataFrame, key: str) -> DataFrame:
-    """Adds `_hit`: false only where the key is certainly none of the bitmap's keys."""
-    bit = _bit(F.col(key))
+def with_hit(rows: DataFrame, bitmap: DataFrame, key: str, hit: str, bits: int = BITMAP_BITS) -> DataFrame:
+    """Adds the column `hit`: false only where the key is certainly none of the bitmap's keys."""
+    bit = _bit(F.col(key), bits)
+    bucket, held = free_name("_bucket", rows), free_name("_bits", rows)
     place = F.bitmap_bit_position(bit)
-    byte = F.conv(F.hex(F.substring("_bits", (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    byte = F.conv(F.hex(F.substring(held, (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     return (
-        rows.withColumn("_bucket", F.bitmap_bucket_number(bit))
-        .join(F.broadcast(bitmap), "_bucket", "left")
-        .withColumn("_hit", F.coalesce(F.getbit(byte, (place % 8).cast("int")) == 1, F.lit(False)))
-        .drop("_bucket", "_bits")
+        rows.withColumn(bucket, F.bitmap_bucket_number(bit))
+        .join(F.broadcast(bitmap.select(F.col("bucket").alias(bucket), F.col("bits").alias(held))), bucket, "left")
+        .withColumn(hit, F.coalesce(F.getbit(byte, (place % 8).cast("int")) == 1, F.lit(False)))
+        .drop(bucket, held)
     )
 
 
+def _marked(rows: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame, str]:
+    bits, hit = bitmap_bits(keys.count()), free_name("_hit", rows)
+    return with_hit(rows, stored(key_bitmap(keys, key, bits), "bitmap"), key, hit, bits), hit
+
+
 def rows_among(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """The rows whose key is among `keys`: the bitmap drops most others before the exact join shuffles texts."""
-    near = with_hit(rows, stored(key_bitmap(keys, key), "bitmap"), key).filter("_hit").drop("_hit")
+    """The rows whose key is among `keys`, a stored table: the bitmap drops most others before the exact join shuffles texts."""
+    marked, hit = _marked(rows, keys, key)
+    near = marked.filter(F.col(hit)).drop(hit)
     return near.join(keys.select(key).distinct().hint("shuffle_hash"), key, "left_semi")
 
 
 def rows_not_among(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """The rows whose key is not among `keys`; only rows that the bitmap can't clear are shuffled."""
-    marked = with_hit(rows, stored(key_bitmap(keys, key), "bitmap"), key)
-    near = marked.filter("_hit").drop("_hit").join(keys.select(key).distinct().hint("shuffle_hash"), key, "left_anti")
-    return marked.filter("NOT _hit").drop("_hit").unionByName(near)
+    """The rows whose key is not among `keys`, a stored table; only rows that the bitmap can't clear are shuffled."""
+    marked, hit = _marked(rows, keys, key)
+    near = marked.filter(F.col(hit)).drop(hit).join(keys.select(key).distinct().hint("shuffle_hash"), key, "left_anti")
+    return marked.filter(~F.col(hit)).drop(hit).unionByName(near)
+
+
+def without_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """`docs` without the rows whose keys are in `dropped`, a stored table with the column ROW."""
+    key = free_name(ROW, docs)
+    left = rows_not_among(with_row(docs, key), dropped.select(F.col(ROW).alias(key)), key)
+    return left.select(*columns_of(docs))
 
 
 def stretches(texts: list[str], size: int = 1 << 20) -> Iterator[range]:

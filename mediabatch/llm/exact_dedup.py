@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mediabatch.llm.common import ROW, rows_not_among, stored, whole_text, with_row
+from mediabatch.llm.common import ROW, stored, whole_text, with_row, without_rows
 
 SUPPORT = 0.001
 
@@ -26,7 +26,7 @@ def normalised(text: Column) -> Column:
 def decisions(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
     """One light row per row of `docs`: row key, doc_id, text_sha256, keep_id, group_size, kept."""
     light = stored(
-        with_row(docs).select(ROW, "doc_id", F.sha2(normalised(whole_text()), 256).alias("text_sha256")), "digests"
+        with_row(docs.select("doc_id", "text")).select(ROW, "doc_id", F.sha2(normalised(whole_text()), 256).alias("text_sha256")), "digests"
     )
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", ROW)
     frequent = light.stat.freqItems(["text_sha256"], support).select(
@@ -64,4 +64,4 @@ def exact_groups(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
 def drop_copies(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
     """`docs`, a stored table, without the rows that are not kept."""
     dropped = stored(decisions(docs, support).filter("NOT kept").select(ROW), "dropped")
-    return rows_not_among(with_row(docs), dropped, ROW).select(*docs.columns)
+    return without_rows(docs, dropped)

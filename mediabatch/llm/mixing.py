@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mediabatch.llm.common import small, stored, whole_text
+from mediabatch.llm.common import columns_of, free_name, small, stored, whole_text
 
 BLOCKS = 1024
 SEED = "mix"
@@ -151,32 +151,45 @@ def _key(source: Column) -> Column:
 
 
 def realise(docs: DataFrame, evenness: float = 0.5, max_repeats: float = 4.0, budget: int | None = None) -> DataFrame:
-    """`docs` with one row per realised copy, and n_tokens, weight, epoch, block and place added as `mix_*`."""
+    """`docs` with one row per realised copy, and mix_weight, mix_epoch, mix_block and mix_place as its last columns.
+
+    Where `docs` has a column of such a name, the added one's name is longer.
+    """
     light = stored(docs.select("source", "doc_id", n_tokens().alias("n_tokens")), "tokens")
     sources, _ = weights(light, evenness, max_repeats, budget)
     cuts = _cut(light, sources)
+    key, plan_name, epoch, mix = (free_name(x, docs) for x in ("_key", "_plan", "_epoch", "_mix"))
     plan = stored(
-        sources.withColumn("mix_key", _key(F.col("source")))
-        .join(cuts, F.col("mix_key") == F.col("key"), "left")
+        sources.withColumn("own", _key(F.col("source")))
+        .join(cuts, F.col("own") == F.col("key"), "left")
         .select(
-            "mix_key",
-            F.col("weight").alias("mix_weight"),
-            F.col("full_epochs").alias("mix_full"),
-            F.coalesce("cut_place", F.lit(-1)).alias("mix_cut_place"),
-            F.coalesce("cut_id", F.lit(-1)).alias("mix_cut_id"),
+            F.col("own").alias(key),
+            F.struct(
+                "weight",
+                "full_epochs",
+                F.coalesce("cut_place", F.lit(-1)).alias("cut_place"),
+                F.coalesce("cut_id", F.lit(-1)).alias("cut_id"),
+            ).alias(plan_name),
         ),
         "plan",
     )
-    own = F.coalesce(F.col("doc_id"), F.lit(-1))
-    paid = (F.col("mix_place") < F.col("mix_cut_place")) | (
-        (F.col("mix_place") == F.col("mix_cut_place")) & (own <= F.col("mix_cut_id"))
+    own, plan_of, at = F.coalesce(F.col("doc_id"), F.lit(-1)), F.col(plan_name), F.col(mix)["place"]
+    paid = (at < plan_of["cut_place"]) | ((at == plan_of["cut_place"]) & (own <= plan_of["cut_id"]))
+    spot = place(F.col(epoch))
+    made = F.struct(
+        plan_of["weight"].alias("weight"),
+        F.col(epoch).alias("epoch"),
+        F.shiftright(spot, 50).cast("int").alias("block"),
+        spot.alias("place"),
     )
     return (
-        docs.withColumn("mix_key", _key(F.col("source")))
-        .join(small(plan), "mix_key")
-        .withColumn("mix_epoch", F.explode(F.sequence(F.lit(0), F.col("mix_full"))))
-        .withColumn("mix_place", place(F.col("mix_epoch")))
-        .filter((F.col("mix_epoch") < F.col("mix_full")) | paid)
-        .withColumn("mix_block", F.expr("shiftright(mix_place, 50)").cast("int"))
-        .drop("mix_key", "mix_full", "mix_cut_place", "mix_cut_id")
+        docs.withColumn(key, _key(F.col("source")))
+        .join(small(plan), key)
+        .withColumn(epoch, F.explode(F.sequence(F.lit(0), plan_of["full_epochs"])))
+        .withColumn(mix, made)
+        .filter((F.col(epoch) < plan_of["full_epochs"]) | paid)
+        .select(
+            *columns_of(docs),
+            *(F.col(mix)[x].alias(free_name(f"mix_{x}", docs)) for x in ("weight", "epoch", "block", "place")),
+        )
     )

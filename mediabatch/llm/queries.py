@@ -52,10 +52,8 @@ def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.realise(table(spark, sf_dir, "documents"))
-    return mixed.select(
-        "doc_id", "source", mixing.n_tokens().alias("n_tokens"), mixed.mix_epoch, mixed.mix_block, mixed.mix_place
-    )
+    mixed = mixing.realise(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return mixed.select("doc_id", "source", mixing.n_tokens().alias("n_tokens"), "mix_epoch", "mix_block", "mix_place")
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

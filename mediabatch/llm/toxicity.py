@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mediabatch.llm.common import Cache, stored, whole_text, worker_state
+from mediabatch.llm.common import Cache, free_name, stored, whole_text, worker_state
 
 SAMPLE = 4_000
 FEATURES = 8_192
@@ -230,5 +230,6 @@ def severities(docs: DataFrame, model: Model | None, cut: float = CUT) -> DataFr
 
 
 def without_toxic(docs: DataFrame, model: Model | None, cut: float = CUT) -> DataFrame:
-    scored = docs.withColumn("_scored", scorer(docs.sparkSession, model)(whole_text()))
-    return scored.filter(F.col("_scored.p_toxic") < cut).drop("_scored")
+    name = free_name("_scored", docs)
+    scored = docs.withColumn(name, scorer(docs.sparkSession, model)(whole_text()))
+    return scored.filter(F.col(name)["p_toxic"] < cut).drop(name)

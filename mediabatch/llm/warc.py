@@ -17,10 +17,13 @@ broken chain, is not returned; null page ids and repeated ids are pages of their
 
 from __future__ import annotations
 
+import contextlib
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from mediabatch.llm.common import new_path, stored, with_row
+from mediabatch.llm.common import ROW, new_path, small, stored, with_row
 
 # Fixed values of the format (WARC 1.1).
 MAGIC = "WARC/1.1\r\n"
@@ -44,8 +47,8 @@ def base32_sha1(payload: Column) -> Column:
 
 def _records(pages: DataFrame, least_bytes: int) -> DataFrame:
     """Per page: row, page_id, url, payload, bytes, digest, and the first page (and row) of the same payload."""
-    rows = with_row(pages).select(
-        F.col("_row").alias("row"),
+    rows = with_row(pages.select("page_id", "url", "html")).select(
+        F.col(ROW).alias("row"),
         F.col("page_id").cast("long").alias("page_id"),
         F.regexp_replace(F.col("url").cast("string"), r"[\x00-\x20\x7f]+", " ").alias("url"),
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("payload"),
@@ -78,7 +81,7 @@ def record_id(row: Column) -> Column:
 def write_warc(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES) -> None:
     """Writes `pages` (page_id, url, html) as WARC files under `path`."""
     rows, repeated = _records(pages, least_bytes)
-    joined = rows.join(F.broadcast(repeated) if repeated.count() <= 50_000 else repeated, "digest", "left")
+    joined = rows.join(small(repeated), "digest", "left")
     revisit = (F.col("bytes") >= least_bytes) & F.col("first_row").isNotNull() & (F.col("first_row") != F.col("row"))
     body = F.when(revisit, F.lit("")).otherwise(F.col("payload"))
     record = F.concat(
@@ -106,6 +109,23 @@ def write_warc(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES) -> N
     joined.select(record.alias("value")).write.option("lineSep", END).text(path)
 
 
+@contextlib.contextmanager
+def one_layout(spark: SparkSession) -> Iterator[None]:
+    """Inside, every read of the same files has the same splits, also if executors come or go between two of them.
+
+    Spark derives the splits' number from the cores it has when a read is planned, unless it is set.
+    """
+    name = "spark.sql.files.minPartitionNum"
+    old = spark.conf.get(name, None)
+    if old is None:
+        spark.conf.set(name, str(spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(name)
+
+
 def _chunks(spark: SparkSession, path: str) -> DataFrame:
     """What follows each magic, up to the next one: file, block, seq, value (bytes), magic (whether one stands before)."""
     raw = spark.read.option("lineSep", MAGIC).text(path)
@@ -207,7 +227,8 @@ def reachable(found: DataFrame) -> DataFrame:
 
 
 def _bodies(spark: SparkSession, path: str, chunks: DataFrame, records: DataFrame) -> DataFrame:
-    """The payloads (binary) of `records`, a stored table: file, start, payload. Reads the archive again."""
+    """The payloads (binary) of `records`, a stored table: file, start, payload. Reads the archive again, which has to be done
+    in the layout of the first read."""
     own = Window.partitionBy("file").orderBy("at", "size").rowsBetween(Window.unboundedPreceding, 0)
     marks = records.select("file", F.col("start"), F.col("next"), (F.col("start") + len(MAGIC)).alias("at"))
     owned = (
@@ -234,13 +255,14 @@ def _bodies(spark: SparkSession, path: str, chunks: DataFrame, records: DataFram
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """The archive's records: file, start, type, record_id, url, page_id, length, digest (of the body), and what they state."""
-    chunks = chunk_table(spark, path)
-    records = stored(reachable(stored(candidates(chunks), "candidates")), "records")
-    broken = records.filter("digest IS NULL")
-    if not broken.isEmpty():
-        again = _bodies(spark, path, chunks, stored(broken, "broken"))
-        again = again.select("file", "start", base32_sha1(F.col("payload")).alias("again"))
-        records = records.join(again, ["file", "start"], "left").withColumn("digest", F.coalesce("digest", "again"))
+    with one_layout(spark):
+        chunks = chunk_table(spark, path)
+        records = stored(reachable(stored(candidates(chunks), "candidates")), "records")
+        broken = records.filter("digest IS NULL")
+        if not broken.isEmpty():
+            again = _bodies(spark, path, chunks, stored(broken, "broken"))
+            again = stored(again.select("file", "start", base32_sha1(F.col("payload")).alias("again")), "again")
+            records = records.join(again, ["file", "start"], "left").withColumn("digest", F.coalesce("digest", "again"))
     return records.select(
         "file", "start", "type", "record_id", "url", "page_id", "length", "digest", "stated_digest", "stated_bytes",
         "refers_to",
@@ -248,9 +270,11 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """The records' bodies as bytes: file, start, payload."""
-    chunks = chunk_table(spark, path)
-    return _bodies(spark, path, chunks, stored(reachable(stored(candidates(chunks), "candidates")), "records"))
+    """The records' bodies as bytes: file, start, payload, as a stored table."""
+    with one_layout(spark):
+        chunks = chunk_table(spark, path)
+        records = stored(reachable(stored(candidates(chunks), "candidates")), "records")
+        return stored(_bodies(spark, path, chunks, records), "payloads")
 
 
 def round_trip(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:

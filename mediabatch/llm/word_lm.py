@@ -186,7 +186,7 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, hea
     good = trusted_ids(labels)
     texts = docs.select("doc_id", whole_text().alias("text"))
     model, unknown = train(rows_among(texts, stored(good.filter("NOT held_out"), "trusted"), "doc_id"))
-    rows = with_row(docs).select(
+    rows = with_row(docs.select("doc_id", "lang", "text")).select(
         ROW, F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), whole_text().alias("text")
     )
     scores = log_likelihoods(rows, model, unknown, head, passes)
