@@ -187,11 +187,8 @@ def seams(slices: DataFrame, chunk: int, overlap: int) -> DataFrame:
         )
 
 
-def encode(docs: DataFrame, path: str, chunk: int = CHUNK, overlap: int = OVERLAP, decoded: bool = False) -> DataFrame:
-    """The texts' ids, by piece: key (null: the text is one piece), doc_id, piece, pieces, ids.
-
-    With `decoded` also the `bytes` that the ids stand for, without sending them to another task.
-    """
+def coded_parts(docs: DataFrame, path: str, chunk: int, overlap: int, decoded: bool) -> tuple[DataFrame, DataFrame | None]:
+    """The pieces of the short texts and those of the long ones, if there are any."""
     # Ids travel as strings: pandas has no missing whole numbers.
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), whole_text().alias("text"))
     schema = f"{PIECES}, bytes binary" if decoded else PIECES
@@ -220,8 +217,9 @@ def encode(docs: DataFrame, path: str, chunk: int = CHUNK, overlap: int = OVERLA
 
     short = rows.filter(F.char_length("text") <= chunk).mapInArrow(whole, schema)
     slices = slices_of(rows.filter(F.char_length("text") > chunk), chunk, overlap)
+    short = short.withColumn("doc_id", F.col("doc_id").cast("long"))
     if slices.isEmpty():
-        return short.withColumn("doc_id", F.col("doc_id").cast("long"))
+        return short, None
     found = stored(seams(slices, chunk, overlap), "pieces")
     own = Window.partitionBy("key")
     numbered = found.withColumn("piece", F.row_number().over(own.orderBy("first")).cast("long") - 1).withColumn(
@@ -229,7 +227,16 @@ def encode(docs: DataFrame, path: str, chunk: int = CHUNK, overlap: int = OVERLA
     )
     named = numbered.join(slices.filter("slice = 0").select("key", "doc_id"), "key")
     long = spanned(named, slices).groupBy("key", "first").applyInPandas(parts, schema)
-    return short.unionByName(long).withColumn("doc_id", F.col("doc_id").cast("long"))
+    return short, long.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
+def encode(docs: DataFrame, path: str, chunk: int = CHUNK, overlap: int = OVERLAP, decoded: bool = False) -> DataFrame:
+    """The texts' ids, by piece: key (null: the text is one piece), doc_id, piece, pieces, ids.
+
+    With `decoded` also the `bytes` that the ids stand for, without sending them to another task.
+    """
+    short, long = coded_parts(docs, path, chunk, overlap, decoded)
+    return short if long is None else short.unionByName(long)
 
 
 def decode(pieces: DataFrame, path: str) -> DataFrame:
@@ -243,11 +250,13 @@ def decode(pieces: DataFrame, path: str) -> DataFrame:
     return pieces.withColumn("bytes", content("ids"))
 
 
-def texts(decoded: DataFrame) -> DataFrame:
-    """Per document of `decode`: doc_id, its ids and its bytes, pieces in order."""
-    alone = decoded.filter("pieces = 1").select("doc_id", "ids", "bytes")
+def texts(short: DataFrame, long: DataFrame | None) -> DataFrame:
+    """Per document of decoded pieces: doc_id, its ids and its bytes, the pieces of long texts in order."""
+    alone = short.select("doc_id", "ids", "bytes")
+    if long is None:
+        return alone
     parts = F.array_sort(F.collect_list(F.struct("piece", "ids", "bytes")))
-    several = decoded.filter("pieces > 1").groupBy("key").agg(F.first("doc_id").alias("doc_id"), parts.alias("parts"))
+    several = long.groupBy("key").agg(F.first("doc_id").alias("doc_id"), parts.alias("parts"))
     ids = F.flatten(F.transform("parts", lambda p: p["ids"]))
     content = F.unhex(F.array_join(F.transform("parts", lambda p: F.hex(p["bytes"])), ""))
     return alone.unionByName(several.select("doc_id", ids.alias("ids"), content.alias("bytes")))
@@ -255,7 +264,7 @@ def texts(decoded: DataFrame) -> DataFrame:
 
 def round_trip(docs: DataFrame, path: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """Encodes and decodes: doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    found = texts(encode(docs, path, chunk, overlap, decoded=True))
+    found = texts(*coded_parts(docs, path, chunk, overlap, decoded=True))
     return found.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
