@@ -13,7 +13,7 @@ from mediabatch.operators.batching import (
     next_fit_batches,
 )
 from mediabatch.operators.ingest import batchable_items, explode_links, filter_links, remove_seen
-from mediabatch.sources.readers import read_item_files
+from mediabatch.sources.csv_records import read_item_files
 
 
 def extract_items(

@@ -313,6 +313,11 @@ FINAL: dict[str, str] = {
     "csv_items_scan": """
         SELECT CASE ord % 3 WHEN 1 THEN creator_name || ', "x"' WHEN 2 THEN creator_name || chr(10) || 'y'
           ELSE creator_name END AS creator_name, cover_url, updated_at FROM items""",
+    "csv_records_scan": """
+        SELECT CASE WHEN ord % 3 = 2 THEN 'unknown'
+                    WHEN ord % 2 = 0 THEN creator_name || ', "x"' || chr(10) || ord ELSE creator_name END AS creator_name,
+          cover_url, CASE WHEN ord % 3 = 2 THEN '' ELSE updated_at END AS updated_at FROM items
+        WHERE ord % 3 <> 2 OR trim(cover_url) <> ''""",
     "listed_files": """
         SELECT DISTINCT '20010802_000000/parallel_batch=' || printf('%02d', c.batch_id + 1) AS folder
         FROM batchable b JOIN bucketed c ON b.creator_name = c.creator_name""",
@@ -729,6 +734,11 @@ FINAL: dict[str, str] = {
           CAST(CASE WHEN kind = 0 THEN k % 7 + 1 WHEN far THEN 0 ELSE 5 END AS INTEGER) AS rows,
           count(*) AS messages FROM routed GROUP BY ALL""",
     "stream_message_items": "SELECT creator_name, cover_url, updated_at FROM message_rows",
+    "stream_references": """
+        SELECT 'item' AS kind, CASE WHEN ord % 3 = 2 THEN 'unknown' ELSE creator_name END AS creator_name, cover_url
+        FROM valid
+        UNION ALL SELECT 'dead', 'missing file', 'gone/' || c_custkey || '.csv' FROM customer WHERE c_custkey % 10 = 0
+        UNION ALL SELECT 'dead', 'missing file', '0' FROM region WHERE r_regionkey = 0""",
     "stream_files": "SELECT creator_name, count(*) AS urls FROM valid GROUP BY creator_name",
 }
 

@@ -30,7 +30,7 @@ from mediabatch.operators import (
 from mediabatch.plans import extract
 from mediabatch.plans.tables import EVENTS_AS_OF, ORDERS_AS_OF, Tables, text_time
 from mediabatch.session import shared_dir
-from mediabatch.sources import readers, writers
+from mediabatch.sources import csv_records, readers, writers
 from mediabatch.streaming import triggers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -154,6 +154,26 @@ def csv_items_scan(t: Tables) -> DataFrame:
     return readers.read_items(t.spark, path).drop("ord")
 
 
+CSV_LAYOUTS = [["creator_name", "cover_url", "updated_at"], ["updated_at", "cover_url", "creator_name"], ["cover_url"]]
+
+
+def _stored_layouts(t: Tables, rows: DataFrame, root: str) -> DataFrame:
+    """Item rows as CSV files of three headers below `root`; returns the files' paths."""
+    for i, columns in enumerate(CSV_LAYOUTS):
+        writers.write_csv(rows.where(F.col("ord") % 3 == i).select(*columns), f"{root}/{i}")
+    listed = t.spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    return listed.option("pathGlobFilter", readers.CSV_GLOB).load(root).select("path")
+
+
+@query
+def csv_records_scan(t: Tables) -> DataFrame:
+    """CSV files of three headers, with quotes and line breaks in their cells, as one scan that may be split."""
+    name = F.concat("creator_name", F.lit(', "x"\n'), F.col("ord").cast("string"))
+    rows = t.items().withColumn("creator_name", F.when(F.col("ord") % 2 == 0, name).otherwise(F.col("creator_name")))
+    paths = _stored_layouts(t, rows, _run_folder(t))
+    return csv_records.read_records(t.spark, [r.path for r in paths.toLocalIterator()]).drop("ord")
+
+
 @query
 def listed_files(t: Tables) -> DataFrame:
     """The folders of batch files in an object listing."""
@@ -828,6 +848,34 @@ def stream_message_items(t: Tables) -> DataFrame:
     return t.spark.read.parquet(f"{run}/out/items").select("creator_name", "cover_url", "updated_at")
 
 
+@query
+def stream_references(t: Tables) -> DataFrame:
+    """Messages that name stored files of three headers, a file that is no CSV, a folder and files that are not there.
+
+    Valid item rows, and the rejected messages with their reason and key.
+    """
+    run = _run_folder(t)
+    store = f"{run}/store"
+    stored = _stored_layouts(t, t.items(), store)
+    t.raw("customer").select("c_name").write.text(f"{store}/names")
+    names = t.spark.read.format("binaryFile").load(f"{store}/names").where("length > 0").select("path")
+    keys = stored.unionByName(names).select(F.substring_index("path", f"{store}/", -1).alias("s3_key"))
+    gone = F.concat(F.lit("gone/"), F.col("c_custkey").cast("string"), F.lit(".csv"))
+    keys = keys.unionByName(t.raw("customer").where("c_custkey % 10 = 0").select(gone.alias("s3_key")))
+    keys = keys.unionByName(t.raw("region").where("r_regionkey = 0").select(F.lit("0").alias("s3_key")))
+    body = batching.reference_message(F.lit("in"), F.col("s3_key"), ORDERS_AS_OF)
+    writers.write_messages(keys.select(body.alias("body")), f"{run}/inbox")
+    triggers.message_stream(
+        t.spark, f"{run}/inbox", f"{run}/out", f"{run}/checkpoint", store, lambda: ORDERS_AS_OF
+    ).awaitTermination()
+    items = t.spark.read.parquet(f"{run}/out/items").select(F.lit("item").alias("kind"), "creator_name", "cover_url")
+    dead = t.spark.read.parquet(f"{run}/out/dead")
+    key = F.get_json_object("body", "$.s3_key")
+    return items.unionByName(
+        dead.select(F.lit("dead").alias("kind"), F.col("reason").alias("creator_name"), key.alias("cover_url"))
+    )
+
+
 @query
 def stream_files(t: Tables) -> DataFrame:
     """The file trigger over all items as CSV, run to completion: valid URLs per creator."""

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +34,7 @@ def read_items(spark: SparkSession, paths, multiline: bool = True) -> DataFrame:
     An empty cell is `''`. A cell the row is too short to have is NULL, which later puts the row into
     the invalid output; a missing creator column reads as `unknown`. `ord` restores file order, which
     the file splits of a scan do not keep. Quoted cells may hold line breaks; for files known to have none
-    `multiline=False` lets large ones be read in splits.
+    `multiline=False` lets large ones be read in splits, and `csv_records.read_records` reads any in splits.
     """
     reader = _csv(spark, paths, multiline)
     header = reader.csv(paths).schema.names
@@ -62,41 +60,6 @@ def read_items(spark: SparkSession, paths, multiline: bool = True) -> DataFrame:
     )
 
 
-def first_lines(spark: SparkSession, paths: list[str]) -> dict[str, str | None]:
-    """First line of each file, NULL where there is none; a look-up per file, as for a listing."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-
-    def first(path: str) -> str | None:
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        files = target.getFileSystem(conf)
-        if not files.exists(target) or not files.getFileStatus(target).isFile():
-            return None
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(files.open(target), "UTF-8"))
-        try:
-            return reader.readLine()
-        finally:
-            reader.close()
-
-    with ThreadPoolExecutor(16) as pool:
-        return dict(zip(paths, pool.map(first, paths)))
-
-
-def read_item_files(spark: SparkSession, paths: list[str]) -> tuple[DataFrame | None, list[str]]:
-    """Item rows of files with differing headers (one scan per header), and the missing or empty ones."""
-    by_header: dict[str, list[str]] = {}
-    lost = []
-    for path, line in first_lines(spark, paths).items():
-        if line is None:
-            lost.append(path)
-        else:
-            by_header.setdefault(line, []).append(path)
-    out = None
-    for group in by_header.values():
-        rows = read_items(spark, group)
-        out = rows if out is None else out.unionByName(rows)
-    return out, lost
-
-
 def read_links(spark: SparkSession, **jdbc) -> DataFrame:
     """Link records over JDBC; filters and column choice are pushed into the database by Catalyst.
 

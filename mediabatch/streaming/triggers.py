@@ -6,9 +6,8 @@ replaces that folder when the epoch is replayed, so a replay changes nothing.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from datetime import datetime, timezone
-from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,8 +25,9 @@ from mediabatch.operators.messages import (
     retryable,
 )
 from mediabatch.operators.state import current_state, expire_stale, moment, recent, update_records
-from mediabatch.session import shared_dir
-from mediabatch.sources.readers import CSV_GLOB, read_item_files, read_state
+from mediabatch.session import one_layout, shared_dir
+from mediabatch.sources.csv_records import key_of, read_records, read_referenced
+from mediabatch.sources.readers import CSV_GLOB, read_state
 from mediabatch.sources.writers import append_state, write_messages
 
 
@@ -44,7 +44,7 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def landing_stream(spark: SparkSession, landing: str, max_files: int = 1000) -> DataFrame:
-    """Paths of CSV files as they arrive; contents are not read here."""
+    """Paths and sizes of CSV files as they arrive; contents are not read here."""
     return (
         spark.readStream.format("binaryFile")
         .schema(FILE_SCHEMA)
@@ -52,7 +52,7 @@ def landing_stream(spark: SparkSession, landing: str, max_files: int = 1000) ->
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", max_files)
         .load(landing)
-        .select("path")
+        .select("path", "length")
     )
 
 
@@ -70,19 +70,19 @@ def ingest_stream(
     A micro-batch is a bounded set of files, scanned as one table. Rows carry the `object_key`,
     `batch_id` and `output_prefix` of their file.
     """
-    base = landing.rstrip("/") + "/"
 
     def each(batch: DataFrame, epoch: int) -> None:
-        rows, _ = read_item_files(spark, [row.path for row in batch.toLocalIterator()])
-        if rows is None:
+        paths = [row.path for row in batch.where("length > 0").toLocalIterator()]
+        if not paths:
             return
-        named = valid_items(rows).withColumn("object_key", F.substring_index(F.col("ord.file"), base, -1))
-        key = F.col("object_key")
-        now = moment(as_of())
-        handle(
-            named.withColumns({"batch_id": run_batch_id("s3", now, key), "output_prefix": trigger_prefix(key)}),
-            epoch,
-        )
+        with one_layout(spark):
+            named = valid_items(read_records(spark, paths)).withColumn("object_key", key_of(F.col("ord.file"), landing))
+            key = F.col("object_key")
+            now = moment(as_of())
+            handle(
+                named.withColumns({"batch_id": run_batch_id("s3", now, key), "output_prefix": trigger_prefix(key)}),
+                epoch,
+            )
 
     return (
         landing_stream(spark, landing, max_files)
@@ -93,24 +93,6 @@ def ingest_stream(
     )
 
 
-def referenced_items(
-    spark: SparkSession, refs: DataFrame, root: str, files_per_scan: int = 1000
-) -> Iterator[tuple[DataFrame | None, list[str]]]:
-    """Item rows of the stored CSV files that messages name, with the keys of missing files.
-
-    `refs` has `s3_key` and the columns to carry. File names come in slices of bounded size, only to
-    plan the scans; the rows are read by the executors and joined to their message by file path.
-    """
-    base = root.rstrip("/") + "/"
-    names = (base + row.s3_key for row in refs.select("s3_key").distinct().toLocalIterator())
-    while paths := list(islice(names, files_per_scan)):
-        rows, lost = read_item_files(spark, paths)
-        if rows is not None:
-            named = rows.withColumn("s3_key", F.substring_index(F.col("ord.file"), base, -1))
-            rows = named.join(refs, "s3_key")
-        yield rows, [path[len(base) :] for path in lost]
-
-
 def message_stream(
     spark: SparkSession,
     inbox: str,
@@ -155,13 +137,11 @@ def message_stream(
         reason = F.col("reason")
         if root is not None:
             refs = accepted(parsed, "csv_s3").select("s3_key", *carry)
-            store(spark.createDataFrame([], "s3_key STRING"), "missing")
-            for part, (rows, lost) in enumerate(referenced_items(spark, refs, root), 1):
-                if rows is not None:
-                    named = rows.select(*carry, "creator_name", "cover_url", "updated_at", F.col("ord.row").alias("ord"))
-                    store(valid_items(named), "items", part)
-                if lost:
-                    store(spark.createDataFrame([(key,) for key in lost], "s3_key STRING"), "missing", part)
+            with one_layout(spark):
+                rows, lost = read_referenced(spark, refs, root)
+                named = rows.select(*carry, "creator_name", "cover_url", "updated_at", F.col("ord.row").alias("ord"))
+                store(valid_items(named), "items", 1)
+            store(lost, "missing")
             missing = spark.read.schema("s3_key STRING").parquet(f"{out}/missing/epoch={epoch}")
             parsed = parsed.join(missing.select("s3_key", F.lit(True).alias("gone")), "s3_key", "left")
             reason = F.coalesce(reason, F.when(F.col("gone"), "missing file"))

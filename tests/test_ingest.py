@@ -6,7 +6,7 @@ from pathlib import Path
 import pytest
 
 from mediabatch.operators import ingest
-from mediabatch.sources import readers, writers
+from mediabatch.sources import csv_records, readers, writers
 
 
 def items(spark, rows):
@@ -194,7 +194,7 @@ def test_cells_with_line_breaks_and_foreign_files(spark, tmp_path):
     df = spark.createDataFrame(rows, "creator_name string, cover_url string, updated_at string")
     path = writers.write_items(df, str(tmp_path / "in"), datetime(2024, 1, 2))
     (tmp_path / "in" / "note.txt").write_text("creator_name,cover_url\nnot,read\n")
-    back, lost = readers.read_item_files(spark, [str(p) for p in Path(path).glob("*.csv")])
+    back, lost = csv_records.read_item_files(spark, [str(p) for p in Path(path).glob("*.csv")])
     assert not lost
     for got in (back, readers.read_items(spark, str(tmp_path / "in"))):
         assert sorted(tuple(r)[:3] for r in got.collect()) == sorted(rows)
