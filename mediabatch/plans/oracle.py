@@ -501,6 +501,21 @@ FINAL: dict[str, str] = {
             arg_max(version, (updated_at, version)) AS version
           FROM log WHERE processing_date = DATE '2024-01-30' AND created_at < TIMESTAMP '2024-01-30 12:00:00'
           GROUP BY creator_name) t ON r.creator_name = t.creator_name""",
+    "snapshot_state": f"SELECT {STATE_COLUMNS} FROM state",
+    "creator_lease_stream": """
+        SELECT creator_name, CASE WHEN accepted THEN 'opened' ELSE 'refused' END AS outcome, batch_id, content_hash,
+          image_count, CASE WHEN accepted THEN coalesce(version + 1, 0) END AS version
+        FROM (
+          SELECT r.*, t.version, coalesce(t.status <> 'processing', true)
+              AND row_number() OVER (PARTITION BY r.creator_name ORDER BY r.batch_id) = 1 AS accepted
+          FROM (SELECT creator_name, batch_id || '-' || version AS batch_id, content_hash, image_count,
+                  unnest(CASE WHEN version % 2 = 0 THEN [1, 2] ELSE [1] END) FROM log
+                WHERE processing_date = DATE '2024-01-30') r
+          LEFT JOIN (
+            SELECT creator_name, arg_max(status, (updated_at, version)) AS status,
+              arg_max(version, (updated_at, version)) AS version
+            FROM log WHERE processing_date = DATE '2024-01-30' AND created_at < TIMESTAMP '2024-01-30 12:00:00'
+            GROUP BY creator_name) t ON r.creator_name = t.creator_name)""",
     "status_update": """
         SELECT s.creator_name, '2024-01-30' AS processing_date, new_status AS status, batch_id, content_hash,
           image_count, coalesce(new_ms, processing_duration_ms) AS processing_duration_ms,

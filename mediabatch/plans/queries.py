@@ -31,7 +31,8 @@ from mediabatch.plans import extract
 from mediabatch.plans.tables import EVENTS_AS_OF, ORDERS_AS_OF, Tables, text_time
 from mediabatch.session import shared_dir
 from mediabatch.sources import csv_records, readers, writers
-from mediabatch.streaming import triggers
+from mediabatch.sources.state_log import StateLog
+from mediabatch.streaming import leases, triggers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -463,17 +464,20 @@ def state_history(t: Tables) -> DataFrame:
 NOON = datetime(2024, 1, 30, 12)
 
 
+def _requests(t: Tables) -> DataFrame:
+    events = t.state_log().where(F.col("processing_date") == F.lit("2024-01-30").cast("date"))
+    requests = events.select("creator_name", F.concat("batch_id", F.lit("-"), "version").alias("batch_id"),
+                             "content_hash", "image_count")
+    # Every second request is delivered twice.
+    return requests.unionByName(requests.where(F.substring("batch_id", -1, 1).cast("int") % 2 == 0))
+
+
 @query
 def conditional_create(t: Tables) -> DataFrame:
     """Opening today's records for every event of the day, against the state at noon."""
     before = t.state_log().where(F.col("created_at") < state.moment(NOON))
     current = state.current_state(before, NOON)
-    events = t.state_log().where(F.col("processing_date") == F.lit("2024-01-30").cast("date"))
-    requests = events.select("creator_name", F.concat("batch_id", F.lit("-"), "version").alias("batch_id"),
-                             "content_hash", "image_count")
-    # Every second request is delivered twice.
-    requests = requests.unionByName(requests.where(F.substring("batch_id", -1, 1).cast("int") % 2 == 0))
-    return _state_out(state.create_records(current, requests, NOON), "accepted")
+    return _state_out(state.create_records(current, _requests(t), NOON), "accepted")
 
 
 def _updates(t: Tables) -> DataFrame:
@@ -522,6 +526,38 @@ def status_stream(t: Tables) -> DataFrame:
     return _state_out(state.current_state(readers.read_state(t.spark, f"{run}/state")))
 
 
+@query
+def snapshot_state(t: Tables) -> DataFrame:
+    """The current records read from a snapshot and the log's tail: two segments are folded, the third one is not."""
+    log = StateLog(t.spark, f"{_run_folder(t)}/log")
+    part = F.col("version") % 3
+    log.append(t.state_log().where(part == 2))
+    log.append(t.state_log().where(part == 0))
+    log.write_snapshot(EVENTS_AS_OF)
+    log.append(t.state_log().where(part == 1))
+    return _state_out(log.current(EVENTS_AS_OF))
+
+
+@query
+def creator_lease_stream(t: Tables) -> DataFrame:
+    """Opening the day's records by a stateful stream that starts from the records at noon: the log form's outcomes."""
+    run = _run_folder(t)
+    before = state.current_state(t.state_log().where(F.col("created_at") < state.moment(NOON)), NOON)
+    day = F.lit("2024-01-30").cast("date")
+    requests = _requests(t)
+    none = F.lit(None)
+    opening = requests.select(
+        F.lit("open").alias("kind"), "creator_name", day.alias("processing_date"), "batch_id", "content_hash", "image_count",
+        none.cast("string").alias("status"), none.cast("long").alias("ord"),
+    )
+    current = before.where(F.col("processing_date") == day)
+    opening.unionByName(leases.records(current)).write.parquet(f"{run}/inbox")
+    arriving = t.spark.readStream.schema(leases.EVENTS).parquet(f"{run}/inbox")
+    leases.lease_stream(arriving, f"{run}/out", f"{run}/checkpoint").awaitTermination()
+    out = t.spark.read.schema(leases.OUTCOMES).parquet(f"{run}/out")
+    return out.select("creator_name", "outcome", "batch_id", "content_hash", "image_count", "version")
+
+
 @query
 def unmatched_updates(t: Tables) -> DataFrame:
     return state.unmatched_updates(_current(t), _updates(t)).select("creator_name", "status")
