@@ -12,6 +12,7 @@ are documents of their own; an empty table gives no rows.
 
 from __future__ import annotations
 
+import string
 import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator
@@ -26,15 +27,20 @@ from mediabatch.llm.common import stored, whole_text, worker_state
 SEQUENCE = 2048
 END_ID = 1
 GROUP = 8192
+# A run of signs beside letters is a token of its own. Not so an apostrophe before letters, and `<` may open a special string.
+BEHIND = string.punctuation
+BEFORE = BEHIND.replace("'", "").replace("<", "")
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
 class Encoder:
     """Ids of texts as little-endian bytes, 4 each.
 
-    Chunks between spaces or line breaks are looked up. Unknown ones are encoded in bulk: plain words joined by spaces,
-    each one ending with a token that ends words, so that the ids can be cut apart again; others one by one. A word's
-    ASCII capitals and a full stop or comma behind it change nothing in its own ids.
+    Chunks between spaces or line breaks are looked up. Of an unknown one, punctuation before and behind a word is
+    looked up apart; unknown words are encoded in bulk, joined by spaces, each one ending with a token that ends words, so that
+    the ids can be cut apart again; all else one by one. ASCII capitals are lowered first where that changes no id.
+
+    The look-up has two halves of `limit` / 2 chunks: when the newer is full, the older goes, and what is met again moves on.
     """
 
     def __init__(self, path: str, limit: int = 3 << 18, longest: int = 12, group: int = 1000):
@@ -45,8 +51,8 @@ class Encoder:
         vocabulary = self.own.get_vocab(with_added_tokens=False)
         self.final = np.zeros(self.own.get_vocab_size() + 1, bool)
         self.final[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.marks = dict(zip(".,", (x.tobytes() for x in self._bulk([".", ","])), strict=True))
         self.known: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
 
     def _bulk(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.own.encode_batch_fast(texts, add_special_tokens=False)]
@@ -63,33 +69,44 @@ class Encoder:
             else:
                 self.known.update((w, x.tobytes()) for w, x in zip(some, self._bulk(some), strict=True))
 
+    def _unknown(self, chunks: set[str]) -> set[str]:
+        """Those not in the look-up; what its older half holds is moved to the newer."""
+        unknown = chunks.difference(self.known)
+        again = unknown & self.older.keys()
+        self.known.update(zip(again, map(self.older.__getitem__, again), strict=True))
+        return unknown - again
+
     def _prepare(self, unknown: set[str]) -> list[str]:
         """Looks the chunks up and returns what is too long to be kept: long words seldom come again."""
-        known, words, derived, other = self.known, set(), [], []
-        for chunk in unknown:
-            body = chunk[:-1] if chunk[-1] in ".," else chunk
-            if body.isascii() and body.isalpha():
-                word = body.lower()
-            elif unicodedata.normalize("NFC", body).lower().isalpha():  # letters that stay letters
-                word = body
+        words = {c for c in unknown if c.isascii() and c.isalpha()}
+        parts, marks, other = [], set(), []
+        for chunk in unknown - words:
+            rest = chunk.lstrip(BEFORE)
+            body = rest.rstrip(BEHIND)
+            # Letters that stay letters.
+            if body and (body.isalpha() if body.isascii() else unicodedata.normalize("NFC", body).lower().isalpha()):
+                if body == chunk:
+                    words.add(body)
+                    continue
+                head, tail = chunk[: len(chunk) - len(rest)], rest[len(body) :]
+                parts.append((chunk, head, body, tail))
+                marks.update((head, tail))
             else:
                 other.append(chunk)
-                continue
-            if word not in known:
-                words.add(word)
-            if word != chunk:
-                derived.append((chunk, word))
+        bodies = self._unknown({body for _, _, body, _ in parts})
+        words |= bodies
         self._learn(list(words))
-        marks = self.marks
-        known.update((c, known[w] + marks[c[-1]] if len(c) > len(w) else known[w]) for c, w in derived)
+        other += self._unknown(marks).difference(other)
+        known = self.known
         known.update((c, x.tobytes()) for c, x in zip(other, self._bulk(other), strict=True))
-        return [w for some in (unknown, words) for w in some if len(w) > self.longest]
+        known.update((c, known[head] + known[body] + known[tail]) for c, head, body, tail in parts)
+        return [w for some in (unknown, bodies) for w in some if len(w) > self.longest]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) > self.limit:
-            self.known = {"": b""}
-        unknown = set().union(*cut) - self.known.keys()
+        cut = [lowered(t).replace("\n", " ").split(" ") for t in texts]
+        if len(self.known) > self.limit // 2:
+            self.known, self.older = {"": b""}, self.known
+        unknown = self._unknown(set().union(*cut))
         long = self._prepare(unknown) if unknown else []
         out = [b"".join(map(self.known.__getitem__, c)) for c in cut]
         for word in long:
@@ -97,7 +114,19 @@ class Encoder:
         return out
 
 
-def runs(texts: list[str], size: int = 1 << 21) -> Iterator[list[str]]:
+def lowered(text: str) -> str:
+    """`text` with ASCII capitals lowered, as the tokenizer does after composing characters and finding special strings; a text
+    where either could see a difference stays as it is."""
+    if "<|" in text:
+        return text
+    if text.isascii():
+        return text.lower()
+    lower = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+    composed = unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", lower)
+    return lower if composed else text
+
+
+def runs(texts: list[str], size: int = 1 << 19) -> Iterator[list[str]]:
     """The texts in runs of about `size` characters."""
     run, held = [], 0
     for text in texts:

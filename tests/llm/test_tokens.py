@@ -103,3 +103,11 @@ def test_packing_is_an_exact_round_trip(spark, tmp_path, tokenizer):
         assert sequence["offset"].tolist() == np.cumsum([0, *sequence["length"]])[:-1].tolist()
         assert sequence["length"].sum() <= 256
     assert packing.pack(stored_docs(spark, tmp_path / "e", []), WORDS).count() == 0
+
+
+def test_a_small_look_up_gives_the_same_ids(tokenizer):
+    own = packing.Encoder(WORDS, limit=40, longest=6, group=5)
+    texts = ["Don't \"Say\" (that), <|ENDOFTEXT|> H̱i É...", *(words(i, 60) for i in range(12)), "A.b C,'S ''re x' ≠ #Tag's"]
+    for _ in range(2):
+        for text in texts:
+            assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
