@@ -27,7 +27,18 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mediabatch.llm.common import ROW, Cache, rows_among, stored, whole_text, with_row, without_rows, worker_state
+from mediabatch.llm.common import (
+    ROW,
+    Cache,
+    light_batches,
+    releasing,
+    rows_among,
+    stored,
+    whole_text,
+    with_row,
+    without_rows,
+    worker_state,
+)
 from mediabatch.llm.components import components
 
 WORDS = 5
@@ -164,7 +175,7 @@ def _signed(docs: DataFrame, bands: int, rows: int) -> DataFrame:
         F.unhex(F.substring(F.sha2(whole_text(), 256), 1, 32)).alias("digest"),
         whole_text().alias("text"),
     )
-    made = light.mapInPandas(sign, f"{ROW} long, doc_id string, digest binary, keys array<long>")
+    made = light.mapInPandas(releasing(sign), f"{ROW} long, doc_id string, digest binary, keys array<long>")
     return made.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
@@ -178,7 +189,7 @@ def _sets_of(docs: DataFrame, rows: DataFrame) -> DataFrame:
             yield pd.DataFrame({"node": batch[ROW], "set": sets})
 
     texts = rows_among(with_row(docs.select("text")).select(ROW, whole_text().alias("text")), rows, ROW)
-    return stored(texts.mapInPandas(expand, "node long, set binary"), "sets")
+    return stored(texts.mapInPandas(releasing(expand), "node long, set binary"), "sets")
 
 
 def _verified(links: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -194,7 +205,7 @@ def _verified(links: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 
     with_a = links.join(sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a")
     with_b = with_a.join(sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b")
-    return with_b.mapInPandas(check, "a long, b long")
+    return with_b.mapInPandas(releasing(check), "a long, b long")
 
 
 def overlaps(a: list[np.ndarray], b: list[np.ndarray], columns: int = 4096) -> np.ndarray:
@@ -292,10 +303,8 @@ def _within_blocks(members: DataFrame, sets: DataFrame, least: float, block: int
     return dealt.groupBy("kind", "key", "low", "high").applyInPandas(lambda g: _linked(g, least), "a long, b long")
 
 
-def decisions(
-    docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK
-) -> DataFrame:
-    """One light row per row of `docs`, a stored table: row key, doc_id, class_id, class_size, kept."""
+def _classes(docs: DataFrame, least: float, bands: int, rows: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """Stored tables: the signed rows, and each text's root (digest, root)."""
     signed = stored(_signed(docs, bands, rows), "signed")
     # One row of each text goes on. Row keys stand for documents throughout: ids may be missing or repeated.
     texts = stored(
@@ -333,6 +342,15 @@ def decisions(
         texts.select("digest", "node").join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("root")),
         "classes",
     )
+    return signed, classes
+
+
+def decisions(
+    docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK
+) -> DataFrame:
+    """One light row per row of `docs`, a stored table: row key, doc_id, class_id, class_size, kept."""
+    with light_batches(docs.sparkSession):
+        signed, classes = _classes(docs, least, bands, rows, block)
     light = signed.select(ROW, "doc_id", "digest").join(classes, "digest")
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", ROW)
     heads = stored(

@@ -169,6 +169,44 @@ def stretches(texts: list[str], size: int = 1 << 20) -> Iterator[range]:
         yield range(first, len(texts))
 
 
+def give_back() -> None:
+    """Gives the worker's unused memory back to the system."""
+    gc.collect()
+    with contextlib.suppress(ImportError):
+        import pyarrow
+
+        pyarrow.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library can't, memory is kept for later use
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def releasing(work: Callable) -> Callable:
+    """`work`, a generator over a task's batches; workers outlive their tasks, so unused memory is given back at its end."""
+
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
+
+
+@contextlib.contextmanager
+def light_batches(spark: SparkSession, size: str = "8m") -> Iterator[None]:
+    """Jobs that run inside hand texts and sets to Python in batches of about `size` bytes, unless the session names its own."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    named = spark.sparkContext.getConf().contains(name)
+    old = spark.conf.get(name, None)
+    if not named:
+        spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        if not named:
+            spark.conf.unset(name) if old is None else spark.conf.set(name, old)
+
+
 def worker_state(group: str, key: str, make: Callable):
     """What `make` gives, made once per Python worker. Functions travel by value, so a module's own globals would not last.
 
@@ -178,9 +216,7 @@ def worker_state(group: str, key: str, make: Callable):
     store = sys.modules.setdefault("mediabatch_worker_state", types.ModuleType("mediabatch_worker_state")).__dict__
     if store.get("group") != group:
         store["group"], store["items"] = group, {}
-        gc.collect()
-        with contextlib.suppress(OSError, AttributeError):  # where the C library can't, memory is kept for later use
-            ctypes.CDLL(None).malloc_trim(0)
+        give_back()
     items = store["items"]
     if key not in items:
         items[key] = make()

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mediabatch.llm.common import stored, whole_text, worker_state
+from mediabatch.llm.common import light_batches, releasing, stored, whole_text, worker_state
 
 SEQUENCE = 2048
 END_ID = 1
@@ -43,7 +43,7 @@ class Encoder:
     The look-up has two halves of `limit` / 2 chunks: when the newer is full, the older goes, and what is met again moves on.
     """
 
-    def __init__(self, path: str, limit: int = 3 << 18, longest: int = 12, group: int = 1000):
+    def __init__(self, path: str, limit: int = 1 << 19, longest: int = 12, group: int = 1000):
         from tokenizers import Tokenizer
 
         self.own = Tokenizer.from_file(path)
@@ -163,7 +163,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, end_i
 
     # Ids travel as strings: pandas has no missing whole numbers.
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), whole_text().alias("text"))
-    made = rows.mapInPandas(cut, PIECES.replace("doc_id long", "doc_id string"))
+    made = rows.mapInPandas(releasing(cut), PIECES.replace("doc_id long", "doc_id string"))
     return made.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
@@ -193,7 +193,9 @@ def first_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarra
 
 def pack(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, group_size: int = GROUP) -> DataFrame:
     """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    cut = stored(pieces(docs, tokenizer_path, sequence), "pieces").withColumn("row", F.monotonically_increasing_id())
+    with light_batches(docs.sparkSession):
+        cut = stored(pieces(docs, tokenizer_path, sequence), "pieces")
+    cut = cut.withColumn("row", F.monotonically_increasing_id())
     whole = cut.filter(F.col("length") == sequence)
     rest = cut.filter(F.col("length") < sequence)
     groups = max(1, -(-rest.count() // group_size))
