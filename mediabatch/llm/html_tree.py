@@ -10,7 +10,7 @@ TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^<>]*)>",
     re.S,
 )
-ATTRIBUTE = re.compile(r"(class|id|role|itemprop|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/]|\Z)", re.I)
+ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|itemprop|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/]|\Z)", re.I)
 PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 # What HTML's elements are; fixed values of the format.
@@ -37,12 +37,20 @@ CONTENT = {"article", "main"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu", "menubar", "toolbar"}
 WORDS = {
     "ad", "ads", "adbox", "adslot", "advert", "adverts", "advertisement", "advertising", "alert", "banner", "breadcrumb",
-    "breadcrumbs", "byline", "comment", "commentlist", "comments", "consent", "cookie", "cookies", "discussion", "disqus", "footer",
+    "breadcrumbs", "comment", "commentlist", "comments", "consent", "cookie", "cookies", "discussion", "disqus", "footer",
     "gdpr", "header", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices",
     "overlay", "pager", "pagination", "popup", "promo", "promoted", "promotion", "recommended", "related", "replies", "reply",
     "respond", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "topbar",
     "widget", "widgets",
 }
+# Words that add nothing to a furniture word's meaning: a name of these and at least one of WORDS is furniture anywhere.
+NEUTRAL = {
+    "area", "articles", "bar", "block", "bottom", "box", "container", "global", "inner", "item", "items", "left", "link", "links",
+    "list", "outer", "posts", "right", "row", "site", "thread", "top", "wrap", "wrapper",
+}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+# The container of a page's text is the lowest element that holds this share of it.
+CONTAINS = 0.8
 
 
 class Page:
@@ -53,8 +61,10 @@ class Page:
         self.parents: list[int] = [-1]
         self.children: list[dict[str, int]] = [{}]
         self.blocks: list[tuple[int, str]] = []
-        # Open elements: tag, node of the innermost block, whether left out, whether inside content.
-        self.stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
+        # Of each block whether a name hints at furniture, and whether it is inside content.
+        self.hints: list[tuple[bool, bool]] = []
+        # Open elements: tag, node of the innermost block, whether left out, whether inside content, whether hinted at.
+        self.stack: list[tuple[str, int, bool, bool, bool]] = [("", 0, False, False, False)]
         self.buffer: list[str] = []
         self._read(source)
 
@@ -62,7 +72,9 @@ class Page:
         if self.buffer:
             text = " ".join("".join(self.buffer).split())
             if text:
-                self.blocks.append((self.stack[-1][1], text))
+                _, node, _, inside, hinted = self.stack[-1]
+                self.blocks.append((node, text))
+                self.hints.append((hinted, inside))
             self.buffer = []
 
     def _node(self, parent: int, tag: str, names: str) -> int:
@@ -109,12 +121,12 @@ class Page:
                             break
                     elif open_tag in scope:
                         break
-        names, left_out, content = "", False, tag in CONTENT
-        _, node, outside, inside = self.stack[-1]
+        names, left_out, content, hinted = "", False, tag in CONTENT, False
+        _, node, outside, inside, above = self.stack[-1]
         if attributes and not attributes.isspace():
             for kind, a, b, c in ATTRIBUTE.findall(attributes):
                 kind, value = kind.lower(), a or b or c
-                if kind == "hidden" or kind == "aria-hidden" and value.lower() == "true":
+                if kind == "hidden":
                     left_out = True
                 elif kind == "role":
                     left_out |= value.lower() in ROLES
@@ -122,9 +134,14 @@ class Page:
                 elif kind == "itemprop":
                     content |= value.lower() == "articlebody"
                 else:
-                    words = {w.lower() for w in PARTS.findall(value)}
-                    if tag not in ("html", "body") and tag not in CONTENT and words & WORDS:
-                        left_out = True
+                    if tag not in ("html", "body") and tag not in CONTENT:
+                        for name in value.split():
+                            words = {w.lower() for w in PARTS.findall(name)}
+                            marks = words & WORDS
+                            if inside and words == {"header"}:  # an article's own
+                                continue
+                            hinted |= block and bool(marks)
+                            left_out |= bool(marks) and words <= WORDS | NEUTRAL
                     if kind == "class":
                         names = re.sub(r"[0-9]+", "0", " ".join(sorted(value.split())))
         if tag in FURNITURE or tag == "header" and not inside:
@@ -133,7 +150,7 @@ class Page:
             return
         if block:
             node = self._node(node, tag, names)
-        self.stack.append((tag, node, outside or left_out, inside or content))
+        self.stack.append((tag, node, outside or left_out, inside or content, above or hinted))
 
     def _read(self, source: str) -> None:
         at, stack = 0, self.stack
@@ -174,9 +191,56 @@ class Page:
     def _text(self, raw: str) -> None:
         self.buffer.append(html.unescape(raw) if "&" in raw else raw)
 
+    def _container(self) -> int:
+        """The lowest element, no paragraph or row of a list, that holds `CONTAINS` of the text no name hints at; an `article`
+        or `main` around it goes before it."""
+        sizes = [0] * len(self.labels)
+        for (node, text), (hinted, inside) in zip(self.blocks, self.hints, strict=True):
+            if inside or not hinted:
+                sizes[node] += len(text)
+        for i in range(len(sizes) - 1, 0, -1):
+            sizes[self.parents[i]] += sizes[i]
+        node, down = 0, True
+        while down:
+            down = False
+            for x in self.children[node].values():
+                if sizes[x] and sizes[x] >= CONTAINS * sizes[0] and self._tag(x) not in REPEATED:
+                    node, down = x, True
+                    break
+        at = node
+        while at > 0:
+            if self._tag(at) in CONTENT:
+                node = at
+            at = self.parents[at]
+        return node
+
+    def _tag(self, node: int) -> str:
+        return self.labels[node].partition(".")[0]
+
     def content(self) -> list[tuple[int, str]]:
-        """All blocks that are no furniture by element, role or class, in page order: (node, text)."""
-        return self.blocks
+        """All blocks that are no furniture, in page order: (node, text).
+
+        Elements, roles and names that say nothing else are furniture anywhere. A name that only holds such a word
+        (`section-header`, `related-work`) counts outside the container of the page's text, inside it says nothing.
+        """
+        if not any(hinted for hinted, _ in self.hints):
+            return self.blocks
+        within = [False] * len(self.labels)
+        within[self._container()] = True
+        for i in range(1, len(within)):
+            within[i] |= within[self.parents[i]]
+        return [b for b, (hinted, _) in zip(self.blocks, self.hints, strict=True) if within[b[0]] or not hinted]
+
+    def leads(self, blocks: list[tuple[int, str]]) -> list[int]:
+        """For each heading the place of the next block that is none, if both stand in one element; else -1."""
+        out, following = [-1] * len(blocks), -1
+        for i in range(len(blocks) - 1, -1, -1):
+            node = blocks[i][0]
+            if self._tag(node) not in HEADINGS:
+                following = i
+            elif following >= 0 and self.parents[node] == self.parents[blocks[following][0]]:
+                out[i] = following
+        return out
 
     def skeleton(self) -> str:
         """The tree as text: each node's parent and label."""

@@ -144,3 +144,156 @@ def test_template_of_two_pages_and_of_a_page_type(spark, rows_of, tmp_path):
     assert got[10] == got[11] == "one page\n\nstored twice"
     assert [got[100 + i] for i in range(8)] == [f"Text {i}." for i in range(8)]
     assert got[110] == "Told by 10.\n\nText 10."
+
+
+def article(head, parts, around="<div class=top>Welcome to this site</div>"):
+    return f"<body>{around}<div class=text><h1>{head}</h1>{''.join(f'<p>{p}</p>' for p in parts)}</div></body>"
+
+
+def test_revisions_of_an_article_keep_what_they_share(spark, rows_of):
+    parts = [f"Paragraph {i} of the article that was revised later on." for i in range(6)]
+    rows = [(i, f"https://two.example/{i}", article(f"Headline {i}", parts)) for i in range(2)]
+    # On a large host the revisions are a small part; its template goes from them as well.
+    rows += [(10 + i, f"https://large.example/{i}", article(f"Headline {i}", [f"Own text {i}.", f"More of {i}."])) for i in range(8)]
+    rows += [(20 + i, f"https://large.example/r{i}", article(f"Revision {i}", parts)) for i in range(2)]
+    got = {i: t for i, _, t, _ in rows_of(html_wrapper.extract(spark.createDataFrame(rows, SCHEMA), least_pages=2))}
+    for i in range(2):
+        assert all(p in got[i] and p in got[20 + i] for p in parts)
+        assert got[20 + i] == "\n\n".join([f"Revision {i}", *parts])
+    assert got[13] == "Headline 3\n\nOwn text 3.\n\nMore of 3."
+
+
+def test_headings_before_varying_text_stay(spark, rows_of):
+    def page(i):
+        return (
+            f"<body><h3>Recent posts</h3><ul><li>Post {i}</ul><div><h1>Title {i}</h1><h2>Introduction</h2><p>First {i}.</p><p>Second {i}.</p>"
+            f"<h2>Conclusion</h2><p>Last {i}.</p><h2>Imprint</h2><p>Printed by us.</p></div></body>"
+        )
+
+    rows = [(i, f"https://two.example/{i}", page(i)) for i in range(2)]
+    got = {i: t for i, _, t, _ in rows_of(html_wrapper.extract(spark.createDataFrame(rows, SCHEMA), least_pages=2))}
+    for i in range(2):
+        assert got[i] == f"Post {i}\n\nTitle {i}\n\nIntroduction\n\nFirst {i}.\n\nSecond {i}.\n\nConclusion\n\nLast {i}."
+
+
+@pytest.mark.parametrize("open_tag, close_tag", [("<article>", "</article>"), ("<div class=text>", "</div>"), ("", "")])
+def test_names_inside_the_text_that_only_hold_a_furniture_word(open_tag, close_tag):
+    inside = (
+        "<h1>Title</h1><p>A long paragraph of the article, with many words.</p><div class='section-header'><h2>Part</h2></div>"
+        "<div class='related-work'><p>Others wrote on it.</p></div><p class='notice-board-history'>Boards were black.</p>"
+        "<p class=byline>By A. Writer</p><p><span aria-hidden='true'>Seen</span> text</p>"
+    )
+    furniture = (
+        "<div class='site-header'>site</div><div class='ad'>buy</div><div class='cookie-notice'>c</div><ul class='comment-list'><li>nice</ul>"
+        "<div class='newsletter'>join</div><p hidden>not shown</p>"
+    )
+    expected = "Title\n\nA long paragraph of the article, with many words.\n\nPart\n\nOthers wrote on it.\n\nBoards were black.\n\nBy A. Writer\n\nSeen text"
+    assert text_of(f"<body>{furniture}{open_tag}{inside}{close_tag}</body>") == expected
+    assert text_of(f"<body>{open_tag}{inside}{furniture}{close_tag}</body>") == expected
+
+
+def test_names_that_hold_a_furniture_word_outside_the_text():
+    text = "<div class=text><h1>Title</h1><p>A long paragraph of the article, with many words.</p></div>"
+    outside = "<div class='story-related-teaser'><p>Read this.</p></div><section class='visitor-comments-zone'><p>nice</p></section>"
+    assert text_of(f"<body>{outside}{text}{outside}</body>") == "Title\n\nA long paragraph of the article, with many words."
+    # A hint at an element around the article itself says nothing.
+    assert text_of(f"<body><div class='widget-layout'><article>{text}</article></div><p>x</p></body>").startswith("Title\n\nA long")
+
+
+def by_definition(pages, share, least):
+    """The module's definition, host by host, over whole pages and slots worked out for every page."""
+    from collections import Counter, defaultdict
+
+    from mediabatch.llm.html_tree import slots
+
+    hosts, out = defaultdict(list), {}
+    for i, url, source in pages:
+        page = Page(source)
+        blocks = page.content()
+        hosts[url.split("/")[2]].append((i, page.skeleton(), blocks, page.leads(blocks)))
+    for own in hosts.values():
+        trees = Counter(skeleton for _, skeleton, *_ in own)
+        reference = max(trees, key=lambda t: (trees[t], t))
+        different = {(skeleton, frozenset(blocks)) for _, skeleton, blocks, _ in own}
+        place = {(t, tag): slots(t, reference, tag) for t in trees for tag in (False, True)}
+        on, has = Counter(), Counter()
+        for skeleton, blocks in different:
+            for tag in (False, True):
+                at = place[skeleton, tag]
+                on.update({(tag, at[n], t): sum(1 for m, u in blocks if at[m] == at[n] and u == t) for n, t in blocks})
+                has.update({(tag, s): sum(1 for m in {m for m, _ in blocks} if at[m] == s) for s in {at[n] for n, _ in blocks}})
+
+        def constant(skeleton, n, t):
+            slot = [(tag, place[skeleton, tag][n]) for tag in (False, True)]
+            return any(on[s, x, t] >= max(least, share * has[s, x]) for s, x in slot)
+
+        holders = defaultdict(list)
+        for skeleton, blocks in different:
+            same = {b for b in blocks if constant(skeleton, *b)}
+            rest = blocks - same
+            a, b = (sum(len(t) for _, t in x) for x in (rest, same))
+            for t in {t for _, t in same}:
+                holders[t].append((len(rest) >= len(same) or a >= b, 4 * len(rest) >= len(same) or 4 * a >= b))
+        template = {
+            t for t, h in holders.items() if sum(c for c, _ in h) >= 2 or len(h) >= 4 and sum(likely for _, likely in h) >= 2
+        }
+        for i, skeleton, blocks, leads in own:
+            gone = [t in template and constant(skeleton, n, t) for n, t in blocks]
+            kept = [t for (_, t), g, x in zip(blocks, gone, leads, strict=True) if not g or x >= 0 and not gone[x]]
+            out[i] = "\n\n".join(kept if not all(gone) else [t for _, t in blocks])
+    return out
+
+
+def test_extraction_equals_its_definition_on_small_hosts(spark, rows_of):
+    import random
+
+    rng, rows = random.Random(5), []
+    for site in range(12):
+        template = [f"Template {k} of site {site}" for k in range(4)]
+        shared = [f"Shared paragraph {k} of site {site}." for k in range(5)]
+        for i in range(rng.randint(1, 7)):
+            top = "".join(f"<div class='t{'ab'[k % 2]}'>{template[k]}</div>" for k in range(4) if rng.random() < 0.7)
+            body = [rng.choice(shared) if rng.random() < 0.4 else f"Own {rng.randint(0, 999)} {i}." for _ in range(rng.randint(0, 6))]
+            body = "".join(f"<h2>{rng.choice(['Notes', 'Part'])}</h2><p>{b}</p>" if rng.random() < 0.3 else f"<p>{b}</p>" for b in body)
+            tag = rng.choice(["div", "div", "section"])
+            rows.append((len(rows), f"https://s{site}.example/{i}", f"<body>{top}<{tag}><h1>Head {i}</h1>{body}</{tag}></body>"))
+    rows += [(len(rows) + i, u, h) for i, (_, u, h) in enumerate(rows[:5])]
+    for least in (2, 4):
+        got = {i: t for i, _, t, _ in rows_of(html_wrapper.extract(spark.createDataFrame(rows, SCHEMA).repartition(3), least_pages=least))}
+        assert got == by_definition(rows, 0.5, least)
+
+
+def test_articles_of_the_pages_table_come_out_whole(spark, rows_of):
+    """Recall and precision by words against the text of each page's `article`, read by the standard library's parser."""
+    from collections import Counter
+    from html.parser import HTMLParser
+
+    from mediabatch.llm.queries import op6_html_text
+
+    class Article(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.depth, self.text = 0, []
+
+        def handle_starttag(self, tag, attrs):
+            self.depth += tag == "article"
+            self.text.append(" ")
+
+        def handle_endtag(self, tag):
+            self.depth -= tag == "article"
+            self.text.append(" ")
+
+        def handle_data(self, data):
+            if self.depth > 0:
+                self.text.append(data)
+
+    sf_dir = "/root/testdata/sf0.01"
+    got = {i: t for i, _, t, _ in rows_of(op6_html_text(spark, sf_dir))}
+    right = wanted = given = 0
+    for row in spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "html").collect():
+        reader = Article()
+        reader.feed(row.html or "")
+        a, b = Counter("".join(reader.text).split()), Counter(got[row.page_id].split())
+        right, wanted, given = right + sum((a & b).values()), wanted + sum(a.values()), given + sum(b.values())
+    print(right / wanted, right / given)
+    assert right >= 0.99 * wanted and right >= 0.99 * given
