@@ -1,14 +1,17 @@
 """Quality classifier: perplexity per word under an interpolated modified Kneser-Ney model of trusted text, order 3.
 
-Units are words, single signs and single letters of scripts written without spaces; each text ends with an end unit. An n-gram
-is known by a 64-bit hash of its units, so the model holds every n-gram of the trusted texts and grows with them. A word that
-the trusted texts do not have is of one unknown class. Trusted texts, thresholds and what is kept are as in `quality_lm`.
+Units are words, single signs and single letters of scripts written without spaces; each text ends with an end unit. Units
+are known by 64-bit hashes, so the model holds every n-gram of the trusted texts and grows with them. A word that the trusted
+texts do not have is of one unknown class. Trusted texts, thresholds and what is kept are as in `quality_lm`.
 
-Scoring is one join. With interpolation every known n-gram's context and shorter n-grams are known too, so a text's log
-probability is a sum of independent values: of each of its n-grams what it adds to the back-off below it, of each context its
-back-off weight, and of each unit the unknown class's share. The `HEAD` most frequent keys are added where the text is read;
-all others are counted per document, dealt by key to the model and summed by row. Up to `PASSES` shares of the rows follow one
-another, of `PASS` characters at least, which bounds the disk that the dealt n-grams take.
+Texts are cut into units once; all later passes read the stored hashes. A trigram's context, its shorter n-gram and that one's
+context all hold its middle unit, so the shares by middle unit are counted, weighted and matched with the documents' trigrams one
+after another, and the weights of trigrams are never stored. With interpolation every known n-gram's context and shorter
+n-grams are known too, so a text's log probability is a sum of independent values: of each of its n-grams what it adds to the
+back-off below it, of each context its back-off weight, and of each unit the unknown class's share. Trigrams are joined share by
+share; pairs and words then in one model (key, value), of which the `HEAD` most frequent keys are added where the units are
+read. All others are counted per document, dealt by key and summed by row. There are up to `PASSES` shares, of `PASS`
+characters at least, which bounds the disk that dealt n-grams take.
 
 Defined cases: as in `quality_lm`; a text of white space only has its end unit and is scored.
 """
@@ -21,10 +24,10 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mediabatch.llm.common import ROW, rows_among, stored, whole_text, with_row
+from mediabatch.llm.common import ROW, light_batches, releasing, small, stored, whole_text, with_row
 from mediabatch.llm.quality_lm import QUANTILE, _discount, discounts, judged, pieces, trusted_ids
 
 HEAD = 1 << 19
@@ -34,7 +37,8 @@ ALONE = "฀-໿က-႟ក-៿぀-ヿ㐀-鿿豈-﫿\U00020000-\U0003ffff"
 UNIT = re.compile(rf"[{ALONE}]|[^\W{ALONE}]+|[^\w\s]")
 # No text has such units.
 EDGE, END = " edge", " end"
-COLUMNS = ["g3", "c3", "g2", "w2", "w3"]
+RUN = 1 << 20
+TURN = 21
 
 
 def mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -47,36 +51,84 @@ def hashes(units: list[str]) -> np.ndarray:
     return pd.util.hash_array(np.array(units, object), categorize=True)
 
 
-def trigrams(texts: list[str]) -> tuple[dict[str, np.ndarray], np.ndarray]:
-    """Of each unit the n-grams that end there, their contexts and words; and the number of its text."""
-    flat, sizes = [], []
+def join_units(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The key of `a` followed by `b`; `joined_key` is the same in Spark."""
+    return (a << np.uint64(TURN) | a >> np.uint64(64 - TURN)) ^ b
+
+
+def joined_key(a: Column, b: Column) -> Column:
+    return F.shiftleft(a, TURN).bitwiseOR(F.shiftrightunsigned(a, 64 - TURN)).bitwiseXOR(b)
+
+
+def encode(texts: list[str]) -> list[np.ndarray]:
+    """Each text's units, edges before and the end behind them."""
+    flat, ends = [], []
     for text in texts:
-        own = UNIT.findall(text)
-        flat += [EDGE, EDGE, *own, END]
-        sizes.append(len(own) + 3)
-    w = hashes(flat)
-    owner = np.repeat(np.arange(len(texts)), sizes)
+        flat += [EDGE, EDGE, *UNIT.findall(text), END]
+        ends.append(len(flat))
+    return np.split(hashes(flat), ends[:-1]) if texts else []
+
+
+def grams(units: list[np.ndarray], share: int = 0, shares: int = 1) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """Of each place whose unit before is of the share: the n-grams that end there and their units; and the number of its text."""
+    sizes = np.array([len(u) for u in units], np.int64)
+    w = np.concatenate(units).view(np.uint64)
+    owner = np.repeat(np.arange(len(units)), sizes)
     starts = np.cumsum(sizes) - sizes
     inside = np.ones(len(w), bool)
     inside[starts] = inside[starts + 1] = False
     at = np.flatnonzero(inside)
+    if shares > 1:
+        at = at[w[at - 1] % np.uint64(shares) == share]
     w1, w2, w3 = w[at - 2], w[at - 1], w[at]
-    g2 = mix(w2, w3)
-    return {"g3": mix(w1, g2), "c3": mix(w1, w2), "g2": g2, "w2": w2, "w3": w3}, owner[at]
+    return {"g3": join_units(join_units(w1, w2), w3), "g2": join_units(w2, w3), "w1": w1, "w2": w2, "w3": w3}, owner[at]
 
 
-def gram_counts(texts: DataFrame) -> DataFrame:
-    """The different trigrams with contexts, shorter n-grams and number."""
+def trigrams(texts: list[str]) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    return grams(encode(texts))
 
-    def count(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def encoded(rows: DataFrame) -> DataFrame:
+    """The units of each row (row key, trusted, text), as a stored table."""
+
+    def read(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for _, run in pieces(batch["text"].tolist()):
-                found, _ = trigrams(run)
-                _, at, n = np.unique(found["g3"], return_index=True, return_counts=True)
-                yield pd.DataFrame({k: v[at].view(np.int64) for k, v in found.items()} | {"n": n})
+            for start, run in pieces(batch["text"].tolist()):
+                part = batch.iloc[start : start + len(run)]
+                own = [u.view(np.int64) for u in encode(run)]
+                yield pd.DataFrame({ROW: part[ROW].to_numpy(), "trusted": part["trusted"].to_numpy(), "units": own})
+
+    return stored(rows.select(ROW, "trusted", "text").mapInPandas(releasing(read), f"{ROW} long, trusted boolean, units array<long>"), "units")
+
+
+def unit_runs(batches: Iterable[pd.DataFrame]) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+    """Row keys and units, about `RUN` units at a time."""
+    for batch in batches:
+        rows, units = batch[ROW].to_numpy(np.int64), batch["units"].tolist()
+        first, size = 0, 0
+        for i, own in enumerate(units):
+            size += len(own)
+            if size >= RUN or i == len(units) - 1:
+                yield rows[first : i + 1], units[first : i + 1]
+                first, size = i + 1, 0
+
+
+def gram_counts(units: DataFrame, share: int, shares: int) -> DataFrame:
+    """The share's different trigrams (w1, w2, w3) with their numbers."""
+
+    def count(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for _, run in unit_runs(batches):
+            found, _ = grams(run, share, shares)
+            _, at, n = np.unique(found["g3"], return_index=True, return_counts=True)
+            yield pd.DataFrame({k: found[k][at].view(np.int64) for k in ("w1", "w2", "w3")} | {"n": n})
 
-    schema = ", ".join(f"{c} long" for c in [*COLUMNS, "n"])
-    return texts.select("text").mapInPandas(count, schema).groupBy(*COLUMNS).agg(F.sum("n").alias("n"))
+    rows = units.filter("trusted").select(ROW, "units").mapInPandas(releasing(count), "w1 long, w2 long, w3 long, n long")
+    return rows.groupBy("w1", "w2", "w3").agg(F.sum("n").alias("n"))
+
+
+def let_go(table: DataFrame) -> None:
+    """Lets the files of finished shuffles go."""
+    table.sparkSession._jvm.System.gc()
 
 
 def remove(*tables: DataFrame) -> None:
@@ -86,112 +138,143 @@ def remove(*tables: DataFrame) -> None:
         for name in table.inputFiles()[:1]:
             place = jvm.org.apache.hadoop.fs.Path(name).getParent()
             place.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
-    jvm.System.gc()
+    let_go(tables[0])
+
+
+def together(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for table in tables[1:]:
+        out = out.unionByName(table)
+    return out
 
 
-def train(texts: DataFrame) -> tuple[DataFrame, float]:
-    """The model as a stored table (key, value, n), and the log probability of an unknown unit."""
-    level = {3: stored(gram_counts(texts), "grams")}
-    level[2] = stored(level[3].groupBy("g2", "w2", "w3").agg(F.count("*").alias("n")), "grams")
-    level[1] = stored(level[2].groupBy("w3").agg(F.count("*").alias("n")), "grams")
+def weights(level: DataFrame, d: list[float], *context: str) -> DataFrame:
+    """Per context the total, the back-off weight and how often it was seen."""
     n = F.col("n")
+    sums = level.groupBy(*context).agg(
+        F.sum("n").cast("double").alias("total"), F.sum(_discount(n, d)).alias("taken"), F.sum("n").alias("seen")
+    )
+    return sums.withColumn("back", F.col("taken") / F.col("total"))
+
+
+def own_share(d: list[float]) -> Column:
+    return F.greatest(F.col("n") - _discount(F.col("n"), d), F.lit(0.0)) / F.col("total")
+
 
-    def weights(k: int, *context: str) -> DataFrame:
-        d = discounts(level[k])
-        sums = level[k].groupBy(*context).agg(
-            F.sum("n").cast("double").alias("total"), F.sum(_discount(n, d)).alias("taken"), F.sum("n").alias("seen")
-        )
-        return sums.withColumn("back", F.col("taken") / F.col("total"))
+def trigram_sums(units: DataFrame, model: DataFrame, share: int, shares: int) -> DataFrame:
+    """Per row what the share's trigrams add to the back-off below them; `model` is (key, value)."""
 
-    def own(k: int):
-        return F.greatest(n - _discount(n, discounts(level[k])), F.lit(0.0)) / F.col("total")
+    def ask(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows, run in unit_runs(batches):
+            found, owner = grams(run, share, shares)
+            _, at, n = np.unique(mix(owner.astype(np.uint64), found["g3"]), return_index=True, return_counts=True)
+            yield pd.DataFrame({ROW: rows[owner[at]], "key": found["g3"][at].view(np.int64), "times": n.astype(np.int32)})
 
-    kinds = level[1].count() + 1
-    base = weights(1).first()
+    asked = units.select(ROW, "units").mapInPandas(releasing(ask), f"{ROW} long, key long, times int")
+    return asked.join(model, "key").groupBy(ROW).agg(F.sum(F.col("times") * F.col("value")).alias("loglik"))
+
+
+def score_trigrams(units: DataFrame, shares: int) -> tuple[DataFrame, list[DataFrame], float, bool]:
+    """The model of pairs and words as a stored table (key, value, n), each share's sums per row as stored tables, the log
+    probability of an unknown unit, and whether there is any trusted text."""
+    thirds, seconds = [], []
+    for share in range(shares):
+        thirds.append(stored(gram_counts(units, share, shares), "grams"))
+        seconds.append(stored(thirds[-1].groupBy("w2", "w3").agg(F.count("*").alias("n")), "grams"))
+        let_go(units)
+    first = stored(together(seconds).groupBy("w3").agg(F.count("*").alias("n")), "grams")
+    d1, d2, d3 = discounts(first), discounts(together(seconds)), discounts(together(thirds))
+    kinds = first.count() + 1
+    base = weights(first, d1).first()
     unknown = (base["back"] or 1.0) / kinds
-    total = base["total"] or 1.0
-    p1 = F.greatest(n - _discount(n, discounts(level[1])), F.lit(0.0)) / F.lit(total) + F.lit(unknown)
-    one = stored(level[1].select("w3", "n", p1.alias("p1")), "words")
-    two_weights = stored(weights(2, "w2"), "contexts")
-    two = level[2].join(two_weights.select("w2", "total", "back"), "w2").join(one.select("w3", "p1"), "w3")
-    below = F.col("back") * F.col("p1")
-    two = stored(two.select("g2", "n", (own(2) + below).alias("p2"), below.alias("below")), "pairs")
-    three_weights = stored(weights(3, "c3"), "contexts")
-    three = level[3].join(three_weights.select("c3", "total", "back"), "c3").join(two.select("g2", "p2"), "g2")
-    below = F.col("back") * F.col("p2")
-    three = three.select(F.col("g3").alias("key"), F.log((own(3) + below) / below).alias("value"), "n")
-    parts = [
-        two.select(F.col("g2").alias("key"), F.log(F.col("p2") / F.col("below")).alias("value"), "n"),
-        one.select(F.col("w3").alias("key"), F.log(F.col("p1") / unknown).alias("value"), "n"),
-        two_weights.select(F.col("w2").alias("key"), F.log("back").alias("value"), F.col("seen").alias("n")),
-        three_weights.select(F.col("c3").alias("key"), F.log("back").alias("value"), F.col("seen").alias("n")),
-    ]
+    p1 = F.greatest(F.col("n") - _discount(F.col("n"), d1), F.lit(0.0)) / F.lit(base["total"] or 1.0) + F.lit(unknown)
+    one = stored(first.select("w3", "n", p1.alias("p1")), "words")
+    parts = [one.select(F.col("w3").alias("key"), F.log(F.col("p1") / unknown).alias("value"), "n")]
+    sums, done = [], []
+    for share, (third, second) in enumerate(zip(thirds, seconds, strict=True)):
+        two_weights = stored(weights(second, d2, "w2"), "contexts")
+        below = F.col("back") * F.col("p1")
+        two = second.join(two_weights.select("w2", "total", "back"), "w2").join(one.select("w3", "p1"), "w3")
+        two = stored(two.select("w2", "w3", "n", (own_share(d2) + below).alias("p2"), below.alias("below")), "pairs")
+        three_weights = stored(weights(third, d3, "w1", "w2"), "contexts")
+        below = F.col("back") * F.col("p2")
+        three = third.join(three_weights.select("w1", "w2", "total", "back"), ["w1", "w2"]).join(two.select("w2", "w3", "p2"), ["w2", "w3"])
+        key = joined_key(joined_key(F.col("w1"), F.col("w2")), F.col("w3"))
+        three = three.select(key.alias("key"), F.log((own_share(d3) + below) / below).alias("value"))
+        sums.append(stored(trigram_sums(units, three, share, shares), "sums"))
+        shorter = [
+            two.select(joined_key(F.col("w2"), F.col("w3")).alias("key"), F.log(F.col("p2") / F.col("below")).alias("value"), "n"),
+            two_weights.select(F.col("w2").alias("key"), F.log("back").alias("value"), F.col("seen").alias("n")),
+            three_weights.select(joined_key(F.col("w1"), F.col("w2")).alias("key"), F.log("back").alias("value"), F.col("seen").alias("n")),
+        ]
+        parts.append(stored(together(shorter), "values"))
+        done.append(parts[-1])
+        remove(third, second, two, two_weights, three_weights)
     # A pair or word is an n-gram at one place and the context of the next: one look-up gives both.
-    shorter = parts[0]
-    for part in parts[1:]:
-        shorter = shorter.unionByName(part)
-    shorter = shorter.groupBy("key").agg(F.sum("value").alias("value"), F.sum("n").alias("n"))
-    model = stored(three.unionByName(shorter), "model")
-    remove(*level.values(), one, two, two_weights, three_weights)
-    return model, math.log(unknown)
-
-
-def log_likelihoods(docs: DataFrame, model: DataFrame, unknown: float, head: int = HEAD, passes: int | None = None) -> DataFrame:
-    """Per row of `docs` (row key, text): the sum of log probabilities and the number of units, as a stored table."""
-    spark = docs.sparkSession
-    if passes is None:
-        passes = min(PASSES, 1 + (docs.agg(F.sum(F.char_length("text"))).first()[0] or 0) // PASS)
+    model = stored(together(parts).groupBy("key").agg(F.sum("value").alias("value"), F.sum("n").alias("n")), "model")
+    remove(first, one, *done)
+    return model, sums, math.log(unknown), kinds > 1
+
+
+def score_shorter(units: DataFrame, model: DataFrame, unknown: float, head: int, passes: int) -> list[DataFrame]:
+    """Per row the sum of what pairs and words add, and the number of units, as stored tables."""
+    spark = units.sparkSession
     first = model.orderBy(F.desc("n"), "key").limit(head).select("key", "value").toPandas().sort_values("key")
     shared = spark.sparkContext.broadcast((first["key"].to_numpy(np.int64), first["value"].to_numpy(np.float64)))
     edge = hashes([EDGE])
-    opening = np.concatenate([mix(edge, edge), edge])
+    opening = np.concatenate([join_units(edge, edge), edge])
 
     def count(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known, values = shared.value
-        for batch in batches:
-            rows = batch[ROW].to_numpy(np.int64)
-            for start, run in pieces(batch["text"].tolist()):
-                found, owner = trigrams(run)
-                texts = np.arange(len(run))
-                units = np.bincount(owner, minlength=len(run))
-                keys = np.concatenate([found["g3"], found["g2"], found["w3"], *(np.repeat(x, len(run)) for x in opening)])
-                owner = np.concatenate([owner, owner, owner, texts, texts])
-                _, at, n = np.unique(mix(owner.astype(np.uint64), keys), return_index=True, return_counts=True)
-                keys, owner = keys[at].view(np.int64), owner[at]
-                total, hit = units * unknown, np.zeros(len(keys), bool)
-                if len(known):
-                    place = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-                    hit = known[place] == keys
-                    total += np.bincount(owner[hit], n[hit] * values[place[hit]], len(run))
-                rest = ~hit
-                # What is known of a text here travels as a row of its own, which asks for nothing.
-                own = rows[start : start + len(run)]
-                yield pd.DataFrame({ROW: own, "key": own, "n": 0, "units": units, "value": total})
-                yield pd.DataFrame({ROW: own[owner[rest]], "key": keys[rest], "n": n[rest], "units": 0, "value": 0.0})
-
-    out = None
+        for own, run in unit_runs(batches):
+            found, owner = grams(run)
+            texts = np.arange(len(run))
+            n_units = np.bincount(owner, minlength=len(run))
+            keys = np.concatenate([found["g2"], found["w3"], *(np.repeat(x, len(run)) for x in opening)])
+            owner = np.concatenate([owner, owner, texts, texts])
+            _, at, n = np.unique(mix(owner.astype(np.uint64), keys), return_index=True, return_counts=True)
+            keys, owner = keys[at].view(np.int64), owner[at]
+            total, hit = n_units * unknown, np.zeros(len(keys), bool)
+            if len(known):
+                place = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                hit = known[place] == keys
+                total += np.bincount(owner[hit], n[hit] * values[place[hit]], len(run))
+            rest = ~hit
+            # What is known of a text here travels as a row of its own, which asks for nothing.
+            yield pd.DataFrame({ROW: own, "key": own, "n": 0, "units": n_units, "value": total})
+            yield pd.DataFrame({ROW: own[owner[rest]], "key": keys[rest], "n": n[rest], "units": 0, "value": 0.0})
+
+    out = []
     for i in range(passes):
-        part = docs.filter(F.pmod(F.xxhash64(ROW), F.lit(passes)) == i).select(ROW, "text")
-        asked = part.mapInPandas(count, f"{ROW} long, key long, n long, units long, value double")
+        part = units.filter(F.pmod(F.xxhash64(ROW), F.lit(passes)) == i).select(ROW, "units")
+        asked = part.mapInPandas(releasing(count), f"{ROW} long, key long, n long, units long, value double")
         dealt = asked.join(model.select("key", F.col("value").alias("added")), "key", "left")
         value = F.col("value") + F.col("n") * F.coalesce("added", F.lit(0.0))
-        one = stored(dealt.groupBy(ROW).agg(F.sum(value).alias("loglik"), F.sum("units").alias("units")), "sums")
-        spark._jvm.System.gc()  # lets the finished pass's shuffle files go
-        out = one if out is None else out.unionByName(one)
+        out.append(stored(dealt.groupBy(ROW).agg(F.sum(value).alias("loglik"), F.sum("units").alias("units")), "sums"))
+        let_go(units)
     return out
 
 
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, head: int = HEAD, passes: int | None = None) -> DataFrame:
     """Per document of a stored table: doc_id, lang, n_chars, perplexity, threshold, kept."""
     good = trusted_ids(labels)
-    texts = docs.select("doc_id", whole_text().alias("text"))
-    model, unknown = train(rows_among(texts, stored(good.filter("NOT held_out"), "trusted"), "doc_id"))
     rows = with_row(docs.select("doc_id", "lang", "text")).select(
         ROW, F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), whole_text().alias("text")
     )
-    scores = log_likelihoods(rows, model, unknown, head, passes)
-    facts = rows.select(ROW, "doc_id", "lang", F.char_length("text").cast("long").alias("n_chars"))
-    scored = stored(facts.join(scores, ROW), "scores")
-    has_model = not model.isEmpty()
+    if passes is None:
+        passes = min(PASSES, 1 + (rows.agg(F.sum(F.char_length("text"))).first()[0] or 0) // PASS)
+    training = stored(good.filter("NOT held_out").select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(True).alias("trusted")), "training")
+    with light_batches(docs.sparkSession):
+        marked = rows.join(small(training), "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
+        units = encoded(marked)
+        let_go(units)
+        model, sums, unknown, has_model = score_trigrams(units, passes)
+        shorter = score_shorter(units, model, unknown, head, passes)
+        remove(model, units)
+        added = together([*(s.withColumn("units", F.lit(0).cast("long")) for s in sums), *shorter])
+        scores = added.groupBy(ROW).agg(F.sum("loglik").alias("loglik"), F.sum("units").alias("units"))
+        facts = rows.select(ROW, "doc_id", "lang", F.char_length("text").cast("long").alias("n_chars"))
+        scored = stored(facts.join(scores, ROW), "scores")
+        remove(*sums, *shorter)
     perplexity = F.when((F.col("n_chars") > 0) & F.lit(has_model), F.exp(-F.col("loglik") / F.col("units")))
     return judged(scored.withColumn("perplexity", perplexity), good, quantile)
