@@ -204,3 +204,31 @@ def lifecycle_tiers(objects: DataFrame, as_of: datetime) -> DataFrame:
         if expiry is not None:
             expired = F.when(hit, days >= expiry).otherwise(expired)
     return objects.withColumns({"age_days": days, "rule": rule, "tier": tier, "expired": expired})
+
+
+def lifecycle_by_rules(objects: DataFrame, rules: DataFrame, as_of: datetime) -> DataFrame:
+    """Storage class of each object under a table of rules (store, prefix, age_days, tier); adds age_days, rule and tier.
+
+    The rules of the longest prefix that the key starts with apply, of those the one with the greatest age reached (ties: the
+    last tier by name). An object no rule speaks of, or younger than its rules' ages, is STANDARD; a rule without store, prefix or
+    age is none. Prefixes are met by an equality join: of each key only beginnings as long as some rule's prefix are tried. Objects
+    are told apart by store and key.
+    """
+    days = F.datediff(F.lit(as_of.strftime("%Y-%m-%d")).cast("date"), F.col("last_modified").cast("date"))
+    steps = F.sort_array(F.collect_set(F.struct("age_days", "tier")))
+    by_prefix = rules.dropna(subset=["store", "prefix", "age_days"]).groupBy("store", "prefix").agg(steps.alias("steps"))
+    lengths = by_prefix.groupBy("store").agg(F.collect_set(F.char_length("prefix")).alias("lengths"))
+    # As many lengths as the longest prefix has characters, at most.
+    begun = (
+        objects.select("store", "s3_key")
+        .join(lengths, "store")
+        .select("store", "s3_key", F.explode(F.filter("lengths", lambda n: n <= F.char_length("s3_key"))).alias("length"))
+        .withColumn("prefix", F.expr("substring(s3_key, 1, length)"))
+    )
+    longest = begun.join(by_prefix, ["store", "prefix"]).groupBy("store", "s3_key").agg(
+        F.max_by(F.struct("prefix", "steps"), "length").alias("best")
+    )
+    found = objects.withColumn("age_days", days).join(longest, ["store", "s3_key"], "left")
+    reached = F.filter("best.steps", lambda s: s["age_days"] <= F.col("age_days"))
+    tier = F.coalesce(F.get(reached, F.size(reached) - 1)["tier"], F.lit("STANDARD"))
+    return found.withColumns({"rule": F.col("best.prefix"), "tier": tier}).drop("best")

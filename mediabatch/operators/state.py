@@ -117,15 +117,16 @@ def update_records(current: DataFrame, updates: DataFrame, as_of: datetime) -> D
 
     `updates` has the key, `status` and any of `collage_s3_key`, `processing_duration_ms`,
     `error_message`; NULL (and an empty key or message) leaves the old value. Several updates of a key make
-    one version: they are applied in the order of `ord`, if there is such a column, else in that of their
-    values.
+    one version: they are applied in the order of `ord`, if there is such a column, else in that of a record's life (`processing`
+    before its ends, unknown statuses first), then of their values.
     """
     fields = [c for c in updates.columns if c not in (*KEY, "ord")]
 
     def value(name: str) -> Column:
         return F.nullif(name, F.lit("")) if name in ("collage_s3_key", "error_message") else F.col(name)
 
-    order = F.col("ord") if "ord" in updates.columns else F.struct(*fields)
+    stage = F.when(F.col("status").isin("completed", "failed"), 2).when(F.col("status") == "processing", 1).otherwise(0)
+    order = F.col("ord") if "ord" in updates.columns else F.struct(stage, *fields)
     # The last value of each field that was supplied.
     last = [F.max_by(value(c), F.when(value(c).isNotNull(), order)).alias(f"new_{c}") for c in fields]
     u = updates.groupBy(*KEY).agg(*last)

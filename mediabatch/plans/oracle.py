@@ -637,6 +637,24 @@ FINAL: dict[str, str] = {
              'large-files/', 'other/'][o_orderkey % 8 + 1] AS p,
             ['input', 'input', 'output', 'output', 'temp', 'temp', 'temp', 'output'][o_orderkey % 8 + 1] AS store
           FROM orders)""",
+    "lifecycle_by_rules": """
+        SELECT * FROM (WITH rules AS (
+          SELECT ['input', 'output', 'temp'][n_nationkey + 1] AS store, ['csv-files/', 'collages/', ''][n_nationkey + 1] AS prefix,
+            30 AS age, 'STANDARD_IA' AS tier FROM nation WHERE n_nationkey < 3
+          UNION ALL SELECT 'input', 'csv-files/' || n_nationkey, n_regionkey * 100 + 300, 'GLACIER' FROM nation
+          UNION ALL SELECT 'input', 'csv-files/' || n_nationkey, n_regionkey * 100 + 1200, 'DEEP_ARCHIVE' FROM nation),
+        stored AS (
+          SELECT datediff('day', o_orderdate, TIMESTAMP '1998-06-01') AS days,
+            ['csv-files/', 'archived/failed/', 'collages/', 'results/processing-summaries/', 'processing/', 'debug/',
+             'large-files/', 'other/'][o_orderkey % 8 + 1] || o_orderkey AS s3_key,
+            ['input', 'input', 'output', 'output', 'temp', 'temp', 'temp', 'output'][o_orderkey % 8 + 1] AS store
+          FROM orders),
+        best AS (
+          SELECT s.store, s.s3_key, s.days, max(r.prefix) AS rule
+          FROM stored s LEFT JOIN rules r ON r.store = s.store AND starts_with(s.s3_key, r.prefix) GROUP BY ALL)
+        SELECT b.s3_key, b.store, CAST(b.days AS INTEGER) AS age_days, b.rule,
+          coalesce(arg_max(r.tier, r.age) FILTER (r.age <= b.days), 'STANDARD') AS tier
+        FROM best b LEFT JOIN rules r ON r.store = b.store AND r.prefix = b.rule GROUP BY ALL)""",
     "cell_size": "SELECT * FROM cells",
     "cell_size_by_width": """
         SELECT creator_name, count(*) AS images, 257 AS cell_w,
@@ -749,6 +767,12 @@ FINAL: dict[str, str] = {
           CAST(CASE WHEN kind = 0 THEN k % 7 + 1 WHEN far THEN 0 ELSE 5 END AS INTEGER) AS rows,
           count(*) AS messages FROM routed GROUP BY ALL""",
     "stream_message_items": "SELECT creator_name, cover_url, updated_at FROM message_rows",
+    "redelivered_messages": """
+        SELECT 'order-' || o_orderkey AS sender, 'first' AS body, CASE WHEN o_orderkey % 11 = 0 THEN 2 ELSE 1 END AS messages,
+          CAST(NULL AS VARCHAR) AS reason FROM orders
+        UNION ALL SELECT 'order-' || o_orderkey, 'next', 1, NULL FROM orders WHERE o_orderkey % 5 = 0
+        UNION ALL SELECT 'order-' || o_orderkey, 'late', 1,
+          CASE WHEN o_orderkey % 10 = 0 THEN 'no time of sending' ELSE 'late' END FROM orders WHERE o_orderkey % 7 = 0""",
     "stream_references": """
         SELECT 'item' AS kind, CASE WHEN ord % 3 = 2 THEN 'unknown' ELSE creator_name END AS creator_name, cover_url
         FROM valid

@@ -32,7 +32,7 @@ from mediabatch.plans.tables import EVENTS_AS_OF, ORDERS_AS_OF, Tables, text_tim
 from mediabatch.session import shared_dir
 from mediabatch.sources import csv_records, readers, writers
 from mediabatch.sources.state_log import StateLog
-from mediabatch.streaming import leases, triggers
+from mediabatch.streaming import leases, redelivery, triggers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -692,6 +692,30 @@ def lifecycle_tiers(t: Tables) -> DataFrame:
     return out.select("s3_key", "store", "age_days", "rule", "tier", "expired")
 
 
+@query
+def lifecycle_by_rules(t: Tables) -> DataFrame:
+    """Tiers under a table of overlapping rules: each store's prefix, and a nation's first digits of the order within it."""
+    nation, number = t.raw("nation"), F.col("n_nationkey").cast("string")
+    wide = nation.where("n_nationkey < 3").select(
+        F.element_at(F.array(F.lit("input"), F.lit("output"), F.lit("temp")), F.col("n_nationkey").cast("int") + 1).alias("store"),
+        F.element_at(F.array(F.lit("csv-files/"), F.lit("collages/"), F.lit("")), F.col("n_nationkey").cast("int") + 1).alias("prefix"),
+        F.lit(30).alias("age_days"),
+        F.lit("STANDARD_IA").alias("tier"),
+    )
+    narrow = [
+        nation.select(
+            F.lit("input").alias("store"),
+            F.concat(F.lit("csv-files/"), number).alias("prefix"),
+            (F.col("n_regionkey") * 100 + 300 * step).cast("int").alias("age_days"),
+            F.lit(tier).alias("tier"),
+        )
+        for step, tier in ((1, "GLACIER"), (4, "DEEP_ARCHIVE"))
+    ]
+    rules = wide.unionByName(narrow[0]).unionByName(narrow[1])
+    out = objects.lifecycle_by_rules(t.stored_objects(), rules, datetime(1998, 6, 1))
+    return out.select("s3_key", "store", "age_days", "rule", "tier")
+
+
 # -- layout and images -------------------------------------------------------------------------
 
 
@@ -884,6 +908,44 @@ def stream_message_items(t: Tables) -> DataFrame:
     return t.spark.read.parquet(f"{run}/out/items").select("creator_name", "cover_url", "updated_at")
 
 
+@query
+def redelivered_messages(t: Tables) -> DataFrame:
+    """An inbox that fills in four waves, the stream restarted for each: per sender what was accepted and what is dead.
+
+    First every message twice; then each third again, within the watermark; then new ones that move the watermark by ten hours; then
+    late ones, some without a time, and first ones again that the watermark has passed.
+    """
+    run = _run_folder(t)
+    key = F.col("o_orderkey")
+    start = F.lit(ORDERS_AS_OF).cast("timestamp")
+
+    def wave(rows: DataFrame, kind: str, hours: int) -> DataFrame:
+        at = start + F.make_dt_interval(hours=F.lit(hours), secs=(key % 600).cast("decimal(18,6)"))
+        return rows.select(
+            F.concat(F.lit("order-"), key.cast("string")).alias("sender"), F.lit(kind).alias("body"), at.alias("sent_at")
+        )
+
+    orders = t.raw("orders").select("o_orderkey")
+    first = wave(orders, "first", 0)
+    late = wave(orders.where("o_orderkey % 7 = 0"), "late", 1)
+    undated = F.when(F.col("sender").endswith("0"), F.lit(None)).otherwise(F.col("sent_at")).cast("timestamp")
+    waves = [
+        first.unionByName(first),
+        first.where(F.pmod(F.substring("sender", 7, 20).cast("long"), F.lit(3)) == 0),
+        wave(orders.where("o_orderkey % 5 = 0"), "next", 10),
+        late.withColumn("sent_at", undated).unionByName(wave(orders.where("o_orderkey % 11 = 0"), "first", 10)),
+    ]
+    for number, rows in enumerate(waves):
+        rows.write.parquet(f"{run}/inbox/wave={number}")
+        redelivery.accept_stream(t.spark, f"{run}/inbox", f"{run}/out", f"{run}/checkpoint").awaitTermination()
+    accepted = t.spark.read.parquet(f"{run}/out")
+    dead = redelivery.late_letters(redelivery.received(t.spark, f"{run}/inbox"), accepted)
+    taken = accepted.groupBy("sender", "body").agg(F.count(F.lit(1)).alias("messages"))
+    return taken.withColumn("reason", F.lit(None).cast("string")).unionByName(
+        dead.select("sender", "body", F.col("deliveries").alias("messages"), "reason")
+    )
+
+
 @query
 def stream_references(t: Tables) -> DataFrame:
     """Messages that name stored files of three headers, a file that is no CSV, a folder and files that are not there.

@@ -286,3 +286,11 @@ def test_log_reads_prune_days(spark, tmp_path):
         plan = rows._jdf.queryExecution().executedPlan().toString()
         assert "PartitionFilters: [isnotnull(processing_date" in plan
         assert rows.count() == n
+
+
+def test_updates_without_an_order_end_where_a_record_ends(spark):
+    current = table(spark, *[record(c, status="processing") for c in "abc"])
+    rows = [("a", "completed"), ("a", "processing"), ("b", "processing"), ("b", "failed"), ("c", "odd"), ("c", "processing")]
+    updates = spark.createDataFrame([(c, TODAY, s) for c, s in rows], "creator_name string, processing_date date, status string")
+    got = {r.creator_name: r.status for r in state.update_records(current, updates, AS_OF).collect()}
+    assert got == {"a": "completed", "b": "failed", "c": "processing"}
