@@ -24,7 +24,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mediabatch.llm.common import ROW, light_batches, releasing, small, stored, whole_text, with_row
@@ -216,10 +216,19 @@ def score_trigrams(units: DataFrame, shares: int) -> tuple[DataFrame, list[DataF
     return model, sums, math.log(unknown), kinds > 1
 
 
+def least_often(model: DataFrame, head: int) -> int:
+    """The smallest number for which at most `head` keys occur that often; `head` keys have at most `head` different numbers."""
+    numbers = model.groupBy("n").agg(F.count("*").alias("keys"))
+    most = numbers.orderBy(F.desc("n")).limit(head)
+    above = F.sum("keys").over(Window.orderBy(F.desc("n")))
+    found = most.select("n", above.alias("above")).filter(F.col("above") <= head).agg(F.min("n")).first()[0]
+    return found if found is not None else (1 << 62)
+
+
 def score_shorter(units: DataFrame, model: DataFrame, unknown: float, head: int, passes: int) -> list[DataFrame]:
     """Per row the sum of what pairs and words add, and the number of units, as stored tables."""
     spark = units.sparkSession
-    first = model.orderBy(F.desc("n"), "key").limit(head).select("key", "value").toPandas().sort_values("key")
+    first = model.filter(F.col("n") >= least_often(model, head)).select("key", "value").toPandas().sort_values("key")
     shared = spark.sparkContext.broadcast((first["key"].to_numpy(np.int64), first["value"].to_numpy(np.float64)))
     edge = hashes([EDGE])
     opening = np.concatenate([join_units(edge, edge), edge])
