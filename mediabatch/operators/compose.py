@@ -8,12 +8,12 @@ from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mediabatch import schemas
 from mediabatch.config import DEFAULT_CONFIG, ProcessingConfig
-from mediabatch.functions.pixels import fill_crop, png_bytes, resize, to_array
+from mediabatch.functions.pixels import fill_crop, png_bytes, resize, stack, unstack
 from mediabatch.functions.text import strip
 from mediabatch.operators.layout import canvas_size, is_usable, place_images
 
@@ -23,9 +23,14 @@ HEADERS = {"User-Agent": "mediabatch", "Accept": "image/jpeg, image/png, image/g
 # Bytes of cells per batch between the two Python stages.
 CELL_BYTES = 32 * 1024 * 1024
 
+# Source pixels of equally large images that are resampled together, in bytes.
+STACK_BYTES = 256 * 1024
+
 # OpenCV type codes of the raw image struct, by channel count.
 IMAGE_MODES = {1: 0, 3: 16, 4: 24}
 
+SIZES = ["height", "width", "nChannels", "cell_w", "cell_h"]
+
 
 # -- fetching ----------------------------------------------------------------------------------
 
@@ -107,25 +112,34 @@ def fetch_counts(fetched: DataFrame) -> DataFrame:
 # -- composing ---------------------------------------------------------------------------------
 
 
+def _cells(sizes: pd.DataFrame, data: list, shape: Callable, cache: dict) -> list:
+    """Each row's cell as bytes; None, where its pixels are unusable, leaves it blank."""
+    cells: list = [None] * len(data)
+    known = np.flatnonzero(sizes["nChannels"].isin(IMAGE_MODES))
+    for size, at in sizes.iloc[known].groupby(list(sizes.columns), sort=False).indices.items():
+        height, width, channels, cell_w, cell_h = map(int, size)
+        length = height * width * channels
+        whole = [i for i in known[at] if data[i] is not None and len(data[i]) == length]
+        step = max(1, STACK_BYTES // max(length, 1))
+        for start in range(0, len(whole), step):
+            rows = whole[start : start + step]
+            pixels = stack([data[i] for i in rows], height, width, channels)
+            for i, cell in zip(rows, unstack(shape(pixels, cell_w, cell_h, cache), len(rows))):
+                cells[i] = cell.tobytes()
+    return cells
+
+
 def _cut_cells(fit: str):
     def run(batches):
         cache: dict = {}
         shape = fill_crop if fit == "crop" else resize
-
-        def cell(row):
-            try:
-                pixels = to_array(row.data, row.height, row.width, row.nChannels)
-                return shape(pixels, row.cell_w, row.cell_h, cache).tobytes()
-            except (ValueError, TypeError):
-                return None  # the cell stays blank
-
         for pdf in batches:
             # The cells handed back at a time stay within a fixed number of bytes.
             step = max(1, CELL_BYTES // int((pdf["cell_w"] * pdf["cell_h"] * 3).max()))
             for start in range(0, len(pdf), step):
                 part = pdf.iloc[start : start + step]
                 started = time.monotonic()
-                cells = [cell(row) for row in part.itertuples(index=False)]
+                cells = _cells(part[SIZES], part["data"].tolist(), shape, cache)
                 spent = (time.monotonic() - started) * 1000 / max(len(part), 1)
                 out = part.drop(columns=["data", "height", "width", "nChannels"])
                 yield out.assign(cell=cells, cell_ms=spent)
@@ -136,16 +150,14 @@ def _cut_cells(fit: str):
 def _paste(labels: list[str], background: tuple[int, int, int], with_png: bool):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         started = time.monotonic()
-        first = pdf.iloc[0]
-        canvas = np.empty((int(first.canvas_h), int(first.canvas_w), 3), np.uint8)
+        canvas = np.empty((int(pdf["canvas_h"].iat[0]), int(pdf["canvas_w"].iat[0]), 3), np.uint8)
         canvas[:] = background[::-1]
         placed = 0
-        for row in pdf.itertuples(index=False):
-            if row.cell is not None:
-                block = np.frombuffer(row.cell, np.uint8).reshape(row.cell_h, row.cell_w, 3)
-                canvas[row.y : row.y + row.cell_h, row.x : row.x + row.cell_w] = block
+        for x, y, w, h, cell in zip(*(pdf[c].tolist() for c in ("x", "y", "cell_w", "cell_h", "cell"))):
+            if cell is not None:
+                canvas[y : y + h, x : x + w] = np.frombuffer(cell, np.uint8).reshape(h, w, 3)
                 placed += 1
-        out = {name: [first[name]] for name in labels}
+        out = {name: [pdf[name].iat[0]] for name in labels}
         out |= {"width": [canvas.shape[1]], "height": [canvas.shape[0]], "placed": [placed]}
         out["data"] = [canvas.tobytes()]
         if with_png:
@@ -169,9 +181,13 @@ def compose(
     with_png: bool = False,
     sizes: DataFrame | None = None,
     creators: DataFrame | None = None,
+    pixels: Column | None = None,
 ) -> DataFrame:
     """One collage per creator from rows with an `image` struct.
 
+    Where `pixels` makes that struct from a row's other columns, the rows bring `width` and `height` instead: they are placed
+    by these, and only placed images are made.
+
     Each task sends at most rows x cols images of a creator, once; there each is cut to its cell,
     and the small cells are regrouped for pasting, so a group carries at most rows x cols cells.
     `sizes` (keys, width, height of every image), where known, spares a second pass over pixels.
@@ -180,7 +196,8 @@ def compose(
     """
     keys, order = list(keys), list(order)
     at = keys + [c for c in order if c not in keys]
-    flat = images.select(*at, *[F.col(f"image.{n}").alias(n) for n in ("width", "height", "nChannels", "data")])
+    parts = [F.col(f"image.{n}").alias(n) for n in ("width", "height", "nChannels", "data")]
+    flat = images.select(*at, *parts) if pixels is None else images
     if sizes is None:
         sizes = flat.select(*keys, "width", "height")
     canvas = canvas_size(sizes, rows, cols, target_width, target_height, fit, keys)
@@ -189,13 +206,15 @@ def compose(
         carried = [c for c in creators.columns if c not in keys]
         canvas = canvas.join(creators, keys)
     cells = place_images(flat.where(is_usable()), canvas, rows, cols, keys, order)
+    labels = keys + carried
+    geometry = ["x", "y", "cell_w", "cell_h", "canvas_w", "canvas_h"]
+    if pixels is not None:
+        cells = cells.select(*labels, *geometry, pixels.alias("image")).select(*labels, *geometry, *parts)
     kinds = {f.name: f.dataType.simpleString() for f in cells.schema.fields}
 
     def fields(names):
         return ", ".join(f"`{n}` {kinds[n]}" for n in names)
 
-    labels = keys + carried
-    geometry = ["x", "y", "cell_w", "cell_h", "canvas_w", "canvas_h"]
     cut = cells.select(*labels, *geometry, "width", "height", "nChannels", "data").mapInPandas(
         _cut_cells(fit), f"{fields(labels + geometry)}, cell BINARY, cell_ms DOUBLE"
     )

@@ -772,8 +772,7 @@ def _cell_checksum(data: pd.Series) -> pd.Series:
 @query
 def compose_collage(t: Tables) -> DataFrame:
     """Collages of generated images; the checksum depends on every pixel and its cell."""
-    sizes = t.image_sizes().select("creator_name", "width", "height")
-    made = compose.compose(t.images(), target_width=CELL_W, target_height=CELL_H, sizes=sizes)
+    made = compose.compose(t.image_sizes(), target_width=CELL_W, target_height=CELL_H, pixels=t.image())
     return made.select("creator_name", "width", "height", "placed", _cell_checksum("image.data").alias("checksum"))
 
 

@@ -177,25 +177,24 @@ class Tables:
         width, height = 50 + F.col("p_size") % 10, 46 + F.col("quantity") % 10
         return self.dims().withColumns({"width": width.cast("int"), "height": height.cast("int")})
 
-    def images(self) -> DataFrame:
-        """Decoded one-colour images made by Spark from the line items, a quarter in colour, others grey."""
+    def image(self) -> Column:
+        """A decoded one-colour image made by Spark from a row of `image_sizes`, a quarter in colour, others grey."""
         colour = F.col("ord.l_linenumber") % 4 == 0
         blue, green, red = F.col("ord.l_orderkey") % 256, F.col("ord.l_linenumber") * 30, F.col("p_size") * 5
         hexes = [F.lpad(F.hex(c.cast("long")), 2, "0") for c in (blue, green, red)]
         pixel = F.when(colour, F.concat(*hexes)).otherwise(hexes[0])
-        return self._spread(self.image_sizes()).select(
-            "creator_name",
-            "ord",
-            F.struct(
-                F.lit("").alias("origin"),
-                "height",
-                "width",
-                F.when(colour, 3).otherwise(1).alias("nChannels"),
-                F.when(colour, 16).otherwise(0).alias("mode"),
-                F.unhex(F.repeat(pixel, F.col("width") * F.col("height"))).alias("data"),
-            ).alias("image"),
+        return F.struct(
+            F.lit("").alias("origin"),
+            "height",
+            "width",
+            F.when(colour, 3).otherwise(1).alias("nChannels"),
+            F.when(colour, 16).otherwise(0).alias("mode"),
+            F.unhex(F.repeat(pixel, F.col("width") * F.col("height"))).alias("data"),
         )
 
+    def images(self) -> DataFrame:
+        return self._spread(self.image_sizes()).select("creator_name", "ord", self.image().alias("image"))
+
     def messages(self) -> DataFrame:
         key, customer = F.col("o_orderkey"), F.col("o_custkey")
         k, c = key.cast("string"), customer.cast("string")

@@ -218,3 +218,25 @@ def test_cap_before_the_fetch(spark):
                                  F.concat(F.lit("h/"), F.col("id")).alias("cover_url"))
     fetched = compose.fetch(cap_per_creator(df, 9), ProcessingConfig(), flaky)
     assert fetched.count() == 9
+
+
+def test_only_placed_images_are_made(spark):
+    """A row beyond the grid or too small is never made: its pixels would end the job."""
+    rows = [("a", i, 60, 60 if i != 1 else 40) for i in range(9)]
+    df = spark.createDataFrame(rows, "creator_name string, ord int, width int, height int").repartition(3)
+    made = F.when(F.col("ord").isin(0, 2, 3, 4), F.unhex(F.repeat(F.lit("07"), 3600))).otherwise(
+        F.raise_error(F.lit("made without need")).cast("binary")
+    )
+    struct = F.struct("width", "height", F.lit(1).alias("nChannels"), made.alias("data"))
+    row = compose.compose(df, 2, 2, 20, 30, pixels=struct).first()
+    assert (row.placed, set(row.image.data)) == (4, {7})
+
+
+def test_images_of_one_size_resampled_together():
+    rng = np.random.default_rng(3)
+    for channels in (1, 3, 4):
+        raw = [rng.integers(0, 256, (9, 13, channels), np.uint8).tobytes() for _ in range(5)]
+        for shape in (pixels.resize, pixels.fill_crop):
+            together = pixels.unstack(shape(pixels.stack(raw, 9, 13, channels), 7, 5, {}), 5)
+            alone = [shape(pixels.to_array(data, 9, 13, channels), 7, 5, {}) for data in raw]
+            assert np.array_equal(together, alone)
