@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -20,6 +21,9 @@ from mediabatch.operators.layout import canvas_size, is_usable, place_images
 # Only types that the image reader decodes are asked for.
 HEADERS = {"User-Agent": "mediabatch", "Accept": "image/jpeg, image/png, image/gif, image/bmp"}
 
+# Bytes of fetched bodies that a task hands on at a time.
+FETCH_BYTES = 32 * 1024 * 1024
+
 # Bytes of cells per batch between the two Python stages.
 CELL_BYTES = 32 * 1024 * 1024
 
@@ -61,6 +65,31 @@ def _fetch_one(url: str, fetcher: Callable, timeout: int, retries: int, pause: C
     return retries, None, None, error, int((time.monotonic() - started) * 1000)
 
 
+def _fetch_some(urls: list[str], pool: ThreadPoolExecutor, workers: int, one: Callable) -> list[tuple]:
+    """Replies to the first URLs, up to about `FETCH_BYTES` of bodies beyond the requests that are then open.
+
+    Each worker takes the next URL when it is done with one, so a slow host keeps only its own worker.
+    """
+    replies: list = [None] * len(urls)
+    turns, lock, held = iter(range(len(urls))), threading.Lock(), 0
+
+    def work() -> None:
+        nonlocal held
+        while True:
+            with lock:
+                i = next(turns, None) if held < FETCH_BYTES else None
+            if i is None:
+                return
+            replies[i] = one(urls[i])
+            with lock:
+                held += len(replies[i][2] or b"")
+
+    for done in [pool.submit(work) for _ in range(min(workers, len(urls)))]:
+        done.result()
+    # URLs are taken in order, so those with a reply come first.
+    return replies[: next(turns, len(urls))]
+
+
 def fetch(
     rows: DataFrame,
     config: ProcessingConfig = DEFAULT_CONFIG,
@@ -72,7 +101,7 @@ def fetch(
     """Fetch every non-blank URL: adds attempts, content_type, bytes, error and fetch_ms.
 
     Rows are dealt out evenly over tasks (a creator's rows spread), each task keeps `max_workers`
-    requests open and hands bytes on in small groups.
+    requests open and hands bytes on in groups of bounded size.
     """
     wanted = rows.where(strip(F.col(url)) != "")
     if tasks is None:
@@ -86,12 +115,12 @@ def fetch(
     def run(batches):
         with ThreadPoolExecutor(workers) as pool:
             for pdf in batches:
-                for start in range(0, len(pdf), workers * 4):
-                    part = pdf.iloc[start : start + workers * 4]
-                    got = pool.map(lambda u: _fetch_one(u, fetcher, timeout, retries, pause), part[url])
-                    yield pd.concat(
-                        [part.reset_index(drop=True), pd.DataFrame(list(got), columns=names)], axis=1
-                    )
+                urls = pdf[url].tolist()
+                while urls:
+                    got = _fetch_some(urls, pool, workers, lambda u: _fetch_one(u, fetcher, timeout, retries, pause))
+                    part, pdf, urls = pdf.iloc[: len(got)], pdf.iloc[len(got) :], urls[len(got) :]
+                    new = pd.DataFrame(got, columns=names, index=part.index)
+                    yield pd.concat([part, new], axis=1)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in wanted.schema.fields)
     return wanted.mapInPandas(run, f"{fields}, {schemas.FETCHED}")

@@ -1,4 +1,6 @@
 import sys
+import threading
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pytest
@@ -240,3 +242,22 @@ def test_images_of_one_size_resampled_together():
             together = pixels.unstack(shape(pixels.stack(raw, 9, 13, channels), 7, 5, {}), 5)
             alone = [shape(pixels.to_array(data, 9, 13, channels), 7, 5, {}) for data in raw]
             assert np.array_equal(together, alone)
+
+
+def test_fetch_slow_host_holds_one_worker_and_bodies_stay_bounded(monkeypatch):
+    """While one URL hangs, the other worker goes through all others; a group ends when its bodies are large enough."""
+    others, hung = threading.Event(), []
+
+    def one(url):
+        if url == 0:
+            hung.append(others.wait(20))
+        elif url == 99:
+            others.set()
+        return 1, "image/png", b"x" * 10, None, url
+
+    with ThreadPoolExecutor(2) as pool:
+        got = compose._fetch_some(list(range(100)), pool, 2, one)
+        assert hung == [True] and [r[4] for r in got] == list(range(100))
+        monkeypatch.setattr(compose, "FETCH_BYTES", 50)
+        got = compose._fetch_some(list(range(1, 99)), pool, 2, one)
+    assert 5 <= len(got) <= 7 and [r[4] for r in got] == list(range(1, len(got) + 1))
