@@ -6,8 +6,8 @@ and a timeout fails it once it has been open too long, also if nothing more arri
 
 Within one micro-batch records that exist already come first, then updates, the last by `ord` and status deciding, then
 requests: the smallest by (batch_id, content_hash, image_count) gets through, as in the log form, and every other is
-refused. Rows are looked at one after the other and only the best so far is held, so a creator with any number of
-requests takes no memory.
+refused. Rows are looked at one after the other; the best so far and at most `ROWS` outcomes are held, so a creator with
+any number of requests takes little memory.
 """
 
 from __future__ import annotations
@@ -34,6 +34,9 @@ OUTCOMES = (
     " image_count LONG, version LONG"
 )
 NAMES = [c.split()[0] for c in OUTCOMES.split(", ")]
+READ = ["kind", "batch_id", "content_hash", "image_count", "status", "ord"]
+# Outcomes of a key that are handed on at a time.
+ROWS = 10_000
 
 
 def _plain(value):
@@ -45,9 +48,13 @@ def _rank(request: tuple) -> tuple:
     return tuple((v is not None, v) for v in request)
 
 
-def _row(key: tuple, outcome: str, status, request: tuple, version) -> pd.DataFrame:
-    frame = pd.DataFrame([[*key, outcome, status, *request, version]], columns=NAMES)
-    return frame.astype({"image_count": "Int64", "version": "Int64"})
+def _row(key: tuple, outcome: str, status, request: tuple, version) -> tuple:
+    return (*key, outcome, status, *request, version)
+
+
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    """Outcomes as they are: typed columns would take most of the time of a key."""
+    return pd.DataFrame(rows, columns=NAMES, dtype=object)
 
 
 def _advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState, milliseconds: int) -> Iterator[pd.DataFrame]:
@@ -55,41 +62,47 @@ def _advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState, mill
     if state.hasTimedOut:
         if lease[0] == "processing":
             state.update(("failed", lease[1], lease[2] + 1, lease[3]))
-            yield _row(key, "timed out", "failed", (lease[1], None, None), lease[2] + 1)
+            yield _frame([_row(key, "timed out", "failed", (lease[1], None, None), lease[2] + 1)])
         return
     now = state.getCurrentProcessingTimeMs()
     best = close = record = None
+    out: list[tuple] = []
     for frame in frames:
-        for row in frame.itertuples(index=False):
-            if row.kind == "record":
-                record = (row.status, _plain(row.batch_id), int(row.ord), now + milliseconds)
-            elif row.kind == "close":
-                own = (_plain(row.ord) or 0, row.status)
+        for kind, batch_id, content_hash, count, status, order in zip(*(frame[c].tolist() for c in READ)):
+            if kind == "record":
+                record = (status, _plain(batch_id), int(order), now + milliseconds)
+            elif kind == "close":
+                own = (_plain(order) or 0, status)
                 close = own if close is None else max(close, own)
             else:
-                count = _plain(row.image_count)
-                request = (_plain(row.batch_id), _plain(row.content_hash), None if count is None else int(count))
+                count = _plain(count)
+                request = (_plain(batch_id), _plain(content_hash), None if count is None else int(count))
                 if best is None:
                     best = request
                     continue
                 best, other = sorted((best, request), key=_rank)
-                yield _row(key, "refused", None, other, None)
+                out.append(_row(key, "refused", None, other, None))
+                if len(out) == ROWS:
+                    yield _frame(out)
+                    out = []
     lease = lease or record
     if close is not None and lease:
         lease = (close[1], lease[1], lease[2] + 1, lease[3])
-        yield _row(key, "closed", close[1], (lease[1], None, None), lease[2])
+        out.append(_row(key, "closed", close[1], (lease[1], None, None), lease[2]))
     elif close is not None:
-        yield _row(key, "unmatched", close[1], (None, None, None), None)
+        out.append(_row(key, "unmatched", close[1], (None, None, None), None))
     if best is not None:
         if lease and lease[0] == "processing":
-            yield _row(key, "refused", None, best, None)
+            out.append(_row(key, "refused", None, best, None))
         else:
             lease = ("processing", best[0], lease[2] + 1 if lease else 0, now + milliseconds)
-            yield _row(key, "opened", "processing", best, lease[2])
+            out.append(_row(key, "opened", "processing", best, lease[2]))
     if lease:
         state.update(lease)
         if lease[0] == "processing":  # a refused request leaves the deadline as it was
             state.setTimeoutDuration(max(1, lease[3] - now))
+    if out:
+        yield _frame(out)
 
 
 def records(current: DataFrame) -> DataFrame:

@@ -1,6 +1,8 @@
 import time
 from datetime import date, datetime, timedelta
+from types import SimpleNamespace
 
+import pandas as pd
 import pytest
 
 from mediabatch import schemas
@@ -128,3 +130,18 @@ def test_a_lease_times_out_after_a_restart(spark, tmp_path):
     assert ("a", "refused", "b2", None) in run(opening("a", "b2"))
     assert ("a", "timed out", "b", 1) in run(opening("z"))
     assert ("a", "opened", "b", 2) in run(opening("a"))
+
+
+def test_outcomes_of_a_key_are_handed_on_together(monkeypatch):
+    """Refused requests come in groups of bounded size, not as a table each; values and nulls stay."""
+    monkeypatch.setattr(leases, "ROWS", 4, raising=False)
+    kept = []
+    fresh = SimpleNamespace(exists=False, hasTimedOut=False, getCurrentProcessingTimeMs=lambda: 0, update=kept.append,
+                            setTimeoutDuration=lambda ms: None)
+    rows = [("open", "u", DAY, f"b{i}", None, i or None, None, None) for i in (3, 1, 0, 2, 6, 5, 4)]
+    frame = pd.DataFrame(rows, columns=[c.split()[0] for c in leases.EVENTS.split(", ")])
+    frames = list(leases._advance(("u", DAY), iter([frame]), fresh, 1000))
+    assert [len(f) for f in frames] == [4, 3]
+    got = sorted((row[4], row[2], row[6], row[7]) for f in frames for row in f.astype(object).values.tolist())
+    assert got[0] == ("b0", "opened", None, 0) and kept == [("processing", "b0", 0, 1000)]
+    assert got[1:] == [(f"b{i}", "refused", i, None) for i in range(1, 7)]
