@@ -44,9 +44,12 @@ class Encoder:
     """
 
     def __init__(self, path: str, limit: int = 1 << 19, longest: int = 12, group: int = 1000):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.own = Tokenizer.from_file(path)
+        # The same merges for words of small ASCII letters, which the tokenizer's rules neither change nor cut.
+        self.plain = Tokenizer(self.own.model)
+        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.limit, self.longest, self.group = limit, longest, group
         vocabulary = self.own.get_vocab(with_added_tokens=False)
         self.final = np.zeros(self.own.get_vocab_size() + 1, bool)
@@ -58,9 +61,16 @@ class Encoder:
         return [np.array(e.ids, "<u4") for e in self.own.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: list[str]) -> None:
+        plain = [w for w in words if w.isascii()]
+        self._learn_by(self.plain, plain)
+        self._learn_by(self.own, [w for w in words if not w.isascii()] if len(plain) < len(words) else [])
+
+    def _learn_by(self, tokenizer, words: list[str]) -> None:
         for at in range(0, len(words), self.group):
             some = words[at : at + self.group]
-            ids = self._bulk([" ".join(some)])[0]
+            joined = " ".join(some)
+            joined = joined.lower() if tokenizer is self.plain else joined
+            ids = np.array(tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
             ends = np.flatnonzero(self.final[ids]) + 1
             if len(ends) == len(some):
                 cuts = [0, *(4 * ends).tolist()]

@@ -111,3 +111,18 @@ def test_a_small_look_up_gives_the_same_ids(tokenizer):
     for _ in range(2):
         for text in texts:
             assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_plain_words_skip_the_tokenizers_rules():
+    """Letters-only ASCII words get their ids from the merges alone, capitals among them, and the same ids."""
+    import public_tokenizers
+
+    from mediabatch.llm.packing import Encoder
+
+    encoder = Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    words = ["Zebra", "qwrtpx", "a", "I", "HTTPServer", "unglaublich"]
+    plain = encoder.plain.encode(" ".join(words).lower(), add_special_tokens=False).ids
+    assert plain == encoder.own.encode(" ".join(words), add_special_tokens=False).ids
+    texts = [" ".join(words), "<|endoftext|> Zebra Zürich's été, don't qwrtpx", "<|x Zebra\tHTTPServer\nI"]
+    ids = [encoder.own.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)] == ids
