@@ -97,9 +97,11 @@ def _discount(n: Column, d: list[float]) -> Column:
 
 def discounts(counts: DataFrame) -> list[float]:
     """The three modified Kneser-Ney discounts, from how many n-grams occur once to four times."""
-    n1, n2, n3, n4 = (
-        float(x or 0) for x in counts.agg(*(F.sum((F.col("n") == k).cast("long")) for k in (1, 2, 3, 4))).first()
-    )
+    often = counts.agg(*(F.sum((F.col("n") == k).cast("long")) for k in (1, 2, 3, 4))).first()
+    return cut_offs(*(float(x or 0) for x in often))
+
+
+def cut_offs(n1: float, n2: float, n3: float, n4: float) -> list[float]:
     if not n1 or not n2:
         return [0.5, 0.75, 0.9]
     y = n1 / (n1 + 2 * n2)
